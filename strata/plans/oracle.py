@@ -229,7 +229,7 @@ SELECT {K},
   round((rank() OVER (ORDER BY acc) - 1 + (count(*) OVER (PARTITION BY acc) + 1) / 2.0) / count(*) OVER (), 6) AS acc_percentile
 FROM b"""
     pref = fx.INTERACTION_PREFERRED
-    prods = [f"{r6(f'CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE)', 2)} AS {a}__x__{b}"
+    prods = [f"CAST({a} AS DOUBLE) * CAST({b} AS DOUBLE) AS {a}__x__{b}"
              for i, a in enumerate(pref) for b in pref[i + 1:]]
     s["interactions"] = f"WITH {P} SELECT {K}, {', '.join(prods)} FROM profile"
 
