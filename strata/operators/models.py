@@ -121,13 +121,19 @@ def gaussian_nb_score(df: DataFrame, params: DataFrame, key: str, features: Sequ
 
 
 def cross_validate(estimator, train: DataFrame, features: Sequence[str], label: str = "label",
-                   fold_col: str = "fold", grid=None, parallelism: int = 2):
-    """K-fold AUC via ``CrossValidator(foldCol=...)``; returns (cv_model, mean, std)."""
+                   fold_col: str = "fold", grid=None, parallelism: int = 2, num_folds: int | None = None):
+    """K-fold AUC via ``CrossValidator(foldCol=...)``; returns (cv_model, mean, std).
+
+    Folds are the precomputed stratified ``fold_col`` (0..k-1); k is read from it if not given.
+    """
+    if num_folds is None:
+        num_folds = int(train.agg(F.max(fold_col)).first()[0]) + 1
     est = estimator.copy().setFeaturesCol("features").setLabelCol(label)
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC",
                                               rawPredictionCol="rawPrediction", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid or [{}], evaluator=evaluator,
-                        foldCol=fold_col, parallelism=parallelism, seed=SEED, collectSubModels=False)
+                        foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=SEED,
+                        collectSubModels=False)
     data = assemble(train, features).withColumn(fold_col, F.col(fold_col).cast("int"))
     m = cv.fit(data)
     return m, list(m.avgMetrics), list(m.stdMetrics)

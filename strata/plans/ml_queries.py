@@ -1,3 +1,132 @@
-"""MLlib-backed queries (rows-only checks): filled in below."""
+"""MLlib-backed queries (rows-only checks: fits are iterative, not SQL-expressible).
+
+Each trains on the train split of the processed model matrix (derived from the
+driver tables, materialised once per session) and scores the test split.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strata.operators import leakage, models, select
+from strata.plans import fixture as fx
+from strata.plans.pipeline import model_matrix, run_pipeline
+from strata.session import scratch_path
+from strata.sources import io
+from strata.sources.tables import read_table
 
 ML_QUERIES: dict = {}
+
+
+def _reg(name):
+    def deco(fn):
+        ML_QUERIES[name] = fn
+        return fn
+    return deco
+
+
+def _data(spark, sf):
+    df, feats = model_matrix(spark, sf)
+    return df.where(F.col("split") == "train"), df.where(F.col("split") == "val"), \
+        df.where(F.col("split") == "test"), feats
+
+
+def _fit_score(spark, sf, name):
+    train, _, test, feats = _data(spark, sf)
+    est = models.base_models(len(feats), train.count(), fast=True)[name]
+    pm = models.fit(est, train, feats)
+    return models.score(pm, test, keep=[fx.KEY, "label"])
+
+
+for _q, _m in (("logreg", "logistic_regression"), ("random_forest", "random_forest"),
+               ("gbt", "gradient_boosting"), ("extra_trees", "extra_trees"), ("svm", "svm"),
+               ("mlp", "neural_network"), ("naive_bayes", "naive_bayes")):
+    ML_QUERIES[_q] = (lambda m: (lambda spark, sf: _fit_score(spark, sf, m)))(_m)
+
+FAST3 = ("logistic_regression", "naive_bayes", "random_forest")
+
+
+@_reg("baseline_cv")
+def q_baseline_cv(spark, sf):
+    train, val, _, feats = _data(spark, sf)
+    cands = {k: v for k, v in models.base_models(len(feats), train.count(), fast=True).items() if k in FAST3}
+    return models.baseline(cands, train, val, feats)
+
+
+@_reg("tune")
+def q_tune(spark, sf):
+    train, _, _, feats = _data(spark, sf)
+    est = models.base_models(len(feats), train.count(), fast=True)["logistic_regression"]
+    pm, auc = models.random_search("logistic_regression", est, train, feats, draws=4)
+    rows = [("logistic_regression", p.name, float(v), auc) for p, v in pm.items()]
+    return spark.createDataFrame(rows, "model string, param string, value double, cv_auc double")
+
+
+def _fitted3(spark, sf):
+    train, val, test, feats = _data(spark, sf)
+    cands = models.base_models(len(feats), train.count(), fast=True)
+    return {n: models.fit(cands[n], train, feats) for n in FAST3}, val, test, feats
+
+
+@_reg("best_model")
+def q_best_model(spark, sf):
+    fitted, val, _, _ = _fitted3(spark, sf)
+    best, metrics = models.select_best(fitted, val)
+    return metrics.withColumn("is_best", F.col("model") == F.lit(best))
+
+
+@_reg("soft_vote")
+def q_soft_vote(spark, sf):
+    fitted, _, test, _ = _fitted3(spark, sf)
+    return models.soft_vote(fitted, test, fx.KEY, list(FAST3))
+
+
+@_reg("importance")
+def q_importance(spark, sf):
+    train, _, _, feats = _data(spark, sf)
+    pm = models.fit(models.base_models(len(feats), fast=True)["random_forest"], train, feats)
+    return models.importances(pm, feats, top=15, spark=spark)
+
+
+@_reg("leakage_check")
+def q_leakage_check(spark, sf):
+    train, _, _, feats = _data(spark, sf)
+    return leakage.validate_no_leakage(train, feats, fx.KEY, rf_trees=20)
+
+
+@_reg("pca")
+def q_pca(spark, sf):
+    emb = read_table(spark, sf, "embeddings")
+    bundle, _ = select.pca_fit(emb, vector_col="embedding", variance=0.95)
+    return select.pca_apply(emb, bundle, keep=["vec_id", "label"])
+
+
+@_reg("pca_explained")
+def q_pca_explained(spark, sf):
+    _, explained = select.pca_fit(read_table(spark, sf, "embeddings"), vector_col="embedding", variance=0.95)
+    return explained
+
+
+@_reg("model_registry")
+def q_model_registry(spark, sf):
+    train, _, test, feats = _data(spark, sf)
+    pm = models.fit(models.base_models(len(feats), train.count(), fast=True)["logistic_regression"], train, feats)
+    base = scratch_path(spark, "registry")
+    models.save_model(pm, f"{base}/m1", f"{base}/registry", "logistic_regression", len(feats), spark)
+    loaded = models.load_model(spark, registry=f"{base}/registry")
+    return models.score(loaded, test, keep=[fx.KEY, "label"])
+
+
+@_reg("eda_json")
+def q_eda_json(spark, sf):
+    from strata.plans import eda_report
+    from strata.plans.queries import _hybrid
+    summary = eda_report.summary_nested(_hybrid(spark, sf).drop("score"), "label", fx.OUTLIER_VARS)
+    path = io.write_json_row(summary, "eda_summary")
+    return spark.read.schema(summary.schema).json(path)
+
+
+@_reg("stage_report")
+def q_stage_report(spark, sf):
+    return run_pipeline(spark, sf, steps=("collect", "preprocess", "features", "model", "evaluate"), quick=True,
+                        model_names=["logistic_regression", "naive_bayes"], tune_top=1, draws=2)
