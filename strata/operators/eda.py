@@ -51,41 +51,60 @@ def class_means(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
     return _stack(wide, cols, "_a", "column, mean", keep=[label])
 
 
-def corr_matrix(df: DataFrame, cols: Sequence[str], chunk: int = 400) -> DataFrame:
-    """Pearson r for every pair, lower triangle ``(a, b, r)`` with a after b in column order.
-
-    All pairs in one aggregation pass (chunked to keep codegen methods small).
+def correlation_values(df: DataFrame, cols: Sequence[str], method: str = "gramian") -> dict:
+    """Pearson r for every column pair: ``{(a, b): r}``.
+
+    ``gramian`` (default): MLlib ``Correlation.corr`` -- one tree-aggregated
+    p x p Gramian pass (p^2 doubles per partition, independent of row count);
+    rows with a NULL in any column are skipped (listwise).
+    ``pairwise``: one SQL ``corr(a, b)`` aggregate per pair (pandas pairwise-complete
+    semantics; heavier codegen for wide inputs).
     """
-    pairs = [(b, a) for a, b in combinations(cols, 2)]  # (later column, earlier column)
-    parts = []
-    for s in range(0, len(pairs), chunk):
-        ps = pairs[s:s + chunk]
-        wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}")
-                        for i, (a, b) in enumerate(ps)])
-        body = ", ".join(f"'{a}', '{b}', _r{i}" for i, (a, b) in enumerate(ps))
-        parts.append(wide.selectExpr(f"stack({len(ps)}, {body}) as (a, b, r)"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def label_correlations(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
+    cols = list(cols)
+    if method == "pairwise":
+        pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+        row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_r{i}")
+                       for i, (a, b) in enumerate(pairs)]).first()
+        out = {}
+        for i, (a, b) in enumerate(pairs):
+            out[(a, b)] = out[(b, a)] = row[f"_r{i}"]
+        return out
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v").first()[0].toArray()
+    import math
+    return {(a, b): (None if math.isnan(m[i][j]) else float(m[i][j]))
+            for i, a in enumerate(cols) for j, b in enumerate(cols) if i != j}
+
+
+def corr_matrix(df: DataFrame, cols: Sequence[str], method: str = "gramian") -> DataFrame:
+    """Lower triangle ``(a, b, r)`` -- a is the later column, b the earlier one."""
+    cols = list(cols)
+    vals = correlation_values(df, cols, method)
+    rows = [(b, a, vals[(a, b)]) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+
+
+def label_correlations(df: DataFrame, label: str, cols: Sequence[str], method: str = "gramian") -> DataFrame:
     """``(feature, r, abs_r)`` correlation of each column with the label (label excluded)."""
     cols = [c for c in cols if c != label]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(label).cast("double")).alias(f"_r{i}")
-                    for i, c in enumerate(cols)])
-    return _stack(wide, cols, "_r", "feature, r").withColumn("abs_r", F.abs("r"))
+    vals = correlation_values(df, cols + [label], method)
+    rows = [(c, vals[(c, label)]) for c in cols]
+    return df.sparkSession.createDataFrame(rows, "feature string, r double").withColumn("abs_r", F.abs("r"))
 
 
 def top_label_correlations(df: DataFrame, label: str, cols: Sequence[str], k: int = 10,
-                           strong: float = 0.3) -> DataFrame:
+                           strong: float = 0.3, method: str = "gramian") -> DataFrame:
     """The k strongest |r| with the label (top-k is the feature) plus the count of |r| > strong."""
-    lc = label_correlations(df, label, cols).where(F.col("r").isNotNull())
-    from pyspark.sql import Window
-    w = Window.partitionBy(F.lit(0))  # tiny: one row per feature
-    ranked = lc.withColumn("n_strong", F.sum((F.col("abs_r") > F.lit(strong)).cast("long")).over(w))
-    return ranked.orderBy(F.desc("abs_r"), "feature").limit(k)
+    cols = [c for c in cols if c != label]
+    vals = correlation_values(df, cols + [label], method)
+    rs = [(c, vals[(c, label)]) for c in cols if vals[(c, label)] is not None]
+    n_strong = sum(1 for _, r in rs if abs(r) > strong)
+    top = sorted(rs, key=lambda t: (-abs(t[1]), t[0]))[:k]
+    return df.sparkSession.createDataFrame(
+        [(c, r, abs(r), n_strong) for c, r in top], "feature string, r double, abs_r double, n_strong bigint")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = None,
@@ -159,20 +178,6 @@ def class_sample(df: DataFrame, key: str, label: str, fractions: dict, seed: int
     return df.where(md5_uniform(key, seed, "sample") < frac)
 
 
-def eda_summary(n_rows: int, n_features: int, balance: float, outlier_pct: float, n_strong: int,
-                spark) -> DataFrame:
-    """The summary struct with its recommendation flags."""
-    row = (n_rows, n_features, balance, outlier_pct, n_strong,
-           (bool(n_features > 0)), bool(outlier_pct > 5.0), bool(n_strong > 3), bool(abs(balance - 0.5) > 0.15))
-    df = spark.createDataFrame([row], "dataset_size bigint, n_features bigint, target_balance double, "
-                                      "outlier_percentage double, strong_correlations bigint, "
-                                      "scaling_needed boolean, outlier_treatment boolean, "
-                                      "feature_engineering boolean, class_balancing boolean")
-    return df.select("dataset_size", "n_features", "target_balance", "outlier_percentage", "strong_correlations",
-                     F.struct("scaling_needed", "outlier_treatment", "feature_engineering",
-                              "class_balancing").alias("recommendations"))
-
-
 def distinct_ranked(df: DataFrame, value: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Distinct values with exact cumulative counts (exposed for ad-hoc EDA)."""
     return ordered_counts(df, [value], group_cols)

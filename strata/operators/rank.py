@@ -31,6 +31,8 @@ from pyspark.sql import types as T
 from strata.session import default_parallelism
 
 MAX_GROUPS = 4096
+# groups with at most this many distinct values are ranked in one window partition each
+SINGLE_BUCKET_MAX = 100_000
 
 
 def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
@@ -42,7 +44,8 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Col
 
 def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
                    weights: Mapping[str, Column] | None = None, descending: bool = False,
-                   buckets: int | None = None, accuracy: int = 10000) -> DataFrame:
+                   buckets: int | None = None, accuracy: int = 10000,
+                   single_bucket_max: int = SINGLE_BUCKET_MAX) -> DataFrame:
     """One row per distinct ``(group_cols, order_cols)`` with exact running totals.
 
     Output columns: group cols, order cols, ``cnt`` (rows with this value),
@@ -93,7 +96,15 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
                 for r in bnd]
     bnd_df = spark.createDataFrame(bnd_rows, bnd_schema)  # bounded: <= MAX_GROUPS rows
 
+    max_distinct = max((r["_ndist"] for r in bnd), default=0)
     gb = g.join(F.broadcast(bnd_df), gcols)
+    if max_distinct <= single_bucket_max:
+        # size-checked fast path: every group has few distinct values, so one
+        # window partition per group is bounded; no bucket offsets are needed
+        res = gb.drop("_b").withColumns({"_bucket": F.lit(0), "_oc": F.lit(0).cast("long"),
+                                         "_od": F.lit(0).cast("long"),
+                                         **{f"_ow_{n}": F.lit(0).cast(g.schema[n].dataType) for n in weights}})
+        return _finish(res, gcols, order_cols, weights, descending, drop_grp)
     gb = gb.withColumn("_bucket", F.size(F.filter(F.col("_b"), lambda x: x < F.col("_k")))).drop("_b")
 
     tot = gb.groupBy(*gcols, "_bucket").agg(
@@ -120,6 +131,11 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
     off_df = spark.createDataFrame(off_rows, off_schema)  # bounded: groups x P rows
 
     res = gb.join(F.broadcast(off_df), gcols + ["_bucket"])
+    return _finish(res, gcols, order_cols, weights, descending, drop_grp)
+
+
+def _finish(res: DataFrame, gcols, order_cols, weights, descending: bool, drop_grp: bool) -> DataFrame:
+    """In-bucket running sums plus the bucket offsets."""
     orderings = [F.col("_k").asc()] + [
         (F.col(c).desc() if descending else F.col(c).asc()) for c in order_cols[1:]]
     w = (Window.partitionBy(*gcols, "_bucket").orderBy(*orderings)

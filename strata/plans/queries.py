@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from strata.functions.exprs import rounded
 from strata.operators import clean, derive, eda, evaluate, labels, rank, select, split
 from strata.plans import fixture as fx
-from strata.sources.tables import PROFILE_COUNTERS, QTY_PARTS, entity_profile, profile_table, read_table
+from strata.sources.tables import (PROFILE_COUNTERS, QTY_PARTS, entity_profile, profile_table, read_table,
+                                   stage_table)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -31,17 +32,27 @@ def _p(spark, sf) -> DataFrame:
     return profile_table(spark, sf)
 
 
-def _hybrid(spark, sf) -> DataFrame:
+def _build_hybrid(spark, sf) -> DataFrame:
     return labels.hybrid_label(_p(spark, sf), fx.HYBRID, fx.KEY, q=fx.HYBRID_Q, noise_weight=fx.HYBRID_NOISE,
                                seed=fx.SEED)
 
 
-def _split(spark, sf) -> DataFrame:
+def _build_split(spark, sf) -> DataFrame:
     return split.assign_split(_hybrid(spark, sf), fx.KEY, "label", exact=True, seed=fx.SEED)
 
 
+# Downstream operators read the upstream stages as written tables (computed once per session);
+# the queries named after those stages ("label_hybrid", "split") run them from scratch.
+def _hybrid(spark, sf) -> DataFrame:
+    return stage_table(spark, sf, "labelled", lambda: _build_hybrid(spark, sf))
+
+
+def _split(spark, sf) -> DataFrame:
+    return stage_table(spark, sf, "split", lambda: _build_split(spark, sf))
+
+
 def _scored(spark, sf) -> DataFrame:
-    return fx.scored(_p(spark, sf), _hybrid(spark, sf))
+    return stage_table(spark, sf, "scored", lambda: fx.scored(_p(spark, sf), _hybrid(spark, sf)))
 
 
 # ---- sources / projections ----------------------------------------------------------------------
@@ -176,7 +187,7 @@ def q_label_experience(spark, sf):
 
 @query("label_hybrid")
 def q_label_hybrid(spark, sf):
-    return rounded(_hybrid(spark, sf).select(fx.KEY, "score", "label"))
+    return rounded(_build_hybrid(spark, sf).select(fx.KEY, "score", "label"))
 
 
 @query("label_bernoulli")
@@ -304,7 +315,7 @@ def q_class_sample(spark, sf):
 
 @query("split")
 def q_split(spark, sf):
-    return _split(spark, sf).select(fx.KEY, "label", "split")
+    return _build_split(spark, sf).select(fx.KEY, "label", "split")
 
 
 @query("scale")

@@ -84,17 +84,25 @@ def entity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MATERIALIZED: dict = {}
 
 
-def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile as a stage table: computed once, written as Parquet below the
-    shared folder (``spark.checkpoint.dir``) and read back, so later stages scan
-    a small columnar table instead of re-joining lineitem (and survive executor loss).
+def stage_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A pipeline stage as a table: ``build()`` is written once per session as Parquet
+    below the shared folder (``spark.checkpoint.dir``) and read back.
+
+    Later stages scan a small columnar table instead of re-running the upstream
+    plan; lineage is cut at the stage edge, so a lost executor only recomputes
+    from the last written stage.
     """
     from strata.session import scratch_path
 
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"))
+    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), name)
     path = _MATERIALIZED.get(key)
     if path is None:
-        path = scratch_path(spark, "entity_profile")
-        entity_profile(spark, sf_dir).write.mode("overwrite").parquet(path)
+        path = scratch_path(spark, name)
+        build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
+
+
+def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entity profile as a stage table (see :func:`stage_table`)."""
+    return stage_table(spark, sf_dir, "entity_profile", lambda: entity_profile(spark, sf_dir))
