@@ -40,7 +40,7 @@ def _fit_score(spark, sf, name):
 
 for _q, _m in (("logreg", "logistic_regression"), ("random_forest", "random_forest"),
                ("gbt", "gradient_boosting"), ("extra_trees", "extra_trees"), ("svm", "svm"),
-               ("mlp", "neural_network"), ("naive_bayes", "naive_bayes")):
+               ("mlp", "neural_network"), ("naive_bayes", "naive_bayes"), ("xgboost", "xgboost")):
     ML_QUERIES[_q] = (lambda m: (lambda spark, sf: _fit_score(spark, sf, m)))(_m)
 
 FAST3 = ("logistic_regression", "naive_bayes", "random_forest")

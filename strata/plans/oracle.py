@@ -404,6 +404,15 @@ SELECT {r6(dv('tp + tn', 'n'))} AS accuracy, round(auc, 6) AS roc_auc,
        WHEN {dv('tp + tn', 'n')} >= 0.65 THEN 'fair' ELSE 'poor' END AS accuracy_grade,
   CASE WHEN auc >= 0.9 THEN 'excellent' WHEN auc >= 0.8 THEN 'good' WHEN auc >= 0.7 THEN 'fair' ELSE 'poor' END
     AS auc_grade FROM cc, a"""
+    s["helper_ratios"] = (f"WITH {P} SELECT {K}, {r6('span_days / 24.0')} AS hours, "
+                          f"{r6('qty / (n_returned + 1)')} AS kd_ratio, {r6('amount / (n_lines + 1)')} AS amount_per_line, "
+                          f"{r6('n_urgent / (n_orders + 1)')} AS urgent_rate FROM profile")
+    s["sens_spec"] = (f"WITH {S}, {cnt} SELECT {r6(dv('tp', 'tp + fn'))} AS sensitivity, "
+                      f"{r6(dv('tn', 'tn + fp'))} AS specificity FROM cc")
+    s["labels_balance"] = _union([f"""SELECT {t} AS value, count(*) AS n, round(count(*) / (SELECT count(*) FROM labels), 6) AS share,
+  '{t}' AS target FROM labels GROUP BY {t}""" for t in ("quality", "toxic")])
+    s["labels_doc_length"] = ("SELECT l.quality, count(*) AS n, round(avg(d.n_chars), 6) AS mean_chars "
+                              "FROM labels l JOIN documents d ON l.doc_id = d.doc_id GROUP BY l.quality")
     return s
 
 

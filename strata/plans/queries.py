@@ -415,3 +415,39 @@ def q_grade(spark, sf):
     m = evaluate.binary_metrics(s).select("accuracy").withColumn("_k", F.lit(0)).join(
         evaluate.roc_auc(s).select("roc_auc").withColumn("_k", F.lit(0)), "_k")
     return rounded(evaluate.grade(metrics=m))
+
+
+@query("helper_ratios")
+def q_helper_ratios(spark, sf):
+    """Hours-like time column and the smoothed helper ratios added with the first label."""
+    df = labels.helper_ratios(_p(spark, sf), "span_days", 24.0,
+                              {"kd_ratio": ("qty", "n_returned"), "amount_per_line": ("amount", "n_lines"),
+                               "urgent_rate": ("n_urgent", "n_orders")})
+    return rounded(df.select(fx.KEY, "hours", "kd_ratio", "amount_per_line", "urgent_rate"))
+
+
+@query("sens_spec")
+def q_sens_spec(spark, sf):
+    return rounded(evaluate.sensitivity_specificity(_scored(spark, sf)))
+
+
+@query("labels_balance")
+def q_labels_balance(spark, sf):
+    """A2/A3 on a real imbalanced label table: counts and shares of ``quality`` and ``toxic``."""
+    lab = read_table(spark, sf, "labels")
+    q = eda.value_counts(lab, "quality").withColumn("target", F.lit("quality"))
+    t = eda.value_counts(lab, "toxic").withColumn("target", F.lit("toxic"))
+    return rounded(q.unionByName(t))
+
+
+@query("labels_doc_length")
+def q_labels_doc_length(spark, sf):
+    """A4 on real labels: mean document length per quality class (labels joined to documents on doc_id).
+
+    The label table is small next to documents; only ``doc_id, n_chars`` are read from
+    documents (column pruning), and the join is an equi-join AQE can broadcast when small.
+    """
+    lab = read_table(spark, sf, "labels")
+    docs = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    j = lab.join(docs, "doc_id")
+    return rounded(j.groupBy("quality").agg(F.count(F.lit(1)).alias("n"), F.avg("n_chars").alias("mean_chars")))
