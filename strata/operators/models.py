@@ -221,12 +221,16 @@ def select_best(fitted: dict, val: DataFrame, label: str = "label") -> tuple[str
 def soft_vote(fitted: dict, df: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
     """Average probability of the chosen models; pred = avg >= 0.5.
 
-    Each model scores the same rows; the per-model scores are combined with an
-    equi-join on the key (no collect)."""
-    out = None
+    The models are applied one after another to the same rows (each transform
+    is narrow; its vector/output columns are dropped before the next), so the
+    ensemble needs no join and no shuffle.
+    """
+    out = df
+    base_cols = list(df.columns)
     for i, n in enumerate(names):
-        s = score(fitted[n], df, keep=[key]).select(key, F.col("score").alias(f"_s{i}"))
-        out = s if out is None else out.join(s, key)
+        t = fitted[n].transform(out)
+        col = "probability" if "probability" in t.columns else "rawPrediction"
+        out = t.select(*base_cols, *[f"_s{j}" for j in range(i)], vector_to_array(col)[1].alias(f"_s{i}"))
     avg = sum(F.col(f"_s{i}") for i in range(len(names))) / F.lit(float(len(names)))
     return out.select(key, avg.alias("score"), (avg >= 0.5).cast("int").alias("pred"))
 

@@ -104,7 +104,9 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
         res = gb.drop("_b").withColumns({"_bucket": F.lit(0), "_oc": F.lit(0).cast("long"),
                                          "_od": F.lit(0).cast("long"),
                                          **{f"_ow_{n}": F.lit(0).cast(g.schema[n].dataType) for n in weights}})
-        return _finish(res, gcols, order_cols, weights, descending, drop_grp)
+        out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
+        out._strata_cached = [g]
+        return out
     gb = gb.withColumn("_bucket", F.size(F.filter(F.col("_b"), lambda x: x < F.col("_k")))).drop("_b")
 
     tot = gb.groupBy(*gcols, "_bucket").agg(
@@ -131,7 +133,9 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
     off_df = spark.createDataFrame(off_rows, off_schema)  # bounded: groups x P rows
 
     res = gb.join(F.broadcast(off_df), gcols + ["_bucket"])
-    return _finish(res, gcols, order_cols, weights, descending, drop_grp)
+    out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
+    out._strata_cached = [g]
+    return out
 
 
 def _finish(res: DataFrame, gcols, order_cols, weights, descending: bool, drop_grp: bool) -> DataFrame:
@@ -155,6 +159,12 @@ def _finish(res: DataFrame, gcols, order_cols, weights, descending: bool, drop_g
     return res
 
 
+def _release(df: DataFrame) -> None:
+    """Unpersist the cached distinct-value table behind an eagerly consumed result."""
+    for rdd_df in getattr(df, "_strata_cached", []):
+        rdd_df.unpersist()
+
+
 def _as_type(v, dt):
     if isinstance(dt, (T.DoubleType, T.FloatType)):
         return float(v)
@@ -205,6 +215,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         need += [F.floor(pos), F.ceil(pos)]
     hit = F.exists(F.array(*need), lambda r: (r >= F.col("cum_before")) & (r < F.col("cum")))
     rows = oc.where(hit).select(*gcols, "_col", "_v", "cum_before", "cum", "total").collect()
+    _release(oc)
     by_group: dict = {}
     for r in rows:
         key = tuple(r[c] for c in gcols) + (r["_col"],)

@@ -46,7 +46,10 @@ def _values_at_ranks(df: DataFrame, order_cols: Sequence[str], group: str,
     out = {g: {} for g in ranks_by_group}
     if conds is None:
         return out
-    for row in oc.where(conds).select(group, *order_cols, "cum_before", "cum").collect():
+    from strata.operators.rank import _release
+    hits = oc.where(conds).select(group, *order_cols, "cum_before", "cum").collect()
+    _release(oc)
+    for row in hits:
         for r in ranks_by_group[row[group]]:
             if row["cum_before"] <= r < row["cum"]:
                 out[row[group]][r] = tuple(row[c] for c in order_cols)
