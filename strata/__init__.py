@@ -1,0 +1 @@
+"""strata: Spark-native tabular feature and binary-classification analytics."""

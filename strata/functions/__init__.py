@@ -1,0 +1 @@
+"""Column-expression builders and seeded hashing."""

@@ -1,0 +1 @@
+"""Operators: fit -> bounded statistics, apply -> lazy column expressions."""

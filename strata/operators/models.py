@@ -12,7 +12,8 @@ import datetime as _dt
 import random
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -55,9 +56,16 @@ def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> D
 
 
 def fit(estimator, df: DataFrame, features: Sequence[str], label: str = "label") -> PipelineModel:
+    """Assemble once, persist the (features, label) pairs for the iterative solver, fit, release."""
     est = estimator.copy().setFeaturesCol("features").setLabelCol(label)
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
-                                            handleInvalid="keep"), est]).fit(df)
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    data = assembler.transform(df).select("features", F.col(label).cast("double").alias(label))
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = est.fit(data)
+    finally:
+        data.unpersist()
+    return PipelineModel(stages=[assembler, model])
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -1,0 +1 @@
+"""Registered queries, their DuckDB oracles, the staged pipeline."""

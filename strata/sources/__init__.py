@@ -1,0 +1 @@
+"""Scans, the entity-profile stage, dataset IO."""

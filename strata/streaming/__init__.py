@@ -1,0 +1,8 @@
+"""Streaming.
+
+The analytics this library reproduces have no streaming operator (no watermarks,
+windows or state).  Nothing is built here on purpose: the *apply* half of every
+fit/apply pair (capping, imputation, scaling, derived features, label rules,
+hash splits, model scoring) is a stateless column expression, so it runs
+unchanged on a ``readStream`` DataFrame with the fitted values inlined.
+"""
