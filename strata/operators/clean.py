@@ -78,7 +78,7 @@ def outlier_counts(df: DataFrame, fences: dict[str, tuple]) -> DataFrame:
     stack = ", ".join(f"'{c}', _o{i}" for i, c in enumerate(cols))
     long = wide.selectExpr("_n", f"stack({len(cols)}, {stack}) as (column, n_outliers)")
     return long.select("column", "n_outliers", F.col("_n").alias("n_rows"),
-                       (F.col("n_outliers") * F.lit(100.0) / F.col("_n")).alias("outlier_pct"))
+                       F.try_divide(F.col("n_outliers") * F.lit(100.0), F.col("_n")).alias("outlier_pct"))
 
 
 def consistency_fix(df: DataFrame, floor_col: str | None = None, floor: int = 1,
@@ -153,5 +153,6 @@ def clean_summary(before: DataFrame, after: DataFrame, feature_cols: Sequence[st
                     F.sum("_a").cast("bigint").alias("rows_after"),
                     F.sum("_m").cast("bigint").alias("n_missing")).select(
         "rows_before", "rows_after",
-        ((F.col("rows_before") - F.col("rows_after")) * F.lit(100.0) / F.col("rows_before")).alias("removed_pct"),
+        F.try_divide((F.col("rows_before") - F.col("rows_after")) * F.lit(100.0), F.col("rows_before"))
+        .alias("removed_pct"),
         F.lit(len(feats)).cast("bigint").alias("n_features"), "n_missing")

@@ -42,7 +42,7 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     """A2/A3: ``(value, n, share)`` ordered by n desc (label balance)."""
     total = df.count()
     return (df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("share", F.col("n") / F.lit(float(total))).orderBy(F.desc("n"), "value"))
+            .withColumn("share", F.try_divide(F.col("n"), F.lit(float(total)))).orderBy(F.desc("n"), "value"))
 
 
 def class_means(df: DataFrame, label: str, cols: Sequence[str]) -> DataFrame:
@@ -107,6 +107,9 @@ def top_label_correlations(df: DataFrame, label: str, cols: Sequence[str], k: in
         [(c, r, abs(r), n_strong) for c, r in top], "feature string, r double, abs_r double, n_strong bigint")
 
 
+MAX_HIST_GROUPS = 4096
+
+
 def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = None,
               density: bool = False) -> DataFrame:
     """Equal-width bins over [min, max] (per group if given); last bin closed.
@@ -121,13 +124,18 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
     if group is None:
         data = data.withColumn("_g", F.lit(0))
     gcols = [group or "_g"]
-    rng = data.groupBy(*gcols).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    rows = (data.groupBy(*gcols).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+            .limit(MAX_HIST_GROUPS + 1).collect())
+    if len(rows) > MAX_HIST_GROUPS:
+        raise ValueError(f"histogram: more than {MAX_HIST_GROUPS} groups")
     # numpy: a zero-width range becomes [v - 0.5, v + 0.5]
-    same = F.col("_lo") == F.col("_hi")
-    rng = rng.select(*gcols, "_n",
-                     F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
-                     F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
-    rng = rng.withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(bins))
+    ranges = []
+    for r in rows:
+        lo, hi = (r["_lo"] - 0.5, r["_hi"] + 0.5) if r["_lo"] == r["_hi"] else (r["_lo"], r["_hi"])
+        ranges.append((r[gcols[0]], r["_n"], lo, hi, (hi - lo) / bins))
+    gtype = data.schema[gcols[0]].dataType.simpleString()
+    # bounded (checked above): one row per group, safe to broadcast
+    rng = df.sparkSession.createDataFrame(ranges, f"{gcols[0]} {gtype}, _n bigint, _lo double, _hi double, _w double")
     b = F.least(F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(bins)), F.lit(bins - 1))
     # rng has one row per group: an equi-join on the group key, broadcast (bounded by the group count)
     counts = (data.select(*gcols, x.alias(column)).join(F.broadcast(rng), gcols)
