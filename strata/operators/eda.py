@@ -136,8 +136,21 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
     gtype = data.schema[gcols[0]].dataType.simpleString()
     # bounded (checked above): one row per group, safe to broadcast
     rng = df.sparkSession.createDataFrame(ranges, f"{gcols[0]} {gtype}, _n bigint, _lo double, _hi double, _w double")
+    if group is None:
+        # one range: inline it (narrow binning, no join at all)
+        (_, n_all, lo, hi, w), = ranges
+        b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1))
+        counts = data.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+        out = grid.join(counts, "bin", "left").select(
+            "bin", (F.lit(lo) + F.col("bin") * F.lit(w)).alias("lo"),
+            F.when(F.col("bin") == bins - 1, F.lit(hi)).otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(w)).alias("hi"),
+            F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
+        if density:
+            out = out.withColumn("density", F.col("n") / F.lit(n_all * w))
+        return out
     b = F.least(F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(bins)), F.lit(bins - 1))
-    # rng has one row per group: an equi-join on the group key, broadcast (bounded by the group count)
+    # rng has one row per group (checked bound): equi-join on the group key, broadcast
     counts = (data.select(*gcols, x.alias(column)).join(F.broadcast(rng), gcols)
               .groupBy(*gcols, b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
@@ -148,8 +161,7 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), "_n", "_w")
     if density:
         out = out.withColumn("density", F.col("n") / (F.col("_n") * F.col("_w")))
-    out = out.drop("_n", "_w")
-    return out.drop("_g") if group is None else out
+    return out.drop("_n", "_w")
 
 
 def boxplot_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFrame:

@@ -174,14 +174,16 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", s
     y = F.col(label).cast("long")
     per = df.where(s.isNotNull()).groupBy(b.alias("i")).agg(
         F.sum(y).alias("pos"), F.count(F.lit(1)).alias("cnt"))
-    grid = df.sparkSession.range(steps).select(F.col("id").cast("int").alias("i"))
-    # bounded frames from here on: <= steps + 1 rows
-    tot = per.agg(F.sum("pos").alias("P"), F.sum("cnt").alias("n"))
+    # bounded from here on: the grid has steps + 1 rows (bucket -1 = scores below 0,
+    # counted in the totals but never predicted positive)
+    grid = df.sparkSession.range(-1, steps).select(F.col("id").cast("int").alias("i"))
     dense = grid.join(per, "i", "left").fillna(0, ["pos", "cnt"])
-    w = Window.orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cum = dense.withColumn("tp", F.sum("pos").over(w)).withColumn("pp", F.sum("cnt").over(w))
-    # bucket -1 (scores below 0) is never predicted positive: not on the grid, only in totals
-    cum = cum.withColumn("_k", F.lit(0)).join(F.broadcast(tot.withColumn("_k", F.lit(0))), "_k").drop("_k")
+    everything = Window.partitionBy(F.lit(0))
+    w = Window.partitionBy(F.lit(0)).orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding,
+                                                                       Window.currentRow)
+    cum = (dense.withColumn("P", F.sum("pos").over(everything)).withColumn("n", F.sum("cnt").over(everything))
+           .withColumn("tp", F.sum("pos").over(w)).withColumn("pp", F.sum("cnt").over(w))
+           .where(F.col("i") >= 0))
     one_class = (F.col("pp") == 0) | (F.col("pp") == F.col("n"))
     prec = F.when(one_class, 0.0).otherwise(_div(F.col("tp"), F.col("pp")))
     rec = F.when(one_class, 0.0).otherwise(_div(F.col("tp"), F.col("P")))
@@ -193,8 +195,8 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", s
     return res.withColumn("is_best", (F.row_number().over(wb) == 1))
 
 
-def grade(accuracy: float | None = None, auc: float | None = None, metrics: DataFrame | None = None) -> DataFrame:
-    """Accuracy bands .85/.75/.65 and AUC bands .9/.8/.7 on a metrics row."""
+def grade(metrics: DataFrame) -> DataFrame:
+    """Accuracy bands .85/.75/.65 and AUC bands .9/.8/.7 on a metrics row (accuracy, roc_auc)."""
     def band(c, cuts):
         return (F.when(c >= cuts[0], "excellent").when(c >= cuts[1], "good")
                 .when(c >= cuts[2], "fair").otherwise("poor"))
@@ -203,6 +205,13 @@ def grade(accuracy: float | None = None, auc: float | None = None, metrics: Data
                           band(F.col("roc_auc"), (0.9, 0.8, 0.7)).alias("auc_grade"))
 
 
+def headline_metrics(scored: DataFrame, label: str = "label", score: str = "score", pred: str = "pred") -> DataFrame:
+    """One row (accuracy, roc_auc): the two single-row results are combined by union + max (no join)."""
+    acc = binary_metrics(scored, label, pred).select("accuracy", F.lit(None).cast("double").alias("roc_auc"))
+    auc = roc_auc(scored, label, score).select(F.lit(None).cast("double").alias("accuracy"), "roc_auc")
+    return acc.unionByName(auc).agg(F.max("accuracy").alias("accuracy"), F.max("roc_auc").alias("roc_auc"))
+
+
 def evaluate(scored: DataFrame, label: str = "label", score: str = "score", pred: str = "pred") -> dict:
     """The whole bundle over one persisted scored frame (each output lazy)."""
     s = scored.select(label, score, pred).cache()

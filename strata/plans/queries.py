@@ -411,10 +411,7 @@ def q_threshold_sweep(spark, sf):
 
 @query("grade")
 def q_grade(spark, sf):
-    s = _scored(spark, sf)
-    m = evaluate.binary_metrics(s).select("accuracy").withColumn("_k", F.lit(0)).join(
-        evaluate.roc_auc(s).select("roc_auc").withColumn("_k", F.lit(0)), "_k")
-    return rounded(evaluate.grade(metrics=m))
+    return rounded(evaluate.grade(evaluate.headline_metrics(_scored(spark, sf))))
 
 
 @query("helper_ratios")
