@@ -31,6 +31,9 @@ from pyspark.sql import types as T
 from strata.session import default_parallelism
 
 MAX_GROUPS = 4096
+# distinct-value tables up to this many rows (measured in the first pass) are broadcast when
+# joined back to the rows: the big side is then never shuffled, so a hot value cannot skew it
+BROADCAST_MAX_ROWS = 2_000_000
 # groups with at most this many distinct values are ranked in one window partition each
 SINGLE_BUCKET_MAX = 100_000
 
@@ -106,6 +109,7 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
                                          **{f"_ow_{n}": F.lit(0).cast(g.schema[n].dataType) for n in weights}})
         out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
         out._strata_cached = [g]
+        out._strata_distinct = sum(r["_ndist"] for r in bnd)
         return out
     gb = gb.withColumn("_bucket", F.size(F.filter(F.col("_b"), lambda x: x < F.col("_k")))).drop("_b")
 
@@ -135,6 +139,7 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
     res = gb.join(F.broadcast(off_df), gcols + ["_bucket"])
     out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
     out._strata_cached = [g]
+    out._strata_distinct = sum(r["_ndist"] for r in bnd)
     return out
 
 
@@ -182,15 +187,19 @@ def percent_rank_avg(df: DataFrame, value_col: str, group_cols: Sequence[str] =
                      out_col: str | None = None) -> DataFrame:
     """pandas ``rank(pct=True)``: (average rank of ties) / n, per group; NULL stays NULL.
 
-    The distinct-value ranks come from :func:`ordered_counts`; they are joined
-    back to the rows on (group, value) -- an equi-join AQE can broadcast when
-    the distinct table is small or split when a hot value is skewed.
+    The distinct-value ranks come from :func:`ordered_counts` and are joined back
+    to the rows on (group, value).  Their row count is known from the first pass:
+    up to ``BROADCAST_MAX_ROWS`` the rank table is broadcast (no shuffle of the
+    rows, immune to hot values); beyond it the equi-join is left to the planner,
+    whose AQE skew-join splits a hot value's partition.
     """
     out_col = out_col or f"{value_col}_pct"
     oc = ordered_counts(df, [value_col], group_cols)
     ranks = oc.select(*group_cols, value_col,
                       ((F.col("cum_before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
                        / F.col("total")).alias(out_col))
+    if getattr(oc, "_strata_distinct", BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS:
+        ranks = F.broadcast(ranks)
     keys = list(group_cols) + [value_col]
     return df.join(ranks, keys, "left")
 
