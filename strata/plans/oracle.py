@@ -206,7 +206,7 @@ SELECT {K}, {r6('score')} AS score, CAST(score > (SELECT quantile_cont(score, 0.
     AS performance_index,
   {r6(ratio('amount', 'n_lines'))} AS damage_efficiency,
   {r6(ratio('amount', 'qty'))} AS damage_per_kill,
-  {r6('0.6 * n_taxed + 0.4 * n_disc')} AS clutch_factor,
+  {r6('CAST(0.6 AS DOUBLE) * n_taxed + CAST(0.4 AS DOUBLE) * n_disc')} AS clutch_factor,
   {r6(ratio('n_urgent', 'n_done', plus=0.01))} AS leadership_index,
   {r6('CAST(n_done - n_urgent AS DOUBLE)')} AS team_dependency FROM profile"""
     tot = " + ".join(f"({p} + 1e-8)" for p in QTY_PARTS)
@@ -376,9 +376,11 @@ pc AS (SELECT '0' AS class, {p0} AS precision, {r0} AS recall, {f1(p0, r0)} AS f
        UNION ALL SELECT '1', {p1}, {r1}, {f1(p1, r1)}, tp + fn FROM cc)
 SELECT class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM pc
 UNION ALL SELECT 'accuracy', {r6(dv('tp + tn', 'n'))}, {r6(dv('tp + tn', 'n'))}, {r6(dv('tp + tn', 'n'))}, n FROM cc
-UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) FROM pc
+UNION ALL SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6),
+  CAST(sum(support) AS BIGINT) FROM pc
 UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
-  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support) FROM pc"""
+  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+  CAST(sum(support) AS BIGINT) FROM pc"""
     s["roc_curve"] = (f"WITH {curve} SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr UNION ALL "
                       f"SELECT round(score, 6), {r6(dv('cum_neg', 'tn_all'))}, {r6(dv('cum_pos', 'tp_all'))} FROM cu")
     s["pr_curve"] = (f"WITH {curve} SELECT round(score, 6) AS threshold, {r6(dv('cum_pos', 'cum'))} AS precision, "
