@@ -149,10 +149,12 @@ def cross_validate(estimator, train: DataFrame, features: Sequence[str], label:
 
 
 def baseline(models: dict, train: DataFrame, val: DataFrame, features: Sequence[str],
-             label: str = "label", fold_col: str = "fold", parallelism: int = 4) -> DataFrame:
+             label: str = "label", fold_col: str = "fold", parallelism: int = 4,
+             fitted_out: dict | None = None) -> DataFrame:
     """Per model CV AUC mean/std + validation accuracy/AUC/F1; failures are skipped.
 
     Result ``(model, cv_auc_mean, cv_auc_std, val_accuracy, val_auc, val_f1)`` ordered by cv mean.
+    The models fitted on the whole training split are put in ``fitted_out`` when given.
     """
     from strata.operators.evaluate import binary_metrics, roc_auc
     spark = train.sparkSession
@@ -161,6 +163,8 @@ def baseline(models: dict, train: DataFrame, val: DataFrame, features: Sequence[
         try:
             _, mean, std = cross_validate(est, train, features, label, fold_col, parallelism=parallelism)
             pm = fit(est, train, features, label)
+            if fitted_out is not None:
+                fitted_out[name] = pm
             sc = score(pm, val, keep=[label]).cache()
             bm = binary_metrics(sc, label).first()
             auc = roc_auc(sc, label).first()["roc_auc"]

@@ -38,13 +38,6 @@ BROADCAST_MAX_ROWS = 2_000_000
 SINGLE_BUCKET_MAX = 100_000
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
                    weights: Mapping[str, Column] | None = None, descending: bool = False,
                    buckets: int | None = None, accuracy: int = 10000,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.hashing import md5_int, md5_uniform
+from strata.functions.hashing import md5_int
 from strata.operators.derive import Ratio
 from strata.operators.labels import Factor, Rule
 from strata.sources.tables import PROFILE_COUNTERS, QTY_PARTS
@@ -94,7 +94,3 @@ def scored(df: DataFrame, label_df: DataFrame) -> DataFrame:
     s = F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 3)
     return label_df.select(KEY, "label", "qty", "amount").select(
         KEY, "label", s.alias("score"), (s >= 0.5).cast("int").alias("pred"))
-
-
-def sample_uniform():
-    return md5_uniform(KEY, SEED, "sample")

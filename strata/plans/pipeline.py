@@ -124,23 +124,21 @@ def run_pipeline(spark: SparkSession, sf_dir: str, steps: Sequence[str] = DEFAUL
         cands = models.base_models(len(feats), n_train, fast=quick)
         if model_names:
             cands = {k: v for k, v in cands.items() if k in model_names}
-        base_res = models.baseline(cands, train, val, feats).collect()
+        fitted: dict = {}
+        base_res = models.baseline(cands, train, val, feats, fitted_out=fitted).collect()
         for r in base_res:
             if r["cv_auc_mean"] is not None:
                 report.append(("model", f"cv_auc_{r['model']}", r["cv_auc_mean"]))
         ranked = [r["model"] for r in base_res if r["cv_auc_mean"] is not None]
         n_tune = tune_top if tune_top is not None else (2 if quick else 3)
-        fitted = {}
-        for name in ranked:
-            est = cands[name]
-            if name in ranked[:n_tune]:
-                try:
-                    pm, _ = models.random_search(name, est, train, feats, draws=draws)
-                    if pm:
-                        est = est.copy(pm)
-                except Exception as exc:  # failed search keeps the baseline model
-                    print(f"[strata] tuning {name} failed: {exc}")
-            fitted[name] = models.fit(est, train, feats)
+        fitted = {k: v for k, v in fitted.items() if k in ranked}
+        for name in ranked[:n_tune]:
+            try:
+                pm, _ = models.random_search(name, cands[name], train, feats, draws=draws)
+                if pm:
+                    fitted[name] = models.fit(cands[name].copy(pm), train, feats)
+            except Exception as exc:  # a failed search keeps the baseline model
+                print(f"[strata] tuning {name} failed: {exc}")
         best, _ = models.select_best(fitted, val)
         model_path = f"{base}/best_model"
         models.save_model(fitted[best], model_path, f"{base}/registry", best, len(feats), spark)

@@ -63,3 +63,20 @@ def test_approx_quantiles_close(spark):
     pdf, df = _frame(spark, seed=4)
     got = quantiles(df, ["v"], [0.5], method="approx")["v"][0]
     assert abs(got - pdf.v.median()) <= 1.0
+
+
+@pytest.mark.parametrize("single", [0, 10 ** 9])
+def test_hot_value_third_of_rows(spark, single, monkeypatch):
+    """One value holds a third of all rows: ranks and quantiles stay exact on both paths."""
+    import strata.operators.rank as R
+    monkeypatch.setattr(R, "SINGLE_BUCKET_MAX", single)
+    n = 3000
+    rng = np.random.default_rng(11)
+    v = rng.integers(0, 500, n).astype(float)
+    v[: n // 3] = 42.0
+    pdf = pd.DataFrame({"id": np.arange(n), "v": v})
+    df = spark.createDataFrame(pdf)
+    got = exact_quantiles(df, ["v"], [0.1, 0.33, 0.5, 0.9])[("v",)]
+    assert np.allclose(got, np.quantile(v, [0.1, 0.33, 0.5, 0.9]))
+    pr = percent_rank_avg(df, "v", out_col="p").toPandas().set_index("id").sort_index()
+    assert np.allclose(pr.p.values, pdf.v.rank(pct=True).values)
