@@ -191,24 +191,24 @@ SELECT {K}, {r6('score')} AS score, CAST(score > (SELECT quantile_cont(score, 0.
     def ratio(num, den, scale=1.0, plus=1.0):
         d = f"CAST({den} AS DOUBLE)" if scale == 1.0 else f"CAST({den} AS DOUBLE) * {scale}"
         return f"CAST({num} AS DOUBLE) / ({d} + {plus})"
-    der = [f"{r6('qty_af + qty_ao')} AS af_ao_qty"]
+    der = ["qty_af + qty_ao AS af_ao_qty"]
     for r in fx.RATIOS:
         num = r.num if isinstance(r.num, str) else "(" + " + ".join(r.num) + ")"
-        der.append(f"{r6(ratio(num, r.den, r.den_scale, r.plus))} AS {r.name}")
+        der.append(f"{ratio(num, r.den, r.den_scale, r.plus)} AS {r.name}")
     s["derived_ratios"] = f"WITH {P} SELECT {K}, {', '.join(der)} FROM profile"
     s["tiers"] = f"""WITH {P} SELECT {K}, span_days,
   CAST(CASE WHEN span_days > 0 AND span_days <= 50 THEN 1 WHEN span_days > 50 AND span_days <= 200 THEN 2
             WHEN span_days > 200 AND span_days <= 500 THEN 3 WHEN span_days > 500 AND span_days <= 1000 THEN 4
             WHEN span_days > 1000 THEN 5 END AS DOUBLE) AS experience_tier FROM profile"""
     s["indices"] = f"""WITH {P} SELECT {K},
-  {r6(ratio('qty', 'span_days'))} AS playtime_efficiency,
-  {r6(f"0.4 * ({ratio('qty', 'n_returned')}) + 1.5 * ({ratio('n_open', 'n_lines')}) + 0.3 * ({ratio('n_done', 'n_orders')})")}
+  {ratio('qty', 'span_days')} AS playtime_efficiency,
+  0.4 * ({ratio('qty', 'n_returned')}) + 1.5 * ({ratio('n_open', 'n_lines')}) + 0.3 * ({ratio('n_done', 'n_orders')})
     AS performance_index,
-  {r6(ratio('amount', 'n_lines'))} AS damage_efficiency,
-  {r6(ratio('amount', 'qty'))} AS damage_per_kill,
-  {r6('CAST(0.6 AS DOUBLE) * n_taxed + CAST(0.4 AS DOUBLE) * n_disc')} AS clutch_factor,
-  {r6(ratio('n_urgent', 'n_done', plus=0.01))} AS leadership_index,
-  {r6('CAST(n_done - n_urgent AS DOUBLE)')} AS team_dependency FROM profile"""
+  {ratio('amount', 'n_lines')} AS damage_efficiency,
+  {ratio('amount', 'qty')} AS damage_per_kill,
+  CAST(0.6 AS DOUBLE) * n_taxed + CAST(0.4 AS DOUBLE) * n_disc AS clutch_factor,
+  {ratio('n_urgent', 'n_done', plus=0.01)} AS leadership_index,
+  CAST(n_done - n_urgent AS DOUBLE) AS team_dependency FROM profile"""
     tot = " + ".join(f"({p} + 1e-8)" for p in QTY_PARTS)
     ent = " + ".join(f"(({p} + 1e-8) / ({tot})) * log2(({p} + 1e-8) / ({tot}))" for p in QTY_PARTS)
     mx = "greatest(" + ", ".join(f"({p} + 1e-8) / ({tot})" for p in QTY_PARTS) + ")"
@@ -406,9 +406,9 @@ SELECT {r6(dv('tp + tn', 'n'))} AS accuracy, round(auc, 6) AS roc_auc,
        WHEN {dv('tp + tn', 'n')} >= 0.65 THEN 'fair' ELSE 'poor' END AS accuracy_grade,
   CASE WHEN auc >= 0.9 THEN 'excellent' WHEN auc >= 0.8 THEN 'good' WHEN auc >= 0.7 THEN 'fair' ELSE 'poor' END
     AS auc_grade FROM cc, a"""
-    s["helper_ratios"] = (f"WITH {P} SELECT {K}, {r6('span_days / 24.0')} AS hours, "
-                          f"{r6('qty / (n_returned + 1)')} AS kd_ratio, {r6('amount / (n_lines + 1)')} AS amount_per_line, "
-                          f"{r6('n_urgent / (n_orders + 1)')} AS urgent_rate FROM profile")
+    s["helper_ratios"] = (f"WITH {P} SELECT {K}, span_days / 24.0 AS hours, "
+                          f"{ratio('qty', 'n_returned')} AS kd_ratio, {ratio('amount', 'n_lines')} AS amount_per_line, "
+                          f"{ratio('n_urgent', 'n_orders')} AS urgent_rate FROM profile")
     s["sens_spec"] = (f"WITH {S}, {cnt} SELECT {r6(dv('tp', 'tp + fn'))} AS sensitivity, "
                       f"{r6(dv('tn', 'tn + fp'))} AS specificity FROM cc")
     s["labels_balance"] = _union([f"""SELECT {t} AS value, count(*) AS n, round(count(*) / (SELECT count(*) FROM labels), 6) AS share,

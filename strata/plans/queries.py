@@ -205,8 +205,9 @@ def q_independent_target(spark, sf):
 
 @query("derived_ratios")
 def q_derived_ratios(spark, sf):
+    # row-wise ratios are the same IEEE operations on every engine: compared unrounded
     df = derive.derived_ratios(_p(spark, sf), fx.RATIOS, fx.SUMS)
-    return rounded(df.select(fx.KEY, *fx.SUMS, *[r.name for r in fx.RATIOS]))
+    return df.select(fx.KEY, *fx.SUMS, *[r.name for r in fx.RATIOS])
 
 
 @query("tiers")
@@ -217,8 +218,8 @@ def q_tiers(spark, sf):
 @query("indices")
 def q_indices(spark, sf):
     df = derive.advanced_indices(_p(spark, sf), fx.ROLES)
-    return rounded(df.select(fx.KEY, "playtime_efficiency", "performance_index", "damage_efficiency",
-                             "damage_per_kill", "clutch_factor", "leadership_index", "team_dependency"))
+    return df.select(fx.KEY, "playtime_efficiency", "performance_index", "damage_efficiency",
+                     "damage_per_kill", "clutch_factor", "leadership_index", "team_dependency")
 
 
 @query("diversity")
@@ -420,7 +421,7 @@ def q_helper_ratios(spark, sf):
     df = labels.helper_ratios(_p(spark, sf), "span_days", 24.0,
                               {"kd_ratio": ("qty", "n_returned"), "amount_per_line": ("amount", "n_lines"),
                                "urgent_rate": ("n_urgent", "n_orders")})
-    return rounded(df.select(fx.KEY, "hours", "kd_ratio", "amount_per_line", "urgent_rate"))
+    return df.select(fx.KEY, "hours", "kd_ratio", "amount_per_line", "urgent_rate")
 
 
 @query("sens_spec")
