@@ -178,21 +178,37 @@ def baseline(models: dict, train: DataFrame, val: DataFrame, features: Sequence[
     return df.orderBy(F.desc_nulls_last("cv_auc_mean"), "model")
 
 
-def param_grid(name: str, est):
-    """Search spaces mapped to MLlib params."""
+# The source's search spaces, mapped onto MLlib parameters.
+#   random forest: n_estimators 50/100/200, max_depth 5/10/15/None, min_samples_leaf 1/2/4
+#   boosting: n_estimators 50/100/200, learning_rate .05/.1/.2, max_depth 3/5/7, subsample .8/.9/1
+#   (the optional booster adds colsample_bytree .8/.9/1)
+#   logistic regression: C .1/1/10/100, penalty l1/l2;  SVM: C .1/1/10
+#   neural network: hidden (50), (100), (100, 50), (150, 75); learning_rate_init .001/.01/.1
+# No MLlib counterpart (dropped): min_samples_split, solver, kernel, gamma, alpha.
+UNLIMITED_DEPTH = 30  # MLlib's maximum tree depth stands for "no limit"
+
+
+def param_grid(name: str, est, n_rows: int | None = None, n_features: int | None = None):
+    """The search space of a model as MLlib ParamMaps (C -> regParam = 1 / (C * n))."""
     b = ParamGridBuilder()
+    n = float(n_rows or 1)
     if name in ("random_forest", "extra_trees"):
-        b = (b.addGrid(est.numTrees, [50, 100, 200]).addGrid(est.maxDepth, [10, 20, 30])
+        b = (b.addGrid(est.numTrees, [50, 100, 200]).addGrid(est.maxDepth, [5, 10, 15, UNLIMITED_DEPTH])
              .addGrid(est.minInstancesPerNode, [1, 2, 4]))
     elif name in ("gradient_boosting", "xgboost"):
-        b = (b.addGrid(est.maxIter, [50, 100, 200]).addGrid(est.stepSize, [0.01, 0.1, 0.2])
+        b = (b.addGrid(est.maxIter, [50, 100, 200]).addGrid(est.stepSize, [0.05, 0.1, 0.2])
              .addGrid(est.maxDepth, [3, 5, 7]).addGrid(est.subsamplingRate, [0.8, 0.9, 1.0]))
+        if name == "xgboost":
+            b = b.addGrid(est.featureSubsetStrategy, ["0.8", "0.9", "1.0"])
     elif name == "logistic_regression":
-        b = b.addGrid(est.regParam, [10.0, 1.0, 0.1, 0.01]).addGrid(est.elasticNetParam, [0.0, 1.0])
+        b = (b.addGrid(est.regParam, [1.0 / (c * n) for c in (0.1, 1.0, 10.0, 100.0)])
+             .addGrid(est.elasticNetParam, [1.0, 0.0]))
     elif name == "svm":
-        b = b.addGrid(est.regParam, [10.0, 1.0, 0.1, 0.01]).addGrid(est.maxIter, [50, 100])
+        b = b.addGrid(est.regParam, [1.0 / (c * n) for c in (0.1, 1.0, 10.0)])
     elif name == "neural_network":
-        b = b.addGrid(est.stepSize, [0.01, 0.03, 0.1]).addGrid(est.maxIter, [100, 200])
+        p = n_features or est.getLayers()[0]
+        b = (b.addGrid(est.layers, [[p, 50, 2], [p, 100, 2], [p, 100, 50, 2], [p, 150, 75, 2]])
+             .addGrid(est.stepSize, [0.001, 0.01, 0.1]))
     else:
         return []
     return b.build()
@@ -204,7 +220,8 @@ def random_search(name: str, est, train: DataFrame, features: Sequence[str], lab
 
     Returns ``(best_param_map or None, best_cv_auc)``; a model with no grid passes through.
     """
-    grid = param_grid(name, est)
+    n_rows = train.count() if name in ("logistic_regression", "svm") else None
+    grid = param_grid(name, est, n_rows=n_rows, n_features=len(features))
     if not grid:
         return None, None
     rnd = random.Random(seed)

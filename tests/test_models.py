@@ -27,3 +27,15 @@ def test_cv_same_seed_same_metrics(spark):
     _, m1, _ = models.cross_validate(est, tr, ["x1", "x2", "x3"])
     _, m2, _ = models.cross_validate(est, tr, ["x1", "x2", "x3"])
     assert m1 == m2 and m1[0] > 0.8
+
+
+def test_search_space_sizes(spark):
+    ms = models.base_models(10, 1000)
+    sizes = {n: len(models.param_grid(n, ms[n], 1000, 10)) for n in
+             ("random_forest", "gradient_boosting", "xgboost", "logistic_regression", "svm", "neural_network",
+              "naive_bayes")}
+    assert sizes == {"random_forest": 36, "gradient_boosting": 81, "xgboost": 243, "logistic_regression": 8,
+                     "svm": 3, "neural_network": 12, "naive_bayes": 0}
+    lr = models.param_grid("logistic_regression", ms["logistic_regression"], 1000, 10)
+    regs = sorted({pm[ms["logistic_regression"].regParam] for pm in lr})
+    assert regs == sorted(1.0 / (c * 1000) for c in (0.1, 1.0, 10.0, 100.0))
