@@ -38,20 +38,22 @@ def collect_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed
 
 
-def preprocess_stage(fixed: DataFrame, fit_on: str = "train") -> tuple[DataFrame, list[str]]:
+def preprocess_stage(fixed: DataFrame, fit_on: str = "train",
+                     quantile_method: str = "exact") -> tuple[DataFrame, list[str]]:
     """Clean -> impute -> derive -> select -> split -> scale.
 
     ``fit_on='train'`` fits fences, medians and scaling on the training split only
-    (``'all'`` reproduces fitting before the split).
+    (``'all'`` reproduces fitting before the split).  ``quantile_method='approx'``
+    swaps the exact distributed quantiles for the one-pass sketch (very large inputs).
     """
     df, _ = clean.drop_columns(fixed, fx.LEAKY)
     df = split.assign_split(df, fx.KEY, "label", exact=True, seed=fx.SEED)
     fit_rows = df.where(F.col("split") == "train") if fit_on == "train" else df
     counters = [c for c in PROFILE_COUNTERS if c in df.columns]
-    df = clean.apply_iqr_cap(df, clean.fit_iqr_fences(fit_rows, counters))
+    df = clean.apply_iqr_cap(df, clean.fit_iqr_fences(fit_rows, counters, method=quantile_method))
     df = clean.consistency_fix(df, floor_col="n_returned", floor=1).drop("fix_floor", "n_fixes")
     fit_rows = df.where(F.col("split") == "train") if fit_on == "train" else df
-    df = clean.apply_impute(df, clean.fit_medians(fit_rows, counters))
+    df = clean.apply_impute(df, clean.fit_medians(fit_rows, counters, method=quantile_method))
     df = derive.derived_ratios(df, fx.RATIOS, fx.SUMS)
     df = derive.diversity(df, [c for c in df.columns if c.startswith("qty_") and len(c) == 6])
     feats = numeric_columns(df, exclude=[fx.KEY, "label"])

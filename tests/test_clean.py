@@ -57,3 +57,10 @@ def test_clean_summary(spark):
     after = before.where("id >= 4")
     r = clean.clean_summary(before, after, ["x"]).first()
     assert (r["rows_before"], r["rows_after"], r["removed_pct"], r["n_features"], r["n_missing"]) == (10, 6, 40.0, 1, 0)
+
+
+def test_approx_fences_close_to_exact(spark):
+    df = spark.range(5000).selectExpr("CAST(id % 997 AS DOUBLE) AS x")
+    ex = clean.fit_iqr_fences(df, ["x"])["x"]
+    ap = clean.fit_iqr_fences(df, ["x"], method="approx")["x"]
+    assert abs(ex[0] - ap[0]) <= 5 and abs(ex[1] - ap[1]) <= 5
