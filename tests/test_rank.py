@@ -80,3 +80,24 @@ def test_hot_value_third_of_rows(spark, single, monkeypatch):
     assert np.allclose(got, np.quantile(v, [0.1, 0.33, 0.5, 0.9]))
     pr = percent_rank_avg(df, "v", out_col="p").toPandas().set_index("id").sort_index()
     assert np.allclose(pr.p.values, pdf.v.rank(pct=True).values)
+
+
+def test_bucket_lookup_matches_linear_count(spark):
+    from pyspark.sql import functions as F
+
+    from strata.operators.rank import _bucket_of
+    bounds = sorted(set(np.round(np.random.default_rng(5).normal(0, 3, 300), 2).tolist()))
+    vals = np.round(np.random.default_rng(6).normal(0, 4, 2000), 2).tolist() + bounds
+    df = spark.createDataFrame([(float(v),) for v in vals], "k double").withColumn(
+        "b", F.array(*[F.lit(float(x)) for x in bounds]))
+    for p in (2, 17, 301, 1024):
+        got = [r[0] for r in df.select(_bucket_of(F.col("b"), F.col("k"), p)).collect()]
+        want = [sum(1 for x in bounds if x < v) for v in vals]
+        assert got == want
+
+
+def test_many_buckets_exact(spark):
+    pdf, df = _frame(spark, n=4000, seed=9)
+    oc = ordered_counts(df.where("v IS NOT NULL"), ["v"], buckets=400, single_bucket_max=0).toPandas().sort_values("v")
+    agg = pdf.dropna().groupby("v").size().sort_index()
+    assert list(oc.cum) == list(agg.cumsum())
