@@ -138,9 +138,26 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
         (F.first(P) + F.first(N)).alias("n"))
 
 
-def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """``(threshold, fpr, tpr)`` for every distinct score plus the (NULL, 0, 0) start point."""
+def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
+              drop_intermediate: bool = False) -> DataFrame:
+    """``(threshold, fpr, tpr)`` for every distinct score plus the (NULL, 0, 0) start point.
+
+    ``drop_intermediate`` keeps only the corners of the curve: a point is dropped
+    when the second differences of both the false- and true-positive counts are
+    zero (collinear with its neighbours); the first and last points stay.  The
+    previous point's counts are on the row itself (cumulative before), the next
+    point's come from an equi-join on the dense position ``idx + 1`` -- no global
+    window, no single task.
+    """
     sc = score_curve(df, label, score)
+    if drop_intermediate:
+        nxt = sc.select((F.col("idx") - 1).alias("idx"), F.col("cum_pos").alias("_np"),
+                        F.col("cum_neg").alias("_nn"))
+        j = sc.join(nxt, "idx", "left")
+        d2_pos = F.col("cum_before_pos") - F.lit(2) * F.col("cum_pos") + F.col("_np")
+        d2_neg = F.col("cum_before_neg") - F.lit(2) * F.col("cum_neg") + F.col("_nn")
+        keep = (F.col("idx") == 1) | F.col("_np").isNull() | (d2_pos != 0) | (d2_neg != 0)
+        sc = j.where(keep)
     pts = sc.select(F.col(score).cast("double").alias("threshold"),
                     _div(F.col("cum_neg"), F.col("total_neg")).alias("fpr"),
                     _div(F.col("cum_pos"), F.col("total_pos")).alias("tpr"))

@@ -383,6 +383,13 @@ UNION ALL SELECT 'weighted avg', round(sum(precision * support) / sum(support),
   CAST(sum(support) AS BIGINT) FROM pc"""
     s["roc_curve"] = (f"WITH {curve} SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr UNION ALL "
                       f"SELECT round(score, 6), {r6(dv('cum_neg', 'tn_all'))}, {r6(dv('cum_pos', 'tp_all'))} FROM cu")
+    s["roc_curve_compact"] = f"""WITH {curve},
+nb AS (SELECT *, lag(cum_pos, 1, 0) OVER o AS p_pos, lag(cum_neg, 1, 0) OVER o AS p_neg,
+              lead(cum_pos) OVER o AS n_pos, lead(cum_neg) OVER o AS n_neg,
+              row_number() OVER o AS k FROM cu WINDOW o AS (ORDER BY score DESC))
+SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0 AS fpr, 0.0 AS tpr UNION ALL
+SELECT round(score, 6), {r6(dv('cum_neg', 'tn_all'))}, {r6(dv('cum_pos', 'tp_all'))} FROM nb
+WHERE k = 1 OR n_pos IS NULL OR p_pos - 2 * cum_pos + n_pos <> 0 OR p_neg - 2 * cum_neg + n_neg <> 0"""
     s["pr_curve"] = (f"WITH {curve} SELECT round(score, 6) AS threshold, {r6(dv('cum_pos', 'cum'))} AS precision, "
                      f"{r6(dv('cum_pos', 'tp_all'))} AS recall FROM cu "
                      f"UNION ALL SELECT CAST(NULL AS DOUBLE), 1.0, 0.0")

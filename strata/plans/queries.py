@@ -395,6 +395,11 @@ def q_roc_curve(spark, sf):
     return rounded(evaluate.roc_curve(_scored(spark, sf)))
 
 
+@query("roc_curve_compact")
+def q_roc_curve_compact(spark, sf):
+    return rounded(evaluate.roc_curve(_scored(spark, sf), drop_intermediate=True))
+
+
 @query("pr_curve")
 def q_pr_curve(spark, sf):
     return rounded(evaluate.pr_curve(_scored(spark, sf)))

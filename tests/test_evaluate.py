@@ -82,3 +82,18 @@ def test_class_report_rows(scored):
     rep = {r["class"]: r for r in evaluate.classification_report(df).collect()}
     assert set(rep) == {"0", "1", "accuracy", "macro avg", "weighted avg"}
     assert rep["macro avg"]["support"] == rep["weighted avg"]["support"] == 800
+
+
+def test_roc_drop_intermediate_matches_numpy_rule(scored):
+    import numpy as np
+    rows, df = scored
+    full = [r for r in evaluate.roc_curve(df).collect() if r["threshold"] is not None]
+    full.sort(key=lambda r: -r["threshold"])
+    fps = np.array([r["fpr"] for r in full])
+    tps = np.array([r["tpr"] for r in full])
+    keep = np.where(np.r_[True, np.logical_or(np.abs(np.diff(fps, 2)) > 1e-12,
+                                              np.abs(np.diff(tps, 2)) > 1e-12), True])[0]
+    want = sorted(full[i]["threshold"] for i in keep)
+    got = sorted(r["threshold"] for r in evaluate.roc_curve(df, drop_intermediate=True).collect()
+                 if r["threshold"] is not None)
+    assert got == want and len(got) < len(full)
