@@ -52,6 +52,64 @@ def base_models(n_features: int, n_rows: int | None = None, fast: bool = False)
     return models
 
 
+def rbf_feature_map(df: DataFrame, features: Sequence[str], n_components: int = 100,
+                    gamma: float | str = "scale", seed: int = SEED) -> dict:
+    """M5 kernel: random Fourier features approximating the RBF kernel (Rahimi & Recht, 2007).
+
+    ``z(x) = sqrt(2/D) * cos(x W + b)`` with ``W ~ N(0, 2 gamma)`` (p x D), ``b ~ U(0, 2 pi)``.
+    ``gamma='scale'`` is ``1 / (p * var(X))`` (variance over all feature values), one aggregate.
+    The p x D projection is bounded by the schema (not the data) and drawn from a
+    seeded generator; applying it is a matrix product per Arrow batch (see :func:`apply_rbf_map`).
+    """
+    import math
+
+    import numpy as np
+    p = len(features)
+    if gamma == "scale":
+        row = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(features)],
+                     *[F.avg(F.col(c).cast("double") ** 2).alias(f"q{i}") for i, c in enumerate(features)]).first()
+        mean = sum(row[f"m{i}"] or 0.0 for i in range(p)) / p
+        var = sum(row[f"q{i}"] or 0.0 for i in range(p)) / p - mean * mean
+        gamma = 1.0 / (p * var) if var > 0 else 1.0
+    rng = np.random.default_rng(seed)
+    w = rng.normal(0.0, math.sqrt(2.0 * float(gamma)), size=(p, n_components))
+    b = rng.uniform(0.0, 2.0 * math.pi, size=n_components)
+    return {"features": list(features), "w": w, "b": b, "names": [f"rff_{k}" for k in range(n_components)]}
+
+
+def apply_rbf_map(df: DataFrame, fmap: dict, keep: Sequence[str] = ()) -> DataFrame:
+    """Random Fourier features per Arrow batch: ``sqrt(2/D) cos(X W + b)`` (vectorised numpy)."""
+    import numpy as np
+    feats, w, b, names = fmap["features"], fmap["w"], fmap["b"], fmap["names"]
+    scale = float(np.sqrt(2.0 / len(names)))
+    keep = list(keep)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name in keep]
+                       + [f"{n} double" for n in names])
+
+    def project(batches):
+        import pandas as pd
+        for pdf in batches:
+            x = pdf[feats].to_numpy(dtype="float64")
+            z = scale * np.cos(x @ w + b)
+            out = pd.DataFrame(z, columns=names, index=pdf.index)
+            yield pd.concat([pdf[keep], out], axis=1) if keep else out
+
+    return df.select(*keep, *feats).mapInPandas(project, schema)
+
+
+def fit_rbf_svm(train: DataFrame, features: Sequence[str], n_components: int = 100, reg: float = 0.01,
+                label: str = "label", seed: int = SEED):
+    """M5 (rbf): LinearSVC on random Fourier features; returns (model, feature map)."""
+    fmap = rbf_feature_map(train, features, n_components, seed=seed)
+    mapped = apply_rbf_map(train, fmap, keep=[label])
+    model = fit(LinearSVC(regParam=reg, maxIter=100, tol=1e-4), mapped, fmap["names"], label)
+    return model, fmap
+
+
+def score_rbf_svm(model, fmap: dict, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return score(model, apply_rbf_map(df, fmap, keep=keep), keep=keep)
+
+
 def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep").transform(df)
 

@@ -46,6 +46,14 @@ for _q, _m in (("logreg", "logistic_regression"), ("random_forest", "random_fore
 FAST3 = ("logistic_regression", "naive_bayes", "random_forest")
 
 
+@_reg("svm_rbf")
+def q_svm_rbf(spark, sf):
+    """M5 with an approximate RBF kernel (random Fourier features + linear SVM)."""
+    train, _, test, feats = _data(spark, sf)
+    model, fmap = models.fit_rbf_svm(train, feats, n_components=100)
+    return models.score_rbf_svm(model, fmap, test, keep=[fx.KEY, "label"])
+
+
 @_reg("baseline_cv")
 def q_baseline_cv(spark, sf):
     train, val, _, feats = _data(spark, sf)

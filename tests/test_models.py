@@ -39,3 +39,18 @@ def test_search_space_sizes(spark):
     lr = models.param_grid("logistic_regression", ms["logistic_regression"], 1000, 10)
     regs = sorted({pm[ms["logistic_regression"].regParam] for pm in lr})
     assert regs == sorted(1.0 / (c * 1000) for c in (0.1, 1.0, 10.0, 100.0))
+
+
+def test_rbf_features_approximate_kernel(spark):
+    import math
+
+    import numpy as np
+    df = spark.createDataFrame([(0, 0.1, 0.2), (1, 0.3, -0.1), (2, 1.0, 0.5)], "k int, a double, b double")
+    fmap = models.rbf_feature_map(df, ["a", "b"], n_components=4000, gamma=0.5, seed=3)
+    rows = sorted(models.apply_rbf_map(df, fmap, keep=["k"]).collect(), key=lambda r: r["k"])
+    z = np.array([[r[n] for n in fmap["names"]] for r in rows])
+    pts = [(0.1, 0.2), (0.3, -0.1), (1.0, 0.5)]
+    for i in range(3):
+        for j in range(3):
+            d2 = sum((x - y) ** 2 for x, y in zip(pts[i], pts[j]))
+            assert abs(z[i] @ z[j] - math.exp(-0.5 * d2)) < 0.06
