@@ -138,6 +138,45 @@ def score(model: PipelineModel, df: DataFrame, keep: Sequence[str] = ()) -> Data
     return out.select(*keep, s.alias("score"), F.col("prediction").cast("int").alias("pred"))
 
 
+def fit_mlp_early_stopping(train: DataFrame, features: Sequence[str], key: str, hidden: Sequence[int] = (100, 50),
+                           label: str = "label", max_iter: int = 500, step: int = 5, patience: int = 10,
+                           tol: float = 1e-4, validation_fraction: float = 0.1, seed: int = SEED):
+    """M7 with early stopping: hold out a hashed ``validation_fraction`` of the training rows,
+    train in chunks of ``step`` iterations continuing from the previous weights
+    (``initialWeights``), score validation accuracy after each chunk, stop once it has
+    not improved by ``tol`` for ``patience`` iterations, and keep the best weights.
+    Returns ``(PipelineModel, iterations_run, best_validation_accuracy)``.
+    """
+    from strata.functions.hashing import md5_uniform
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
+    u = md5_uniform(key, seed, "early_stop")
+    data = assembler.transform(train.withColumn("_u", u)).select(
+        "features", F.col(label).cast("double").alias(label), "_u")
+    fit_part = data.where(F.col("_u") >= validation_fraction).drop("_u").persist(StorageLevel.MEMORY_AND_DISK)
+    val_part = data.where(F.col("_u") < validation_fraction).drop("_u").persist(StorageLevel.MEMORY_AND_DISK)
+    layers = [len(features), *hidden, 2]
+    best, best_model, stale, done, weights = -1.0, None, 0, 0, None
+    try:
+        while done < max_iter:
+            est = MultilayerPerceptronClassifier(layers=layers, maxIter=step, seed=seed, labelCol=label)
+            if weights is not None:
+                est = est.setInitialWeights(weights)
+            m = est.fit(fit_part)
+            done += step
+            acc = m.transform(val_part).agg(F.avg((F.col("prediction") == F.col(label)).cast("double"))).first()[0]
+            if acc is not None and acc > best + tol:
+                best, best_model, stale = acc, m, 0
+            else:
+                stale += step
+                if stale >= patience:
+                    break
+            weights = m.weights
+    finally:
+        fit_part.unpersist()
+        val_part.unpersist()
+    return PipelineModel(stages=[assembler, best_model]), done, best
+
+
 def dummy_most_frequent(train: DataFrame, df: DataFrame, label: str = "label",
                         keep: Sequence[str] = ()) -> DataFrame:
     """M9: constant prediction = the training mode (ties -> smaller class); constant score."""

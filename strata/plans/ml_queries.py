@@ -46,6 +46,14 @@ for _q, _m in (("logreg", "logistic_regression"), ("random_forest", "random_fore
 FAST3 = ("logistic_regression", "naive_bayes", "random_forest")
 
 
+@_reg("mlp_early_stop")
+def q_mlp_early_stop(spark, sf):
+    """M7 as configured by the source: (100, 50) hidden units, early stopping on a 10 % hold-out."""
+    train, _, test, feats = _data(spark, sf)
+    pm, _, _ = models.fit_mlp_early_stopping(train, feats, fx.KEY, max_iter=200)
+    return models.score(pm, test, keep=[fx.KEY, "label"])
+
+
 @_reg("svm_rbf")
 def q_svm_rbf(spark, sf):
     """M5 with an approximate RBF kernel (random Fourier features + linear SVM)."""

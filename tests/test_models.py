@@ -54,3 +54,12 @@ def test_rbf_features_approximate_kernel(spark):
         for j in range(3):
             d2 = sum((x - y) ** 2 for x, y in zip(pts[i], pts[j]))
             assert abs(z[i] @ z[j] - math.exp(-0.5 * d2)) < 0.06
+
+
+def test_mlp_early_stopping_stops_and_scores(spark):
+    tr, te = _data(spark, True)
+    pm, iters, best = models.fit_mlp_early_stopping(tr, ["x1", "x2", "x3"], "k", hidden=(8,), max_iter=200,
+                                                    step=5, patience=10)
+    assert iters < 200 and 0.5 < best <= 1.0
+    auc = evaluate.roc_auc(models.score(pm, te, keep=["label"])).first()["roc_auc"]
+    assert auc > 0.8
