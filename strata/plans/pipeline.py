@@ -76,7 +76,7 @@ def features_stage(df: DataFrame, feats: list[str], k: int = 40, quick: bool = F
 def model_matrix(spark: SparkSession, sf_dir: str, folds: int = 5) -> tuple[DataFrame, list[str]]:
     """The processed matrix with CV folds on the train split, materialised once per session."""
     key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), folds)
-    if key not in _MATRIX:
+    if key not in _MATRIX or not io._exists(spark, _MATRIX[key][0]):
         df, feats = preprocess_stage(collect_stage(spark, sf_dir))
         train = split.assign_folds(df.where(F.col("split") == "train"), fx.KEY, "label", k=folds, seed=fx.SEED)
         rest = df.where(F.col("split") != "train").withColumn("fold", F.lit(-1))

@@ -96,13 +96,19 @@ def stage_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
 
     key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), name)
     path = _MATERIALIZED.get(key)
-    if path is None:
+    if path is None or not _exists(spark, path):
         path = scratch_path(spark, name)
         build().write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The entity profile as a stage table (see :func:`stage_table`)."""
     return stage_table(spark, sf_dir, "entity_profile", lambda: entity_profile(spark, sf_dir))
