@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import entropy_log2, max_share, right_closed_cut, row_sum, safe_ratio
-from strata.operators.rank import percent_rank_avg
+from strata.operators.rank import percent_ranks
 
 
 @dataclass(frozen=True)
@@ -111,12 +111,8 @@ def stability(df: DataFrame, cols: Sequence[str], eps: float = 1e-8) -> DataFram
 
 
 def percentile_features(df: DataFrame, cols: Sequence[str], suffix: str = "_percentile") -> DataFrame:
-    """Pandas ``rank(pct=True)`` for each column (exact, distributed)."""
-    out = df
-    for c in cols:
-        if c in df.columns:
-            out = percent_rank_avg(out, c, out_col=f"{c}{suffix}")
-    return out
+    """Pandas ``rank(pct=True)`` for each column (exact, distributed, one ranking pass)."""
+    return percent_ranks(df, [c for c in cols if c in df.columns], suffix=suffix)
 
 
 def interaction_columns(cols: Sequence[str], preferred: Sequence[str] | None = None,

@@ -43,18 +43,6 @@ def binary_metrics(df: DataFrame, label: str = "label", pred: str = "pred") -> D
                     prec.alias("precision"), rec.alias("recall"), _f1(prec, rec).alias("f1"))
 
 
-def _per_class(c: DataFrame) -> DataFrame:
-    """Per class precision/recall/F1/support from the 1-row confusion counts (2 rows)."""
-    tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
-    p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
-    p0, r0 = _div(tn, tn + fn), _div(tn, tn + fp)
-    return c.select(F.inline(F.array(
-        F.struct(F.lit("0").alias("class"), p0.alias("precision"), r0.alias("recall"), _f1(p0, r0).alias("f1"),
-                 (tn + fp).alias("support")),
-        F.struct(F.lit("1").alias("class"), p1.alias("precision"), r1.alias("recall"), _f1(p1, r1).alias("f1"),
-                 (tp + fn).alias("support")))))
-
-
 def weighted_metrics(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
     """Accuracy and support-weighted precision / recall / F1."""
     c = confusion_counts(df, label, pred)
@@ -90,24 +78,28 @@ def sensitivity_specificity(df: DataFrame, label: str = "label", pred: str = "pr
 
 
 def classification_report(df: DataFrame, label: str = "label", pred: str = "pred") -> DataFrame:
-    """Rows '0', '1', 'accuracy', 'macro avg', 'weighted avg' with precision/recall/f1/support."""
-    c = confusion_counts(df, label, pred).cache()
-    pc = _per_class(c)
-    n = F.col("n")
-    acc = c.select(F.lit("accuracy").alias("class"), _div(F.col("tp") + F.col("tn"), n).alias("precision"),
-                   _div(F.col("tp") + F.col("tn"), n).alias("recall"),
-                   _div(F.col("tp") + F.col("tn"), n).alias("f1"), n.alias("support"))
-    agg = pc.agg(F.avg("precision").alias("mp"), F.avg("recall").alias("mr"), F.avg("f1").alias("mf"),
-                 _div(F.sum(F.col("precision") * F.col("support")), F.sum("support")).alias("wp"),
-                 _div(F.sum(F.col("recall") * F.col("support")), F.sum("support")).alias("wr"),
-                 _div(F.sum(F.col("f1") * F.col("support")), F.sum("support")).alias("wf"),
-                 F.sum("support").alias("s"))
-    avgs = agg.select(F.inline(F.array(
-        F.struct(F.lit("macro avg").alias("class"), F.col("mp").alias("precision"), F.col("mr").alias("recall"),
-                 F.col("mf").alias("f1"), F.col("s").alias("support")),
-        F.struct(F.lit("weighted avg").alias("class"), F.col("wp").alias("precision"),
-                 F.col("wr").alias("recall"), F.col("wf").alias("f1"), F.col("s").alias("support")))))
-    return pc.unionByName(acc).unionByName(avgs)
+    """Rows '0', '1', 'accuracy', 'macro avg', 'weighted avg' with precision/recall/f1/support.
+
+    All five rows come from the single confusion-count row (one scan, one aggregate).
+    """
+    c = confusion_counts(df, label, pred)
+    tp, fp, fn, tn, n = (F.col(x) for x in ("tp", "fp", "fn", "tn", "n"))
+    p1, r1 = _div(tp, tp + fp), _div(tp, tp + fn)
+    p0, r0 = _div(tn, tn + fn), _div(tn, tn + fp)
+    f0, f1 = _f1(p0, r0), _f1(p1, r1)
+    s0, s1 = tn + fp, tp + fn
+    acc = _div(tp + tn, n)
+
+    def wavg(a0, a1):
+        return _div(a0 * s0.cast("double") + a1 * s1.cast("double"), s0 + s1)
+
+    def row(name, p_, r_, f_, sup):
+        return F.struct(F.lit(name).alias("class"), p_.alias("precision"), r_.alias("recall"), f_.alias("f1"),
+                        sup.cast("bigint").alias("support"))
+    return c.select(F.inline(F.array(
+        row("0", p0, r0, f0, s0), row("1", p1, r1, f1, s1), row("accuracy", acc, acc, acc, n),
+        row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, s0 + s1),
+        row("weighted avg", wavg(p0, p1), wavg(r0, r1), wavg(f0, f1), s0 + s1))))
 
 
 def score_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:

@@ -212,6 +212,28 @@ def percent_rank_avg(df: DataFrame, value_col: str, group_cols: Sequence[str] =
     return df.join(ranks, keys, "left")
 
 
+def percent_ranks(df: DataFrame, cols: Sequence[str], suffix: str = "_pct") -> DataFrame:
+    """pandas ``rank(pct=True)`` for several columns with ONE distinct-value pass.
+
+    The columns are unpivoted to ``(column, value)`` and ranked per column together;
+    each column's rank table is then joined back on its value (broadcast when the
+    measured distinct count is bounded, otherwise a planner-chosen equi-join).
+    """
+    cols = list(cols)
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
+        [], cols, "_col", "_v").where(F.col("_v").isNotNull())
+    oc = ordered_counts(long, ["_v"], ["_col"])
+    ranks = oc.select("_col", "_v", ((F.col("cum_before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
+                                     / F.col("total")).alias("_p"))
+    small = getattr(oc, "_strata_distinct", BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS
+    out = df
+    for c in cols:
+        rc = ranks.where(F.col("_col") == c).select(F.col("_v").alias(f"_k_{c}"), F.col("_p").alias(f"{c}{suffix}"))
+        rc = F.broadcast(rc) if small else rc
+        out = out.join(rc, F.col(c).cast("double") == F.col(f"_k_{c}"), "left").drop(f"_k_{c}")
+    return out
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = ()) -> dict:
     """Exact linear-interpolated quantiles (pandas / DuckDB ``quantile_cont``).
