@@ -24,6 +24,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEED = 42
+ROWS_PER_PARTITION = 500_000  # training rows per partition for iterative solvers
+
+
+def right_size(df: DataFrame, n_rows: int | None = None) -> DataFrame:
+    """Coalesce (never widen) to ``ceil(rows / ROWS_PER_PARTITION)`` partitions.
+
+    Iterative solvers run one job per iteration; on small inputs the per-task
+    overhead dominates, at scale the input keeps its partitioning (coalesce only
+    merges, it never shuffles).
+    """
+    import math
+    n = df.count() if n_rows is None else n_rows
+    want = max(1, math.ceil(n / ROWS_PER_PARTITION))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
 
 
 def base_models(n_features: int, n_rows: int | None = None, fast: bool = False) -> dict:
@@ -118,7 +132,7 @@ def fit(estimator, df: DataFrame, features: Sequence[str], label: str = "label")
     """Assemble once, persist the (features, label) pairs for the iterative solver, fit, release."""
     est = estimator.copy().setFeaturesCol("features").setLabelCol(label)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    data = assembler.transform(df).select("features", F.col(label).cast("double").alias(label))
+    data = assembler.transform(right_size(df)).select("features", F.col(label).cast("double").alias(label))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = est.fit(data)
@@ -240,7 +254,7 @@ def cross_validate(estimator, train: DataFrame, features: Sequence[str], label:
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid or [{}], evaluator=evaluator,
                         foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=SEED,
                         collectSubModels=False)
-    data = assemble(train, features).withColumn(fold_col, F.col(fold_col).cast("int"))
+    data = assemble(right_size(train), features).withColumn(fold_col, F.col(fold_col).cast("int"))
     m = cv.fit(data)
     return m, list(m.avgMetrics), list(m.stdMetrics)
 

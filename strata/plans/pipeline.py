@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,6 +121,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, steps: Sequence[str] = DEFAUL
     if "model" in steps and stage_path:
         data = spark.read.parquet(stage_path)
         train = split.assign_folds(data.where(F.col("split") == "train"), fx.KEY, "label", k=5, seed=fx.SEED)
+        # every candidate's CV folds, fits and searches read the same training rows
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)
         val = data.where(F.col("split") == "val")
         test = data.where(F.col("split") == "test")
         n_train = train.count()
@@ -148,6 +151,7 @@ def run_pipeline(spark: SparkSession, sf_dir: str, steps: Sequence[str] = DEFAUL
         auc = evaluate.roc_auc(sc).first()["roc_auc"]
         report += [("model", "best_test_auc", float(auc))]
         report.append(("model", f"best_is_{best}", 1.0))
+        train.unpersist()
     if "evaluate" in steps and stage_path:
         try:
             pm = models.load_model(spark, registry=f"{base}/registry")
