@@ -27,12 +27,18 @@ SEED = 42
 ROWS_PER_PARTITION = 500_000  # training rows per partition for iterative solvers
 
 
+def _light_per_row(estimator) -> bool:
+    """Solvers whose per-iteration work per row is tiny (task overhead dominates on small inputs)."""
+    return isinstance(estimator, (LogisticRegression, LinearSVC, NaiveBayes))
+
+
 def right_size(df: DataFrame, n_rows: int | None = None) -> DataFrame:
     """Coalesce (never widen) to ``ceil(rows / ROWS_PER_PARTITION)`` partitions.
 
-    Iterative solvers run one job per iteration; on small inputs the per-task
+    Linear solvers run one light job per iteration; on small inputs the per-task
     overhead dominates, at scale the input keeps its partitioning (coalesce only
-    merges, it never shuffles).
+    merges, it never shuffles).  Compute-heavy solvers (trees, perceptron) keep
+    the input partitioning.
     """
     import math
     n = df.count() if n_rows is None else n_rows
@@ -132,7 +138,8 @@ def fit(estimator, df: DataFrame, features: Sequence[str], label: str = "label")
     """Assemble once, persist the (features, label) pairs for the iterative solver, fit, release."""
     est = estimator.copy().setFeaturesCol("features").setLabelCol(label)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    data = assembler.transform(right_size(df)).select("features", F.col(label).cast("double").alias(label))
+    src = right_size(df) if _light_per_row(estimator) else df
+    data = assembler.transform(src).select("features", F.col(label).cast("double").alias(label))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = est.fit(data)
@@ -254,7 +261,8 @@ def cross_validate(estimator, train: DataFrame, features: Sequence[str], label:
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid or [{}], evaluator=evaluator,
                         foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=SEED,
                         collectSubModels=False)
-    data = assemble(right_size(train), features).withColumn(fold_col, F.col(fold_col).cast("int"))
+    src = right_size(train) if _light_per_row(estimator) else train
+    data = assemble(src, features).withColumn(fold_col, F.col(fold_col).cast("int"))
     m = cv.fit(data)
     return m, list(m.avgMetrics), list(m.stdMetrics)
 
