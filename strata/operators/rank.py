@@ -71,40 +71,60 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
     g = g.withColumn("_k", F.col(order_cols[0]).cast("double") * F.lit(sign))
     g = g.persist(StorageLevel.MEMORY_AND_DISK)
 
+    gfields = [g.schema[c] for c in gcols]
+    size_aggs = [F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("_ndist"),
+                 *[F.sum(n).alias(f"total_{n}") for n in weights]]
+    sizes = g.groupBy(*gcols).agg(*size_aggs)
+    size_schema = T.StructType(gfields + [
+        T.StructField("total", T.LongType()), T.StructField("_ndist", T.LongType()),
+        *[T.StructField(f"total_{n}", g.schema[n].dataType) for n in weights]])
+    size_rows = sizes.limit(MAX_GROUPS + 1).collect()
+    if len(size_rows) <= MAX_GROUPS:
+        # few groups: their sizes are a bounded literal table (broadcast joins below)
+        sizes = F.broadcast(spark.createDataFrame([tuple(r) for r in size_rows], size_schema))
+        hot = [tuple(r[c] for c in gcols) for r in size_rows if r["_ndist"] > single_bucket_max]
+        n_distinct = sum(r["_ndist"] for r in size_rows)
+    else:
+        # many groups: sizes stay distributed; only the hot groups are listed (bounded)
+        hot = [tuple(r[c] for c in gcols) for r in
+               sizes.where(F.col("_ndist") > single_bucket_max).select(*gcols).limit(MAX_GROUPS + 1).collect()]
+        n_distinct = None
+        if len(hot) > MAX_GROUPS:
+            raise ValueError(f"ordered_counts: more than {MAX_GROUPS} groups with over {single_bucket_max} "
+                             "distinct values each; raise single_bucket_max")
+    zero_offsets = {"_oc": F.lit(0).cast("long"), "_od": F.lit(0).cast("long"),
+                    **{f"_ow_{n}": F.lit(0).cast(g.schema[n].dataType) for n in weights}}
+    keyed = g.join(sizes.drop("_ndist"), gcols)
+    parts = []
+    if hot:
+        hot_df = spark.createDataFrame(hot, T.StructType(gfields))  # bounded: <= MAX_GROUPS rows
+        cold = keyed.join(F.broadcast(hot_df), gcols, "left_anti")
+    else:
+        cold = keyed
+    # cold groups (<= single_bucket_max distinct values each, size-checked): one window partition per group
+    parts.append(cold.withColumns({"_bucket": F.lit(0), **zero_offsets}))
+    if hot:
+        parts.append(_hot_groups(spark, g, keyed.join(F.broadcast(hot_df), gcols, "left_semi"), gcols, gfields,
+                                 weights, buckets, accuracy))
+    res = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
+    out._strata_cached = [g]
+    out._strata_distinct = n_distinct
+    return out
+
+
+def _hot_groups(spark, g: DataFrame, rows: DataFrame, gcols, gfields, weights, buckets, accuracy) -> DataFrame:
+    """Groups with many distinct values: P value buckets from approximate quantiles
+    (hot groups x P boundaries reach the driver), exact per-bucket totals -> prefix
+    offsets (hot groups x P rows), so each window partition is one bucket."""
     p = max(2, min(buckets or default_parallelism(spark), MAX_BUCKETS))
     probs = [i / p for i in range(1, p)]
-    bnd = g.groupBy(*gcols).agg(
-        F.percentile_approx("_k", probs, accuracy).alias("_b"),
-        F.sum("cnt").alias("total"),
-        F.count(F.lit(1)).alias("_ndist"),
-        *[F.sum(n).alias(f"total_{n}") for n in weights],
-    ).collect()
-    if len(bnd) > MAX_GROUPS:
-        raise ValueError(f"ordered_counts: {len(bnd)} groups exceeds {MAX_GROUPS}; "
-                         "use a per-group window for many small groups")
-    gfields = [g.schema[c] for c in gcols]
-    bnd_schema = T.StructType(gfields + [
-        T.StructField("_b", T.ArrayType(T.DoubleType())),
-        T.StructField("total", T.LongType()),
-        *[T.StructField(f"total_{n}", g.schema[n].dataType) for n in weights],
-    ])
-    bnd_rows = [tuple(r[c] for c in gcols) + (sorted(set(x for x in (r["_b"] or []) if x is not None)),
-                                              r["total"]) + tuple(r[f"total_{n}"] for n in weights)
+    bnd = rows.groupBy(*gcols).agg(F.percentile_approx("_k", probs, accuracy).alias("_b")).collect()
+    bnd_schema = T.StructType(gfields + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
+    bnd_rows = [tuple(r[c] for c in gcols) + (sorted(set(x for x in (r["_b"] or []) if x is not None)),)
                 for r in bnd]
     bnd_df = spark.createDataFrame(bnd_rows, bnd_schema)  # bounded: <= MAX_GROUPS rows
-
-    max_distinct = max((r["_ndist"] for r in bnd), default=0)
-    gb = g.join(F.broadcast(bnd_df), gcols)
-    if max_distinct <= single_bucket_max:
-        # size-checked fast path: every group has few distinct values, so one
-        # window partition per group is bounded; no bucket offsets are needed
-        res = gb.drop("_b").withColumns({"_bucket": F.lit(0), "_oc": F.lit(0).cast("long"),
-                                         "_od": F.lit(0).cast("long"),
-                                         **{f"_ow_{n}": F.lit(0).cast(g.schema[n].dataType) for n in weights}})
-        out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
-        out._strata_cached = [g]
-        out._strata_distinct = sum(r["_ndist"] for r in bnd)
-        return out
+    gb = rows.join(F.broadcast(bnd_df), gcols)
     gb = gb.withColumn("_bucket", _bucket_of(F.col("_b"), F.col("_k"), p)).drop("_b")
 
     tot = gb.groupBy(*gcols, "_bucket").agg(
@@ -128,13 +148,8 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
         T.StructField("_oc", T.LongType()), T.StructField("_od", T.LongType()),
         *[T.StructField(f"_ow_{n}", g.schema[n].dataType) for n in weights],
     ])
-    off_df = spark.createDataFrame(off_rows, off_schema)  # bounded: groups x P rows
-
-    res = gb.join(F.broadcast(off_df), gcols + ["_bucket"])
-    out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
-    out._strata_cached = [g]
-    out._strata_distinct = sum(r["_ndist"] for r in bnd)
-    return out
+    off_df = spark.createDataFrame(off_rows, off_schema)  # bounded: hot groups x P rows
+    return gb.join(F.broadcast(off_df), gcols + ["_bucket"])
 
 
 def _bucket_of(bounds: Column, k: Column, p: int) -> Column:
@@ -206,7 +221,7 @@ def percent_rank_avg(df: DataFrame, value_col: str, group_cols: Sequence[str] =
     ranks = oc.select(*group_cols, value_col,
                       ((F.col("cum_before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
                        / F.col("total")).alias(out_col))
-    if getattr(oc, "_strata_distinct", BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS:
+    if (getattr(oc, "_strata_distinct", None) or BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS:
         ranks = F.broadcast(ranks)
     keys = list(group_cols) + [value_col]
     return df.join(ranks, keys, "left")
@@ -225,7 +240,7 @@ def percent_ranks(df: DataFrame, cols: Sequence[str], suffix: str = "_pct") -> D
     oc = ordered_counts(long, ["_v"], ["_col"])
     ranks = oc.select("_col", "_v", ((F.col("cum_before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
                                      / F.col("total")).alias("_p"))
-    small = getattr(oc, "_strata_distinct", BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS
+    small = (getattr(oc, "_strata_distinct", None) or BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS
     out = df
     for c in cols:
         rc = ranks.where(F.col("_col") == c).select(F.col("_v").alias(f"_k_{c}"), F.col("_p").alias(f"{c}{suffix}"))

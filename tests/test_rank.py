@@ -101,3 +101,24 @@ def test_many_buckets_exact(spark):
     oc = ordered_counts(df.where("v IS NOT NULL"), ["v"], buckets=400, single_bucket_max=0).toPandas().sort_values("v")
     agg = pdf.dropna().groupby("v").size().sort_index()
     assert list(oc.cum) == list(agg.cumsum())
+
+
+@pytest.mark.parametrize("max_groups", [10, 1000])
+def test_many_groups_with_hot_ones(spark, monkeypatch, max_groups):
+    """More groups than MAX_GROUPS, two of them hot: exact per-group ranks either way."""
+    import strata.operators.rank as R
+    monkeypatch.setattr(R, "MAX_GROUPS", max_groups)
+    rng = np.random.default_rng(21)
+    g = np.concatenate([rng.integers(2, 40, 1500), np.zeros(800, int), np.ones(700, int)])
+    v = np.round(rng.normal(0, 5, len(g)), 1)
+    pdf = pd.DataFrame({"g": g, "v": v})
+    df = spark.createDataFrame(pdf)
+    oc = R.ordered_counts(df, ["v"], ["g"], buckets=7, single_bucket_max=50).toPandas()
+    want = pdf.groupby(["g", "v"]).size().rename("cnt").reset_index()
+    want["cum"] = want.sort_values(["g", "v"]).groupby("g")["cnt"].cumsum()
+    m = oc.merge(want, on=["g", "v"], suffixes=("", "_w"))
+    assert len(m) == len(want) == len(oc)
+    assert (m.cnt == m.cnt_w).all() and (m.cum == m.cum_w).all()
+    q = R.exact_quantiles(df, ["v"], [0.5], group_cols=["g"]) if max_groups > 40 else None
+    if q is not None:
+        assert np.isclose(q[(0, "v")][0], np.median(pdf[pdf.g == 0].v))
