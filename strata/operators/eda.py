@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import md5_uniform
-from strata.operators.rank import exact_quantiles
+from strata.operators.rank import exact_quantiles, grouped_quantiles
 
 
 def _stack(wide: DataFrame, names: Sequence[str], prefix: str, out_cols: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -110,6 +110,20 @@ def top_label_correlations(df: DataFrame, label: str, cols: Sequence[str], k: in
 MAX_HIST_GROUPS = 4096
 
 
+def _np_bin(x, lo, hi, bins: int):
+    """numpy.histogram's uniform-bin index: ``(x - lo) * (bins / (hi - lo))`` truncated, then
+    corrected against the ``linspace`` edges ``lo + i * ((hi - lo) / bins)`` (last edge = hi,
+    last bin closed)."""
+    step = (hi - lo) / F.lit(float(bins))
+    i0 = F.least(F.floor((x - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)).cast("int")
+
+    def edge(i):
+        return F.when(i >= F.lit(bins), hi).otherwise(i.cast("double") * step + lo)
+    down = x < edge(i0)
+    up = (x >= edge(i0 + 1)) & (i0 != F.lit(bins - 1))
+    return F.when(down, i0 - 1).when(up, i0 + 1).otherwise(i0)
+
+
 def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = None,
               density: bool = False) -> DataFrame:
     """Equal-width bins over [min, max] (per group if given); last bin closed.
@@ -124,10 +138,10 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
     if group is None:
         data = data.withColumn("_g", F.lit(0))
     gcols = [group or "_g"]
-    rows = (data.groupBy(*gcols).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(F.lit(1)).alias("_n"))
-            .limit(MAX_HIST_GROUPS + 1).collect())
+    rng_all = data.groupBy(*gcols).agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    rows = rng_all.limit(MAX_HIST_GROUPS + 1).collect()
     if len(rows) > MAX_HIST_GROUPS:
-        raise ValueError(f"histogram: more than {MAX_HIST_GROUPS} groups")
+        return _histogram_many_groups(data, x, column, gcols, rng_all, bins, density)
     # numpy: a zero-width range becomes [v - 0.5, v + 0.5]
     ranges = []
     for r in rows:
@@ -139,25 +153,46 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
     if group is None:
         # one range: inline it (narrow binning, no join at all)
         (_, n_all, lo, hi, w), = ranges
-        b = F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(bins)), F.lit(bins - 1))
-        counts = data.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        b = _np_bin(x, F.lit(lo), F.lit(hi), bins)
+        counts = data.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
         grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
         out = grid.join(counts, "bin", "left").select(
-            "bin", (F.lit(lo) + F.col("bin") * F.lit(w)).alias("lo"),
-            F.when(F.col("bin") == bins - 1, F.lit(hi)).otherwise(F.lit(lo) + (F.col("bin") + 1) * F.lit(w)).alias("hi"),
+            "bin", (F.col("bin") * F.lit(w) + F.lit(lo)).alias("lo"),
+            F.when(F.col("bin") == bins - 1, F.lit(hi)).otherwise((F.col("bin") + 1) * F.lit(w) + F.lit(lo)).alias("hi"),
             F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
         if density:
             out = out.withColumn("density", F.col("n") / F.lit(n_all * w))
         return out
-    b = F.least(F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(bins)), F.lit(bins - 1))
+    b = _np_bin(x, F.col("_lo"), F.col("_hi"), bins)
     # rng has one row per group (checked bound): equi-join on the group key, broadcast
     counts = (data.select(*gcols, x.alias(column)).join(F.broadcast(rng), gcols)
-              .groupBy(*gcols, b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+              .groupBy(*gcols, b.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     out = grid.join(counts, gcols + ["bin"], "left").select(
-        *gcols, "bin", (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
+        *gcols, "bin", (F.col("bin") * F.col("_w") + F.col("_lo")).alias("lo"),
         F.when(F.col("bin") == bins - 1, F.col("_hi"))
-        .otherwise(F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"),
+        .otherwise((F.col("bin") + 1) * F.col("_w") + F.col("_lo")).alias("hi"),
+        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), "_n", "_w")
+    if density:
+        out = out.withColumn("density", F.col("n") / (F.col("_n") * F.col("_w")))
+    return out.drop("_n", "_w")
+
+
+def _histogram_many_groups(data, x, column, gcols, rng_all, bins, density) -> DataFrame:
+    """Histogram for many groups: the per-group ranges stay distributed (equi-joins, no broadcast hint)."""
+    same = F.col("_lo") == F.col("_hi")
+    rng = rng_all.select(*gcols, "_n",
+                         F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"),
+                         F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
+    rng = rng.withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(bins))
+    b = _np_bin(x, F.col("_lo"), F.col("_hi"), bins)
+    counts = (data.select(*gcols, x.alias(column)).join(rng, gcols)
+              .groupBy(*gcols, b.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
+    grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    out = grid.join(counts, gcols + ["bin"], "left").select(
+        *gcols, "bin", (F.col("bin") * F.col("_w") + F.col("_lo")).alias("lo"),
+        F.when(F.col("bin") == bins - 1, F.col("_hi"))
+        .otherwise((F.col("bin") + 1) * F.col("_w") + F.col("_lo")).alias("hi"),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"), "_n", "_w")
     if density:
         out = out.withColumn("density", F.col("n") / (F.col("_n") * F.col("_w")))
@@ -167,21 +202,16 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
 def boxplot_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> DataFrame:
     """A10: per group Q1, median, Q3, whiskers (extreme values inside the fences) and flier count.
 
-    Quartiles are exact and distributed; the fences (one row per group, bounded
-    by the group count) are joined back on the group key for one aggregation pass.
+    Quartiles are exact and distributed (:func:`grouped_quantiles`, one row per
+    group); the fences are joined back on the group key (an equi-join the planner
+    broadcasts when the group table is small) for one aggregation pass.
     """
-    qs = exact_quantiles(df, [value], [0.25, 0.5, 0.75], group_cols=[group])
-    rows = []
-    for key, (q1, med, q3) in qs.items():
-        if q1 is None:
-            continue
-        iqr = q3 - q1
-        rows.append((key[0], q1, med, q3, q1 - k * iqr, q3 + k * iqr))
-    gtype = df.schema[group].dataType.simpleString()
-    fences = df.sparkSession.createDataFrame(
-        rows, f"{group} {gtype}, q1 double, median double, q3 double, lower double, upper double")
+    q = grouped_quantiles(df, value, [group], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
+    fences = q.select(group, "q1", "median", "q3",
+                      (F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))).alias("lower"),
+                      (F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))).alias("upper"))
     x = F.col(value).cast("double")
-    joined = df.select(group, x.alias("_x")).where(F.col("_x").isNotNull()).join(F.broadcast(fences), group)
+    joined = df.select(group, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")).join(fences, group)
     inside = (F.col("_x") >= F.col("lower")) & (F.col("_x") <= F.col("upper"))
     return joined.groupBy(group, "q1", "median", "q3", "lower", "upper").agg(
         F.min(F.when(inside, F.col("_x"))).alias("whisker_lo"),

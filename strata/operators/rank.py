@@ -249,6 +249,31 @@ def percent_ranks(df: DataFrame, cols: Sequence[str], suffix: str = "_pct") -> D
     return out
 
 
+def grouped_quantiles(df: DataFrame, value: str, group_cols: Sequence[str], probs: Sequence[float],
+                      names: Sequence[str] | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles per group as a DataFrame (nothing collected).
+
+    From the distinct-value table, the (at most two) values around each wanted rank
+    are picked by one grouped aggregate and interpolated -- scales with the number
+    of groups.
+    """
+    gcols = list(group_cols)
+    names = list(names or [f"q{i}" for i in range(len(probs))])
+    x = df.select(*gcols, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    oc = ordered_counts(x, ["_v"], gcols)
+    inside = lambda r: (r >= F.col("cum_before")) & (r < F.col("cum"))
+    aggs = []
+    for i, p_ in enumerate(probs):
+        pos = F.lit(float(p_)) * (F.col("total") - F.lit(1)).cast("double")
+        aggs += [F.max(F.when(inside(F.floor(pos)), F.col("_v"))).alias(f"_lo{i}"),
+                 F.max(F.when(inside(F.ceil(pos)), F.col("_v"))).alias(f"_hi{i}"),
+                 F.first(pos - F.floor(pos)).alias(f"_fr{i}")]
+    picked = oc.groupBy(*gcols).agg(*aggs)
+    return picked.select(*gcols, *[
+        (F.col(f"_lo{i}") + F.col(f"_fr{i}") * (F.col(f"_hi{i}") - F.col(f"_lo{i}"))).alias(n)
+        for i, n in enumerate(names)])
+
+
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = ()) -> dict:
     """Exact linear-interpolated quantiles (pandas / DuckDB ``quantile_cont``).

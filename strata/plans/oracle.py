@@ -426,19 +426,28 @@ SELECT {r6(dv('tp + tn', 'n'))} AS accuracy, round(auc, 6) AS roc_auc,
 
 
 def _hist_sql(table, col, bins, group, density, digits, with_prefix=True):
+    """numpy.histogram binning: truncated ``(x - lo) * (bins / (hi - lo))`` corrected against the
+    linspace edges ``i * ((hi - lo) / bins) + lo``; the last bin is closed."""
     g = group or "NULL"
-    gsel = f"{group}, " if group else ""
-    gjoin = f"ON r.{group} = c.{group} AND" if group else "ON"
+    step = f"((rg.hi - rg.lo) / {float(bins)})"
+
+    def edge(i):
+        return f"(CASE WHEN {i} >= {bins} THEN rg.hi ELSE CAST({i} AS DOUBLE) * {step} + rg.lo END)"
+    i0 = f"least(CAST(floor((t.{col} - rg.lo) * ({float(bins)} / (rg.hi - rg.lo))) AS BIGINT), {bins - 1})"
     body = f"""rg0 AS (SELECT {g} AS grp, min({col}) AS lo0, max({col}) AS hi0, count(*) AS n FROM {table}
                 WHERE {col} IS NOT NULL GROUP BY ALL),
 rg AS (SELECT grp, n, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo,
               CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM rg0),
-bn AS (SELECT {g} AS grp, least(CAST(floor(({col} - lo) / (hi - lo) * {bins}) AS BIGINT), {bins - 1}) AS bin, count(*) AS c
+b0 AS (SELECT rg.grp, t.{col} AS x, {i0} AS i0, rg.lo, rg.hi
        FROM {table} t JOIN rg ON rg.grp IS NOT DISTINCT FROM {('t.' + group) if group else 'NULL'}
-       WHERE {col} IS NOT NULL GROUP BY ALL)
+       WHERE t.{col} IS NOT NULL),
+bn AS (SELECT grp, CASE WHEN x < {edge('i0').replace('rg.', 'b0.')} THEN i0 - 1
+                        WHEN x >= {edge('(i0 + 1)').replace('rg.', 'b0.')} AND i0 <> {bins - 1} THEN i0 + 1
+                        ELSE i0 END AS bin, count(*) AS c
+       FROM b0 GROUP BY ALL)
 SELECT {'rg.grp AS ' + group + ', ' if group else ''}CAST(s.range AS INTEGER) AS bin,
-       round(rg.lo + s.range * (rg.hi - rg.lo) / {bins}, {digits}) AS lo,
-       round(CASE WHEN s.range = {bins - 1} THEN rg.hi ELSE rg.lo + (s.range + 1) * (rg.hi - rg.lo) / {bins} END, {digits}) AS hi,
+       round(CAST(s.range AS DOUBLE) * {step} + rg.lo, {digits}) AS lo,
+       round(CASE WHEN s.range = {bins - 1} THEN rg.hi ELSE CAST(s.range + 1 AS DOUBLE) * {step} + rg.lo END, {digits}) AS hi,
        CAST(coalesce(bn.c, 0) AS BIGINT) AS n
        {f", round(coalesce(bn.c, 0) / (rg.n * ((rg.hi - rg.lo) / {bins})), {digits}) AS density" if density else ''}
 FROM rg CROSS JOIN range({bins}) s LEFT JOIN bn ON bn.grp IS NOT DISTINCT FROM rg.grp AND bn.bin = s.range"""

@@ -85,3 +85,21 @@ def test_boxplot_whiskers(spark):
     rows = [("g", float(v)) for v in [1, 2, 3, 4, 5, 6, 7, 8, 100]]
     r = eda.boxplot_stats(spark.createDataFrame(rows, "k string, v double"), "v", "k").first()
     assert r["q1"] == 3.0 and r["q3"] == 7.0 and r["whisker_hi"] == 8.0 and r["n_fliers"] == 1
+
+
+def test_grouped_quantiles_and_many_group_histogram(spark, monkeypatch):
+    import pandas as pd
+
+    import strata.operators.eda as E
+    from strata.operators.rank import grouped_quantiles
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"g": rng.integers(0, 30, 3000), "v": np.round(rng.normal(0, 3, 3000), 1)})
+    df = spark.createDataFrame(pdf)
+    q = {r["g"]: r for r in grouped_quantiles(df, "v", ["g"], [0.25, 0.5], ["a", "b"]).collect()}
+    for gv, sub in pdf.groupby("g"):
+        assert np.allclose([q[gv]["a"], q[gv]["b"]], np.quantile(sub.v, [0.25, 0.5]))
+    monkeypatch.setattr(E, "MAX_HIST_GROUPS", 5)
+    h = E.histogram(df, "v", bins=10, group="g").collect()
+    for gv, sub in pdf.groupby("g"):
+        want, _ = np.histogram(sub.v, bins=10)
+        assert [r["n"] for r in sorted((r for r in h if r["g"] == gv), key=lambda r: r["bin"])] == list(want)
