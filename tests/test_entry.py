@@ -17,20 +17,33 @@ def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
 
 
-@pytest.mark.parametrize("name", ["profile", "iqr_cap", "label_hybrid", "split", "roc_auc", "threshold_sweep",
-                                  "pct_rank", "mutual_info", "boxplot", "flagship"])
-def test_oracle_agrees_sf0001(spark, name):
-    con = duckdb.connect()
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return c
+
+
+def _norm(v):
+    if isinstance(v, bool) or v is None:
+        return v
+    if isinstance(v, (int, float)):
+        return round(float(v), 6)
+    return v
+
+
+def _rows(pairs_list):
+    rows = [tuple((k, _norm(v)) for k, v in sorted(r)) for r in pairs_list]
+    return sorted(rows, key=lambda r: tuple((v is None, str(v)) for _, v in r))
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_oracle_agrees_sf0001(spark, con, name):
     sdf = E.queries()[name](spark, SF)
-    srows = sorted(tuple(sorted(r.asDict().items())) for r in sdf.collect())
+    srows = _rows(r.asDict().items() for r in sdf.collect())
     res = con.execute(E.oracle_sql()[name])
     cols = [d[0] for d in res.description]
-    drows = sorted(tuple(sorted(zip(cols, r))) for r in res.fetchall())
+    drows = _rows(zip(cols, r) for r in res.fetchall())
     assert len(srows) == len(drows)
-
-    def norm(rows):
-        return sorted(tuple((k, round(float(v), 6) if isinstance(v, (int, float)) and not isinstance(v, bool)
-                             else v) for k, v in r) for r in rows)
-    assert norm(srows) == norm(drows)
+    assert srows == drows
