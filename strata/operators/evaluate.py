@@ -221,6 +221,20 @@ def headline_metrics(scored: DataFrame, label: str = "label", score: str = "scor
     return acc.unionByName(auc).agg(F.max("accuracy").alias("accuracy"), F.max("roc_auc").alias("roc_auc"))
 
 
+def evaluation_summary(scored: DataFrame, label: str = "label", score: str = "score",
+                       pred: str = "pred") -> DataFrame:
+    """E15 headline: long ``(metric, value)`` -- accuracy, support-weighted precision / recall / F1,
+    ROC AUC and PR AUC; the two single-row results are combined by union (no join)."""
+    w = weighted_metrics(scored, label, pred).select(F.inline(F.array(
+        *[F.struct(F.lit(m).alias("metric"), F.col(c).alias("value")) for m, c in
+          (("accuracy", "accuracy"), ("precision_weighted", "precision"), ("recall_weighted", "recall"),
+           ("f1_weighted", "f1"))])))
+    a = roc_auc(scored, label, score).select(F.inline(F.array(
+        F.struct(F.lit("roc_auc").alias("metric"), F.col("roc_auc").alias("value")),
+        F.struct(F.lit("pr_auc").alias("metric"), F.col("pr_auc").alias("value")))))
+    return w.unionByName(a)
+
+
 def evaluate(scored: DataFrame, label: str = "label", score: str = "score", pred: str = "pred") -> dict:
     """The whole bundle over one persisted scored frame (each output lazy)."""
     s = scored.select(label, score, pred).cache()

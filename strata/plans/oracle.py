@@ -366,6 +366,17 @@ SELECT round(sum(pos * ((tn_all - cum_neg) + neg / 2.0)) / (max(tp_all) * max(tn
          AS pr_auc,
        round(max(tp_all) / (max(tp_all) + max(tn_all)), 6) AS prevalence,
        CAST(max(tp_all) + max(tn_all) AS BIGINT) AS n FROM cu"""
+    s["evaluation_summary"] = f"""WITH {curve}, {cnt},
+a AS (SELECT sum(pos * ((tn_all - cum_neg) + neg / 2.0)) / (max(tp_all) * max(tn_all)) AS roc,
+             sum(({dv('cum_pos', 'tp_all')} - {dv('cum_pos - pos', 'tp_all')})
+                 * ({dv('cum_pos', 'cum')} + CASE WHEN cum - cnt = 0 THEN 1.0 ELSE {dv('cum_pos - pos', 'cum - cnt')} END) / 2.0)
+               AS pr FROM cu)
+SELECT 'accuracy' AS metric, {r6(dv('tp + tn', 'n'))} AS value FROM cc
+UNION ALL SELECT 'precision_weighted', {r6(wv(p0, p1))} FROM cc
+UNION ALL SELECT 'recall_weighted', {r6(wv(r0, r1))} FROM cc
+UNION ALL SELECT 'f1_weighted', {r6(wv(f1(p0, r0), f1(p1, r1)))} FROM cc
+UNION ALL SELECT 'roc_auc', round(roc, 6) FROM a
+UNION ALL SELECT 'pr_auc', round(pr, 6) FROM a"""
     s["confusion"] = f"""WITH {S}, {cnt}
 SELECT 0 AS label, 0 AS pred, tn AS n, {r6(dv('tn', 'tn + fp'))} AS row_share FROM cc UNION ALL
 SELECT 0, 1, fp, {r6(dv('fp', 'tn + fp'))} FROM cc UNION ALL

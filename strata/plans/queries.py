@@ -415,6 +415,11 @@ def q_threshold_sweep(spark, sf):
     return rounded(evaluate.threshold_sweep(_scored(spark, sf)))
 
 
+@query("evaluation_summary")
+def q_evaluation_summary(spark, sf):
+    return rounded(evaluate.evaluation_summary(_scored(spark, sf)))
+
+
 @query("grade")
 def q_grade(spark, sf):
     return rounded(evaluate.grade(evaluate.headline_metrics(_scored(spark, sf))))
