@@ -48,6 +48,7 @@ def derived_ratios(df: DataFrame, specs: Sequence[Ratio], sums: dict[str, Sequen
     return df.withColumns(exprs)
 
 
+# Experience-tier edges (right-closed) 0, 50, 200, 500, 1000, infinity.
 TIER_EDGES = (0.0, 50.0, 200.0, 500.0, 1000.0, float("inf"))
 
 

@@ -204,14 +204,19 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score", s
     return res.withColumn("is_best", (F.row_number().over(wb) == 1))
 
 
+# Grade bands -- accuracy .85 / .75 / .65, ROC AUC .9 / .8 / .7.
+ACCURACY_BANDS = (0.85, 0.75, 0.65)
+AUC_BANDS = (0.9, 0.8, 0.7)
+
+
 def grade(metrics: DataFrame) -> DataFrame:
-    """Accuracy bands .85/.75/.65 and AUC bands .9/.8/.7 on a metrics row (accuracy, roc_auc)."""
+    """Accuracy and AUC bands on a metrics row (accuracy, roc_auc)."""
     def band(c, cuts):
         return (F.when(c >= cuts[0], "excellent").when(c >= cuts[1], "good")
                 .when(c >= cuts[2], "fair").otherwise("poor"))
     return metrics.select("accuracy", "roc_auc",
-                          band(F.col("accuracy"), (0.85, 0.75, 0.65)).alias("accuracy_grade"),
-                          band(F.col("roc_auc"), (0.9, 0.8, 0.7)).alias("auc_grade"))
+                          band(F.col("accuracy"), ACCURACY_BANDS).alias("accuracy_grade"),
+                          band(F.col("roc_auc"), AUC_BANDS).alias("auc_grade"))
 
 
 def headline_metrics(scored: DataFrame, label: str = "label", score: str = "score", pred: str = "pred") -> DataFrame:
