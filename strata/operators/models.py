@@ -46,6 +46,9 @@ def right_size(df: DataFrame, n_rows: int | None = None) -> DataFrame:
     return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
 
 
+# Fixed values (source models): logistic regression C = 1, max_iter 1000; random forest 100 trees,
+# depth 10; boosting 100 rounds, learning rate .1, depth 6; extra trees 100 trees, depth 10;
+# SVC C = 1; perceptron hidden (100, 50), max_iter 500; seed 42.
 def base_models(n_features: int, n_rows: int | None = None, fast: bool = False) -> dict:
     """M1-M8 as MLlib estimators (``fast`` shrinks iteration counts for smoke runs)."""
     trees = 20 if fast else 100
