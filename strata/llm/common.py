@@ -91,9 +91,10 @@ def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterat
         at = end
 
 
-def word_spans(data: np.ndarray, off: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, off: np.ndarray, table: np.ndarray,
+               cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Byte starts and ends of all words, and the index of each row's first word (their number last).
-    A row's end ends a word."""
+    A row's end ends a word, and so does each position of ``cuts`` within a word."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(off), np.int64)
     inside = table[data]
@@ -103,6 +104,9 @@ def word_spans(data: np.ndarray, off: np.ndarray, table: np.ndarray) -> tuple[np
     edges = off[(off > 0) & (off < len(data))]
     first[edges] = inside[edges]
     last[edges - 1] = inside[edges - 1]
+    if cuts is not None:
+        first[cuts] = inside[cuts]
+        last[cuts - 1] = inside[cuts - 1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(starts, off)
 

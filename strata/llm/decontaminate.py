@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import ALNUM_WORDS, CHUNK_BYTES, LOWER, chunks, executors_import_this, packed_words, text_buffer, word_spans
 from strata.llm.fm_index import FMIndex
@@ -24,8 +25,11 @@ BLOCK_BYTES = 32 << 20
 #: Percent of a document's words that must be hit.
 CONTAMINATED_PERCENT = 5
 
-RESULT = ("n_words long, n_hit long, items array<string>, "
-          "spans array<struct<start:long,end:long>>, contaminated boolean")
+RESULT = T.StructType([
+    T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()),
+    T.StructField("items", T.ArrayType(T.StringType())),
+    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
+    T.StructField("contaminated", T.BooleanType())])
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -142,7 +146,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
             blocks.append(Phrases(block, window))
             block, size = [], 0
     sent = [spark.sparkContext.broadcast(x) for x in [*blocks, Phrases(block, window)]]
-    added = [x.split()[0] for x in RESULT.split(", ")]
+    added = RESULT.names
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
 
     def shards(batches):
@@ -153,8 +157,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
                 yield pa.RecordBatch.from_arrays(kept + _shard_result(part, "__text", phrases), names=keep + added)
 
     read = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes), RESULT])
-    return read.mapInArrow(shards, schema)
+    return read.mapInArrow(shards, T.StructType([*docs.select(*keep).schema, *RESULT]))
 
 
 def items_digest(items) -> F.Column:

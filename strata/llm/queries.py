@@ -2,25 +2,53 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm.decontaminate import decontaminate, items_digest
+from strata.llm.line_dedup import deduplicate_lines
+from strata.llm.packing import pack
 from strata.llm.simhash import near_duplicates
 from strata.sources.tables import read_table
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), id="doc_id")
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deduplicate_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_near_dedup, op9_benchmark_decontamination)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_simhash_near_dedup, op8_line_dedup, op9_benchmark_decontamination)}
+BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE = {
+    "op8_line_dedup": f"""
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+        keyed AS (SELECT *, trim({LOWERED.format('line')}, {BLANKS}) AS key FROM lines),
+        repeated AS (SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
+                     GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+        marked AS (SELECT k.*, r.key IS NOT NULL AND k.doc_id <> r.last AS dropped FROM keyed k LEFT JOIN repeated r USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id""",
+}
