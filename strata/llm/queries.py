@@ -9,10 +9,18 @@ from pyspark.sql import functions as F
 from strata.llm.decontaminate import decontaminate, items_digest
 from strata.llm.line_dedup import deduplicate_lines
 from strata.llm.packing import pack
+from strata.llm.pii import counted, find_pii, listed
+from strata.llm.quality_rules import judge, trusted_ids
 from strata.llm.simhash import near_duplicates
 from strata.sources.tables import read_table
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = judge(docs, trusted_ids(read_table(spark, sf_dir, "labels")))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), id="doc_id")
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -24,6 +32,12 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *(counted(F.col("base_spans"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")),
+                        F.sha2(listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deduplicate_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -35,7 +49,7 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_simhash_near_dedup, op8_line_dedup, op9_benchmark_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op5_pii, op8_line_dedup, op9_benchmark_decontamination)}
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
