@@ -11,6 +11,7 @@ from strata.llm.line_dedup import deduplicate_lines
 from strata.llm.packing import pack
 from strata.llm.pii import counted, find_pii, listed
 from strata.llm.quality_rules import judge, trusted_ids
+from strata.llm.sharding import shard_documents
 from strata.llm.simhash import near_duplicates
 from strata.sources.tables import read_table
 
@@ -49,7 +50,14 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                         items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op5_pii, op8_line_dedup, op9_benchmark_decontamination)}
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op5_pii, op8_line_dedup, op9_benchmark_decontamination,
+                                 op10_sharding)}
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
