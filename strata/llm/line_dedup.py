@@ -89,7 +89,7 @@ def _counts(found: DataFrame) -> DataFrame:
 
 def _updated_filters(repeated: DataFrame, filters: DataFrame | None, shards: int) -> DataFrame:
     """``repeated``: k1, k2 and whether the key enters (add) or leaves. A group is one shard's distinct keys."""
-    def update(shard, changed: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
+    def update(shard, changed, old):
         enter = changed.loc[changed["add"], "k1"].to_numpy(np.int64)
         leave = changed.loc[~changed["add"], "k1"].to_numpy(np.int64)
         f = CuckooFilter(2 * SHARD_KEYS if len(old) else len(enter), old["filter"].iloc[0] if len(old) else None)

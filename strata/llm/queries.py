@@ -6,13 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import langid
 from strata.llm.decontaminate import decontaminate, items_digest
 from strata.llm.line_dedup import deduplicate_lines
 from strata.llm.packing import pack
 from strata.llm.pii import counted, find_pii, listed
+from strata.llm.quality_classifier import score_quality
 from strata.llm.quality_rules import judge, trusted_ids
 from strata.llm.sharding import shard_documents
 from strata.llm.simhash import near_duplicates
+from strata.llm.url_filter import judge_urls
 from strata.sources.tables import read_table
 
 
@@ -33,12 +36,29 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), keep=["page_id"])
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", *(counted(F.col("base_spans"), k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")),
                         F.sha2(listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(langid.fold(F.col("doc_id")) == langid.HELD_OUT, F.lit(False))
+    named = langid.identify(docs, langid.fit_centroids(docs.where(~held_out)), keep=["doc_id"])
+    return named.select("doc_id", held_out.alias("held_out"), F.col("nearest").alias("lang_pred"), "score", "rejected")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deduplicate_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -56,7 +76,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op5_pii, op8_line_dedup, op9_benchmark_decontamination,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op4_url_filters, op5_pii,
+                                 op6_quality_classifier, op7_language_id, op8_line_dedup, op9_benchmark_decontamination,
                                  op10_sharding)}
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
