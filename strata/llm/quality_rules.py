@@ -77,7 +77,8 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", text:
     all weights are 0."""
     ids = trusted.select(F.col(id).alias("__id")).where("__id IS NOT NULL").distinct().withColumn("target", F.lit(1))
     read = docs.select(F.col(id).alias("__id"), F.col(text).cast("string").alias("t"))
-    found = (read.join(ids, "__id", "left").select("target", F.explode(ngram_buckets(F.col("t"), buckets)).alias("bucket"))
+    # merge join at every size: the ids grow with the corpus, so they are never broadcast
+    found = (read.join(ids.hint("merge"), "__id", "left").select("target", F.explode(ngram_buckets(F.col("t"), buckets)).alias("bucket"))
              .groupBy("bucket").agg(F.count("*").alias("raw"), F.count("target").alias("target")))
     counts = staged(docs.sparkSession.range(buckets).select(F.col("id").alias("bucket")).join(found, "bucket", "left")
                     .na.fill(0, ["raw", "target"]), "ratio_counts")
