@@ -3,7 +3,8 @@ the raw corpus. Only DataFrame functions: no Python runs on the executors.
 
 Words and neighbouring word pairs are hashed into a fixed number of buckets. Two multinomials over the buckets are
 counted, one over the trusted documents, one over all; a document's ratio is the mean over its n-grams of
-log p_target - log p_raw, so its length doesn't matter, and one fixed threshold decides every document.
+log p_target - log p_raw, so its length doesn't matter, and one fixed threshold, with a margin for the scatter of
+short documents, decides every document.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = r"[#*$%&|<>]"
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
 BUCKETS = 1 << 14
-#: Documents whose mean log ratio is lower are rejected.
-MIN_RATIO = -0.1
+#: Documents whose mean log ratio is lower are rejected; the mean of few n-grams scatters, so a document of n is
+#: rejected below MIN_RATIO - SLACK / sqrt(n).
+MIN_RATIO, SLACK = -0.08, 0.6
 #: Added to each bucket's counts.
 SMOOTHING = 1.0
 
@@ -89,7 +91,7 @@ def fit_ratios(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", text:
 
 
 def judge(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", text: str = "text", buckets: int = BUCKETS,
-          min_ratio: float = MIN_RATIO) -> DataFrame:
+          min_ratio: float = MIN_RATIO, slack: float = SLACK) -> DataFrame:
     """Every row with ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``ratio`` and ``kept``.
 
@@ -105,10 +107,11 @@ def judge(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", text: str
     own = F.col(text).cast("string")
     total = bound(F.struct(F.col("__w").alias("w"), ngram_buckets(own, buckets).alias("b")), lambda m: F.aggregate(
         m["b"], F.lit(0.0), lambda s, b: s + F.get(m["w"], b.cast("int")), lambda s: s / F.greatest(F.size(m["b"]), F.lit(1))))
+    least = F.lit(min_ratio) - slack / F.sqrt(F.greatest(2 * F.col("n_words") - 1, F.lit(1)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return (docs.withColumn("__w", model).select(*keep, base_counts(own).alias("__base"), F.coalesce(total, F.lit(0.0)).alias("ratio"))
             .select(*keep, "__base.*", "ratio").withColumn("base_failed", failed)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= min_ratio))
+            .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least))
             .select(*keep, *added))
 
 

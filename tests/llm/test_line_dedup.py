@@ -9,20 +9,27 @@ from strata.llm.line_dedup import LineIndex, deduplicate_lines
 from strata.llm.queries import ORACLE, op8_line_dedup
 
 
-def brute(rows, least=5):
-    def key(line):
-        return re.sub("[A-Z]", lambda m: m[0].lower(), line).strip(" \t\n\x0b\x0c\r")
+def key(line):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), line).strip(" \t\n\x0b\x0c\r")
+
 
+def kept(rows, least=5):
+    """The rows with the lines that stay."""
     holders = {}
     for i, text in rows:
         for line in (text or "").split("\n"):
             if len(key(line)) >= 40:
                 holders.setdefault(key(line), set()).add(i)
+    return [(i, "\n".join(x for x in (text or "").split("\n") if len(holders.get(key(x), ())) < least or i == max(holders[key(x)])))
+            for i, text in rows]
+
+
+def brute(rows, least=5):
     out = {}
-    for i, text in rows:
+    for (i, text), (_, new) in zip(rows, kept(rows, least)):
         lines = (text or "").split("\n")
-        kept = [x for x in lines if len(holders.get(key(x), ())) < least or i == max(holders[key(x)])]
-        out[i] = (len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest())
+        gone = [x for x in lines if x not in new.split("\n")]
+        out[i] = (len(lines), len(gone), hashlib.sha256(new.encode()).hexdigest())
     return out
 
 
