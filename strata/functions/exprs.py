@@ -25,13 +25,21 @@ def safe_ratio(num, den, plus: float = 1.0) -> Column:
 
 
 def clip(c, lo: float = 0.0, hi: float = 1.0) -> Column:
-    return F.least(F.greatest(col(c).cast("double"), F.lit(lo)), F.lit(hi))
+    """``c`` between ``lo`` and ``hi``; a missing value stays missing (``least`` and ``greatest`` would skip it)."""
+    x = present(c)
+    return F.when(x < F.lit(lo), F.lit(lo)).when(x > F.lit(hi), F.lit(hi)).otherwise(x)
 
 
-def nan_to_null(c) -> Column:
-    """NaN and +/-inf become NULL (Spark keeps NULL and NaN apart; the source treats both as missing)."""
-    c = col(c)
-    return F.when(F.isnan(c) | (F.abs(c) == F.lit(math.inf)), F.lit(None)).otherwise(c)
+def present(c) -> Column:
+    """``c`` as DOUBLE with NaN as NULL (Spark keeps the two apart; the source treats both as missing)."""
+    x = col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def finite(c) -> Column:
+    """``c`` as DOUBLE with NaN and +/-inf as NULL."""
+    x = present(c)
+    return F.when(F.abs(x) < F.lit(math.inf), x)
 
 
 def is_missing(c) -> Column:
@@ -43,10 +51,6 @@ def row_sum(cols: Sequence) -> Column:
     return reduce(add, [col(c) for c in cols])
 
 
-def weighted_sum(pairs: Sequence[tuple]) -> Column:
-    return reduce(add, [col(c).cast("double") * F.lit(float(w)) for c, w in pairs])
-
-
 def right_closed_cut(c, edges: Sequence[float], labels: Sequence | None = None) -> Column:
     """pandas ``cut(right=True)``: value in ``(edges[i], edges[i+1]]`` -> ``labels[i]``.
 

@@ -11,8 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from strata.functions.exprs import is_missing, numeric_columns, row_sum
+from strata.functions.exprs import clip, finite, is_missing, numeric_columns, present, row_sum
 from strata.operators.rank import exact_quantiles, quantiles
 
 
@@ -55,12 +56,12 @@ def fences_frame(spark, fences: dict[str, tuple]) -> DataFrame:
 
 
 def apply_iqr_cap(df: DataFrame, fences: dict[str, tuple]) -> DataFrame:
-    """Winsorise every fenced column to ``[lower, upper]`` (C2); values become DOUBLE."""
+    """Winsorise every fenced column to ``[lower, upper]`` (C2); values become DOUBLE, NULL and NaN become NULL."""
     exprs = {}
     for c, (_, _, lo, hi) in fences.items():
         if lo is None:
             continue
-        exprs[c] = F.least(F.greatest(F.col(c).cast("double"), F.lit(lo)), F.lit(hi))
+        exprs[c] = clip(c, lo, hi)
     return df.withColumns(exprs)
 
 
@@ -73,7 +74,7 @@ def outlier_counts(df: DataFrame, fences: dict[str, tuple]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(cols):
         _, _, lo, hi = fences[c]
-        aggs.append(F.count_if((F.col(c) < F.lit(lo)) | (F.col(c) > F.lit(hi))).alias(f"_o{i}"))
+        aggs.append(F.count_if((present(c) < F.lit(lo)) | (present(c) > F.lit(hi))).alias(f"_o{i}"))
     wide = df.agg(*aggs)
     stack = ", ".join(f"'{c}', _o{i}" for i, c in enumerate(cols))
     long = wide.selectExpr("_n", f"stack({len(cols)}, {stack}) as (column, n_outliers)")
@@ -91,24 +92,33 @@ def consistency_fix(df: DataFrame, floor_col: str | None = None, floor: int = 1,
       ``cast(part * total / sum as bigint)`` (truncation);
     * ``cap_col`` is capped at ``cap_by``.
     Adds ``fix_floor``, ``fix_parts``, ``fix_cap`` (0/1) and ``n_fixes`` columns;
-    the correction counter (C8) is ``sum(n_fixes)``.
+    :func:`correction_counts` has the totals (C8).  A rule whose inputs are missing
+    (NULL or NaN) changes nothing.
     """
+    def known(cond, *cols):
+        for c in cols:
+            if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+                cond = cond & ~F.isnan(c)
+        return F.coalesce(cond, F.lit(False))
+
     out = {}
     flags = []
     if floor_col:
-        out["fix_floor"] = (F.col(floor_col) < F.lit(floor)).cast("int")
-        out[floor_col] = F.greatest(F.col(floor_col), F.lit(floor))
+        low = known(F.col(floor_col) < F.lit(floor), floor_col)
+        out["fix_floor"] = low.cast("int")
+        out[floor_col] = F.when(low, F.lit(floor).cast(df.schema[floor_col].dataType)).otherwise(F.col(floor_col))
         flags.append("fix_floor")
     if parts and total_col:
         s = row_sum(parts)
-        bad = s > F.col(total_col) * F.lit(tolerance)
+        bad = known(s > F.col(total_col) * F.lit(tolerance), total_col, *parts)
         out["fix_parts"] = bad.cast("int")
         for p in parts:
             out[p] = F.when(bad, (F.col(p) * F.col(total_col) / s).cast("bigint")).otherwise(F.col(p))
         flags.append("fix_parts")
     if cap_col and cap_by:
-        out["fix_cap"] = (F.col(cap_col) > F.col(cap_by)).cast("int")
-        out[cap_col] = F.least(F.col(cap_col), F.col(cap_by))
+        over = known(F.col(cap_col) > F.col(cap_by), cap_col, cap_by)
+        out["fix_cap"] = over.cast("int")
+        out[cap_col] = F.when(over, F.col(cap_by)).otherwise(F.col(cap_col))
         flags.append("fix_cap")
     # withColumns evaluates every expression against the *input* row, so the
     # flags and the repairs all see the original values.
@@ -116,6 +126,13 @@ def consistency_fix(df: DataFrame, floor_col: str | None = None, floor: int = 1,
     return fixed.withColumn("n_fixes", row_sum(flags) if flags else F.lit(0))
 
 
+def correction_counts(fixed: DataFrame) -> DataFrame:
+    """Total corrections (C8) of a :func:`consistency_fix` result: one row ``fix_floor, fix_parts, fix_cap, corrections``."""
+    flags = [c for c in ("fix_floor", "fix_parts", "fix_cap") if c in fixed.columns]
+    return fixed.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in flags],
+                     F.coalesce(F.sum("n_fixes"), F.lit(0)).alias("corrections"))
+
+
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Missing (NULL or NaN) count per column in one pass (C9): ``(column, n_missing)``."""
     cols = list(cols) if cols is not None else numeric_columns(df)
@@ -125,7 +142,8 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def fit_medians(df: DataFrame, cols: Sequence[str], method: str = "exact") -> dict[str, float]:
-    """Median per column over non-missing values (C10 fit)."""
+    """Median per column over finite values (C10/C11 fit)."""
+    df = df.select(*[finite(c).alias(c) for c in cols])
     if method == "exact":
         res = exact_quantiles(df, cols, [0.5])
         return {k[-1]: v[0] for k, v in res.items()}
@@ -136,9 +154,7 @@ def apply_impute(df: DataFrame, fills: dict[str, float]) -> DataFrame:
     """Replace NULL/NaN/inf with the fitted value."""
     exprs = {}
     for c, v in fills.items():
-        x = F.col(c).cast("double")
-        bad = x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
-        exprs[c] = F.when(bad, F.lit(v)).otherwise(x)
+        exprs[c] = F.coalesce(finite(c), F.lit(v))
     return df.withColumns(exprs)
 
 

@@ -63,8 +63,8 @@ def experience_tier(df: DataFrame, column: str, out: str = "experience_tier",
 def advanced_indices(df: DataFrame, roles: dict[str, str]) -> DataFrame:
     """D13, D14, D17-D20 from a role -> column mapping (roles absent are skipped).
 
-    roles: kills, deaths, hits, shots, wins, matches, hours, damage, rounds,
-    planted, defused, mvps.
+    roles: kills, deaths, hits, shots, wins, matches, hours, damage, rounds, and the
+    derived rates plant_rate, defuse_rate, mvp_rate, win_rate (D5, D6, D11).
     """
     r = {k: v for k, v in roles.items() if v in df.columns}
     e = {}
@@ -79,11 +79,11 @@ def advanced_indices(df: DataFrame, roles: dict[str, str]) -> DataFrame:
         e["damage_efficiency"] = safe_ratio(r["damage"], r["rounds"])
     if {"damage", "kills"} <= r.keys():
         e["damage_per_kill"] = safe_ratio(r["damage"], r["kills"])
-    if {"defused", "planted"} <= r.keys():
-        e["clutch_factor"] = F.lit(0.6) * F.col(r["defused"]) + F.lit(0.4) * F.col(r["planted"])
-    if {"mvps", "wins"} <= r.keys():
-        e["leadership_index"] = safe_ratio(r["mvps"], r["wins"], plus=0.01)
-        e["team_dependency"] = (F.col(r["wins"]) - F.col(r["mvps"])).cast("double")
+    if {"defuse_rate", "plant_rate"} <= r.keys():
+        e["clutch_factor"] = F.lit(0.6) * F.col(r["defuse_rate"]) + F.lit(0.4) * F.col(r["plant_rate"])
+    if {"mvp_rate", "win_rate"} <= r.keys():
+        e["leadership_index"] = safe_ratio(r["mvp_rate"], r["win_rate"], plus=0.01)
+        e["team_dependency"] = F.col(r["win_rate"]) - F.col(r["mvp_rate"])
     return df.withColumns(e)
 
 
@@ -101,6 +101,8 @@ def stability(df: DataFrame, cols: Sequence[str], eps: float = 1e-8) -> DataFram
     One aggregation pass; long output ``(feature, stability)``.
     """
     cols = [c for c in cols if c in df.columns]
+    if len(cols) < 2:  # the source asks for two of them at least
+        return df.sparkSession.createDataFrame([], "feature string, stability double")
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.stddev_samp(c).alias(f"_s{i}"), F.avg(c).alias(f"_m{i}")]

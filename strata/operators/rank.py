@@ -5,17 +5,22 @@ A global ``Window.orderBy`` without ``partitionBy`` runs in ONE task.  Instead:
 1. ``groupBy(groups, value).agg(count, weights)`` -- partial aggregation, so a
    value that holds a third of all rows is one row after the map side;
 2. per group, ``percentile_approx`` picks P-1 bucket boundaries over the
-   *distinct* values (bounded: groups x P numbers reach the driver);
-3. every distinct value gets ``bucket = #boundaries < value`` (deterministic
-   expression, boundaries inlined as a broadcast of that bounded table);
-4. per-(group, bucket) totals (groups x P rows) -> driver prefix sums ->
-   broadcast offsets;
+   *distinct* values (P follows the number of distinct values);
+3. every distinct value gets ``bucket = #boundaries < value``;
+4. per-(group, bucket) totals are summed before each bucket by a window over
+   the bucket table;
 5. a window partitioned by (group, bucket) adds the in-bucket running sum.
 
 The result is exact (same as a single global sort) and every step is
-partitioned.  It is the building block for exact quantiles (IQR fences,
-medians, label thresholds), pandas-style percentile ranks, AUC / ROC / PR
-curves and exact stratified splits.
+partitioned.  It is the building block for pandas-style percentile ranks and
+AUC / ROC / PR curves.
+
+A few ranks (quantiles, split and fold cuts) need no order of all values:
+:func:`select_ranks` brackets each wanted rank by ``percentile_approx``, counts
+the rows below the bracket and looks at the values inside it only -- a small
+share of the rows, narrowed again while they are many.
+
+NULL and NaN have no rank.
 """
 
 from __future__ import annotations
@@ -23,20 +28,42 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strata.session import default_parallelism
 
+# up to this many groups their sizes are listed on the driver and broadcast; more stay distributed
 MAX_GROUPS = 1024
-MAX_BUCKETS = 1024  # groups x buckets boundaries reach the driver: <= 1M numbers
-# distinct-value tables up to this many rows (measured in the first pass) are broadcast when
+# distinct-value tables of at most this size (rows x widest row, measured) are broadcast when
 # joined back to the rows: the big side is then never shuffled, so a hot value cannot skew it
-BROADCAST_MAX_ROWS = 2_000_000
-# groups with at most this many distinct values are ranked in one window partition each
+BROADCAST_BYTES = 32 << 20
+# groups with at most this many distinct values are ranked in one window partition each; larger
+# ones get a bucket per so many
 SINGLE_BUCKET_MAX = 100_000
+# rows inside the brackets of wanted ranks that are looked at one by one
+BRACKET_ROWS = 200_000
+
+
+def _ranked_only(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Rows whose ``cols`` have a rank: neither NULL nor NaN."""
+    for c in cols:
+        ok = F.col(c).isNotNull()
+        if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType)):
+            ok = ok & ~F.isnan(c)
+        df = df.where(ok)
+    return df
+
+
+def _order_key(df: DataFrame, c: str) -> Column:
+    """A double that never decreases with the column; ties of it are broken by the column itself."""
+    t = df.schema[c].dataType
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        return F.conv(F.hex(F.rpad(F.substring(F.col(c).cast("binary"), 1, 6), 6, F.lit(b"\0"))), 16, 10).cast("double")
+    if isinstance(t, (T.DateType, T.TimestampType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    return F.col(c).cast("double")
 
 
 def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
@@ -62,94 +89,61 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
         drop_grp = True
     else:
         drop_grp = False
-    keep = df
-    for c in order_cols:
-        keep = keep.where(F.col(c).isNotNull())
+    keep = _ranked_only(df, order_cols)
     aggs = [F.count(F.lit(1)).alias("cnt")] + [F.sum(e).alias(n) for n, e in weights.items()]
     g = keep.groupBy(*gcols, *order_cols).agg(*aggs)
     sign = -1.0 if descending else 1.0
-    g = g.withColumn("_k", F.col(order_cols[0]).cast("double") * F.lit(sign))
-    g = g.persist(StorageLevel.MEMORY_AND_DISK)
-
-    gfields = [g.schema[c] for c in gcols]
-    size_aggs = [F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("_ndist"),
-                 *[F.sum(n).alias(f"total_{n}") for n in weights]]
-    sizes = g.groupBy(*gcols).agg(*size_aggs)
-    size_schema = T.StructType(gfields + [
-        T.StructField("total", T.LongType()), T.StructField("_ndist", T.LongType()),
-        *[T.StructField(f"total_{n}", g.schema[n].dataType) for n in weights]])
+    g = g.withColumn("_k", _order_key(g, order_cols[0]) * F.lit(sign))
+
+    sizes = g.groupBy(*gcols).agg(F.sum("cnt").alias("total"), F.count(F.lit(1)).alias("_ndist"),
+                                  *[F.sum(n).alias(f"total_{n}") for n in weights])
     size_rows = sizes.limit(MAX_GROUPS + 1).collect()
-    if len(size_rows) <= MAX_GROUPS:
-        # few groups: their sizes are a bounded literal table (broadcast joins below)
-        sizes = F.broadcast(spark.createDataFrame([tuple(r) for r in size_rows], size_schema))
-        hot = [tuple(r[c] for c in gcols) for r in size_rows if r["_ndist"] > single_bucket_max]
-        n_distinct = sum(r["_ndist"] for r in size_rows)
+    listed = len(size_rows) <= MAX_GROUPS and sum(len(str(r)) for r in size_rows) <= BROADCAST_BYTES
+    n_distinct = sum(r["_ndist"] for r in size_rows) if listed else None
+    largest = max((r["_ndist"] for r in size_rows), default=0)
+    if listed:
+        sizes = F.broadcast(spark.createDataFrame([tuple(r) for r in size_rows], sizes.schema))
     else:
-        # many groups: sizes stay distributed; only the hot groups are listed (bounded)
-        hot = [tuple(r[c] for c in gcols) for r in
-               sizes.where(F.col("_ndist") > single_bucket_max).select(*gcols).limit(MAX_GROUPS + 1).collect()]
-        n_distinct = None
-        if len(hot) > MAX_GROUPS:
-            raise ValueError(f"ordered_counts: more than {MAX_GROUPS} groups with over {single_bucket_max} "
-                             "distinct values each; raise single_bucket_max")
+        largest = sizes.agg(F.max("_ndist")).first()[0]
+    # NULL groups are groups like others
+    keyed = _null_safe_join(g, sizes, gcols)
     zero_offsets = {"_oc": F.lit(0).cast("long"), "_od": F.lit(0).cast("long"),
                     **{f"_ow_{n}": F.lit(0).cast(g.schema[n].dataType) for n in weights}}
-    keyed = g.join(sizes.drop("_ndist"), gcols)
-    parts = []
-    if hot:
-        hot_df = spark.createDataFrame(hot, T.StructType(gfields))  # bounded: <= MAX_GROUPS rows
-        cold = keyed.join(F.broadcast(hot_df), gcols, "left_anti")
-    else:
-        cold = keyed
-    # cold groups (<= single_bucket_max distinct values each, size-checked): one window partition per group
-    parts.append(cold.withColumns({"_bucket": F.lit(0), **zero_offsets}))
-    if hot:
-        parts.append(_hot_groups(spark, g, keyed.join(F.broadcast(hot_df), gcols, "left_semi"), gcols, gfields,
-                                 weights, buckets, accuracy))
-    res = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    # cold groups (<= single_bucket_max distinct values each): one window partition per group
+    res = keyed.where(F.col("_ndist") <= single_bucket_max).withColumns({"_bucket": F.lit(0), **zero_offsets})
+    if largest > single_bucket_max:
+        p = max(2, buckets or max(default_parallelism(spark), -(-largest // max(1, single_bucket_max))))
+        hot = _hot_groups(keyed.where(F.col("_ndist") > single_bucket_max), gcols, weights, p, accuracy, listed)
+        res = res.unionByName(hot)
     out = _finish(res, gcols, order_cols, weights, descending, drop_grp)
-    out._strata_cached = [g]
     out._strata_distinct = n_distinct
     return out
 
 
-def _hot_groups(spark, g: DataFrame, rows: DataFrame, gcols, gfields, weights, buckets, accuracy) -> DataFrame:
-    """Groups with many distinct values: P value buckets from approximate quantiles
-    (hot groups x P boundaries reach the driver), exact per-bucket totals -> prefix
-    offsets (hot groups x P rows), so each window partition is one bucket."""
-    p = max(2, min(buckets or default_parallelism(spark), MAX_BUCKETS))
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL equals NULL; the right side's keys are dropped."""
+    names = {k: f"_r_{i}" for i, k in enumerate(keys)}
+    right = right.withColumnsRenamed(names)
+    on = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
+    return left.join(right, on).drop(*names.values())
+
+
+def _hot_groups(rows: DataFrame, gcols, weights, p: int, accuracy: int, listed: bool) -> DataFrame:
+    """Groups with many distinct values: p value buckets from approximate quantiles and exact
+    per-bucket totals, summed before each bucket, so each window partition is one bucket.
+    ``listed``: the groups are few and their tables are broadcast."""
+    hint = F.broadcast if listed else (lambda df: df)
     probs = [i / p for i in range(1, p)]
-    bnd = rows.groupBy(*gcols).agg(F.percentile_approx("_k", probs, accuracy).alias("_b")).collect()
-    bnd_schema = T.StructType(gfields + [T.StructField("_b", T.ArrayType(T.DoubleType()))])
-    bnd_rows = [tuple(r[c] for c in gcols) + (sorted(set(x for x in (r["_b"] or []) if x is not None)),)
-                for r in bnd]
-    bnd_df = spark.createDataFrame(bnd_rows, bnd_schema)  # bounded: <= MAX_GROUPS rows
-    gb = rows.join(F.broadcast(bnd_df), gcols)
-    gb = gb.withColumn("_bucket", _bucket_of(F.col("_b"), F.col("_k"), p)).drop("_b")
-
-    tot = gb.groupBy(*gcols, "_bucket").agg(
-        F.sum("cnt").alias("_bc"), F.count(F.lit(1)).alias("_bd"),
-        *[F.sum(n).alias(f"_bw_{n}") for n in weights]).collect()
-    tot.sort(key=lambda r: (tuple(_sort_key(r[c]) for c in gcols), r["_bucket"]))
-    off_rows, run, last = [], None, None
-    for r in tot:
-        key = tuple(r[c] for c in gcols)
-        if key != last:
-            run = {"_bc": 0, "_bd": 0, **{n: 0 for n in weights}}
-            last = key
-        off_rows.append(key + (r["_bucket"], run["_bc"], run["_bd"])
-                        + tuple(_as_type(run[n], g.schema[n].dataType) for n in weights))
-        run["_bc"] += r["_bc"]
-        run["_bd"] += r["_bd"]
-        for n in weights:
-            run[n] += r[f"_bw_{n}"] or 0
-    off_schema = T.StructType(gfields + [
-        T.StructField("_bucket", T.IntegerType()),
-        T.StructField("_oc", T.LongType()), T.StructField("_od", T.LongType()),
-        *[T.StructField(f"_ow_{n}", g.schema[n].dataType) for n in weights],
-    ])
-    off_df = spark.createDataFrame(off_rows, off_schema)  # bounded: hot groups x P rows
-    return gb.join(F.broadcast(off_df), gcols + ["_bucket"])
+    bounds = rows.groupBy(*gcols).agg(
+        F.array_sort(F.array_distinct(F.percentile_approx("_k", probs, max(accuracy, 10 * p)))).alias("_b"))
+    gb = _null_safe_join(rows, hint(bounds), gcols).withColumn("_bucket", _bucket_of(F.col("_b"), F.col("_k"), p)).drop("_b")
+    before = Window.partitionBy(*gcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = gb.groupBy(*gcols, "_bucket").agg(
+        F.sum("cnt").alias("_oc"), F.count(F.lit(1)).alias("_od"), *[F.sum(n).alias(f"_ow_{n}") for n in weights])
+    sums = ["_oc", "_od", *[f"_ow_{n}" for n in weights]]
+    offsets = totals.select(*gcols, "_bucket", *[
+        F.coalesce(F.sum(c).over(before), F.lit(0)).cast(totals.schema[c].dataType).alias(c) for c in sums])
+    return _null_safe_join(gb, hint(offsets), [*gcols, "_bucket"])
 
 
 def _bucket_of(bounds: Column, k: Column, p: int) -> Column:
@@ -169,7 +163,7 @@ def _bucket_of(bounds: Column, k: Column, p: int) -> Column:
 def _finish(res: DataFrame, gcols, order_cols, weights, descending: bool, drop_grp: bool) -> DataFrame:
     """In-bucket running sums plus the bucket offsets."""
     orderings = [F.col("_k").asc()] + [
-        (F.col(c).desc() if descending else F.col(c).asc()) for c in order_cols[1:]]
+        (F.col(c).desc() if descending else F.col(c).asc()) for c in order_cols]
     w = (Window.partitionBy(*gcols, "_bucket").orderBy(*orderings)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     res = res.withColumn("cum", F.col("_oc") + F.sum("cnt").over(w))
@@ -187,23 +181,87 @@ def _finish(res: DataFrame, gcols, order_cols, weights, descending: bool, drop_g
     return res
 
 
-def _release(df: DataFrame) -> None:
-    """Unpersist the cached distinct-value table behind an eagerly consumed result."""
-    for rdd_df in getattr(df, "_strata_cached", []):
-        rdd_df.unpersist()
-
+def select_ranks(df: DataFrame, group: str, order_cols: Sequence[str], wanted: Mapping, accuracy: int = 10000) -> dict:
+    """The values of ``order_cols`` at the wanted ranks: ``{group value: {rank: tuple}}``.
 
-def _as_type(v, dt):
-    if isinstance(dt, (T.DoubleType, T.FloatType)):
-        return float(v)
-    if isinstance(dt, T.DecimalType):
-        from decimal import Decimal
-        return Decimal(v)
-    return int(v)
-
-
-def _sort_key(v):
-    return (v is None, v)
+    ``wanted``: ``{group value: ranks}`` (0-based, among the group's rows without NULL and NaN, in the
+    order of ``order_cols``).  Each rank gets a bracket of the first order column; one aggregation counts
+    the rows below and inside the brackets.  Brackets that miss their rank are widened, brackets that hold
+    more than ``BRACKET_ROWS`` rows are narrowed, then the rows inside are counted by value.  Only numbers per
+    bracket and at most ``BRACKET_ROWS`` distinct values per bracket reach the driver; rows are never shuffled
+    but those inside.  A bracket of one hot value that further columns must order is left to
+    :func:`ordered_counts`.
+    """
+    df = _ranked_only(df, order_cols)
+    df = df.withColumn("_k", _order_key(df, order_cols[0]))
+    inf = float("inf")
+    # bracket: rank, bounds of the key, rows below and inside, margin of the next bounds
+    state = [{"g": g, "r": r, "lo": -inf, "hi": inf, "below": 0, "inside": None, "d": 2.0 / accuracy}
+             for g, ranks in wanted.items() for r in sorted(set(ranks))]
+
+    def in_brackets(which, bounds):
+        """The rows inside the brackets, once for each bracket, with its number."""
+        expr = None
+        for g in {state[i]["g"] for i in which}:
+            ids = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(bounds[i][0]).alias("lo"), F.lit(bounds[i][1]).alias("hi"))
+                                     for i in which if state[i]["g"] == g]),
+                           lambda b: (F.col("_k") >= b["lo"]) & (F.col("_k") <= b["hi"]))
+            match = F.col(group).isNull() if g is None else F.col(group) == F.lit(g)
+            expr = F.when(match, ids) if expr is None else expr.when(match, ids)
+        return df.select("*", F.explode(expr).alias("_b")).select("*", "_b.i").drop("_b")
+
+    open_ = list(range(len(state)))
+    while open_:
+        bounds = {i: (state[i]["lo"], state[i]["hi"]) for i in open_}
+        counted = in_brackets(open_, bounds).groupBy("i")
+        sizes = {r["i"]: r["n"] for r in counted.agg(F.count(F.lit(1)).alias("n")).collect()}
+        for i in open_:
+            state[i]["inside"] = sizes.get(i, 0)
+        open_ = [i for i in open_ if state[i]["inside"] > BRACKET_ROWS and state[i]["lo"] < state[i]["hi"]]
+        if not open_:
+            break
+        share = {i: (state[i]["r"] - state[i]["below"] + 0.5) / state[i]["inside"] for i in open_}
+        probs = {i: [max(0.0, share[i] - state[i]["d"]), min(1.0, share[i] + state[i]["d"])] for i in open_}
+        every = sorted({p for i in open_ for p in probs[i]})
+        found = {r["i"]: dict(zip(every, r["q"])) for r in in_brackets(open_, bounds).groupBy("i").agg(
+            F.percentile_approx("_k", every, accuracy).alias("q")).collect()}
+        new = {i: (found[i][probs[i][0]], found[i][probs[i][1]]) for i in open_}
+        below = {r["i"]: (r["b"], r["n"]) for r in in_brackets(open_, bounds).join(
+            F.broadcast(df.sparkSession.createDataFrame([(i, *new[i]) for i in open_], "i int, _lo double, _hi double")), "i")
+            .groupBy("i").agg(F.count_if(F.col("_k") < F.col("_lo")).alias("b"),
+                              F.count_if(F.col("_k").between(F.col("_lo"), F.col("_hi"))).alias("n")).collect()}
+        for i in open_:
+            b, n = below[i]
+            if b <= state[i]["r"] - state[i]["below"] < b + n and n < state[i]["inside"]:
+                state[i].update(lo=new[i][0], hi=new[i][1], below=state[i]["below"] + b, d=2.0 / accuracy)
+            else:
+                state[i]["d"] *= 8
+                if state[i]["d"] > 2:  # a value that can't be narrowed
+                    state[i].update(lo=state[i]["hi"] if state[i]["lo"] == state[i]["hi"] else state[i]["lo"])
+                    open_ = [j for j in open_ if j != i]
+    many = [i for i, s in enumerate(state) if len(order_cols) > 1 and s["inside"] and s["inside"] > BRACKET_ROWS]
+    out: dict = {g: {} for g in wanted}
+    few = [i for i in range(len(state)) if i not in many]
+    if few:
+        rows = in_brackets(few, {i: (state[i]["lo"], state[i]["hi"]) for i in few}).groupBy("i", *order_cols).agg(
+            F.count(F.lit(1)).alias("n")).collect()
+        by: dict = {}
+        for r in rows:
+            by.setdefault(r["i"], []).append((tuple(r[c] for c in order_cols), r["n"]))
+        for i, values in by.items():
+            at = state[i]["below"]
+            for value, n in sorted(values):
+                if at <= state[i]["r"] < at + n:
+                    out[state[i]["g"]][state[i]["r"]] = value
+                    break
+                at += n
+    for i in many:
+        s = state[i]
+        match = F.col(group).isNull() if s["g"] is None else F.col(group) == F.lit(s["g"])
+        oc = ordered_counts(df.where(match & F.col("_k").between(s["lo"], s["hi"])), order_cols)
+        r = oc.where((F.col("cum_before") <= s["r"] - s["below"]) & (F.col("cum") > s["r"] - s["below"])).first()
+        out[s["g"]][s["r"]] = tuple(r[c] for c in order_cols)
+    return out
 
 
 def percent_rank_avg(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
@@ -211,20 +269,37 @@ def percent_rank_avg(df: DataFrame, value_col: str, group_cols: Sequence[str] =
     """pandas ``rank(pct=True)``: (average rank of ties) / n, per group; NULL stays NULL.
 
     The distinct-value ranks come from :func:`ordered_counts` and are joined back
-    to the rows on (group, value).  Their row count is known from the first pass:
-    up to ``BROADCAST_MAX_ROWS`` the rank table is broadcast (no shuffle of the
+    to the rows on (group, value).  Their number is known from the first pass:
+    up to ``BROADCAST_BYTES`` the rank table is broadcast (no shuffle of the
     rows, immune to hot values); beyond it the equi-join is left to the planner,
-    whose AQE skew-join splits a hot value's partition.
+    whose AQE skew-join splits a hot value's partition.  NaN counts as missing.
     """
     out_col = out_col or f"{value_col}_pct"
     oc = ordered_counts(df, [value_col], group_cols)
     ranks = oc.select(*group_cols, value_col,
                       ((F.col("cum_before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
                        / F.col("total")).alias(out_col))
-    if (getattr(oc, "_strata_distinct", None) or BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS:
-        ranks = F.broadcast(ranks)
     keys = list(group_cols) + [value_col]
-    return df.join(ranks, keys, "left")
+    if _fits(ranks, oc, keys):
+        ranks = F.broadcast(ranks)
+    names = {k: f"_r_{i}" for i, k in enumerate(keys)}
+    on = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
+    return df.join(ranks.withColumnsRenamed(names), on, "left").drop(*names.values())
+
+
+def _fits(ranks: DataFrame, counts: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether a table of the distinct values is small enough to broadcast: its rows are counted, variable-width
+    keys are measured."""
+    n = getattr(counts, "_strata_distinct", None)
+    if n is None:
+        return False
+    width = 8 + 8 * len(keys)
+    if n * width > BROADCAST_BYTES:
+        return False
+    texts = [k for k in keys if isinstance(ranks.schema[k].dataType, (T.StringType, T.BinaryType))]
+    if texts:
+        width += ranks.agg(F.max(sum(F.coalesce(F.octet_length(k), F.lit(0)) for k in texts))).first()[0] or 0
+    return n * width <= BROADCAST_BYTES
 
 
 def percent_ranks(df: DataFrame, cols: Sequence[str], suffix: str = "_pct") -> DataFrame:
@@ -236,11 +311,11 @@ def percent_ranks(df: DataFrame, cols: Sequence[str], suffix: str = "_pct") -> D
     """
     cols = list(cols)
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        [], cols, "_col", "_v").where(F.col("_v").isNotNull())
+        [], cols, "_col", "_v")
     oc = ordered_counts(long, ["_v"], ["_col"])
     ranks = oc.select("_col", "_v", ((F.col("cum_before") + (F.col("cnt") + F.lit(1)) / F.lit(2.0))
                                      / F.col("total")).alias("_p"))
-    small = (getattr(oc, "_strata_distinct", None) or BROADCAST_MAX_ROWS + 1) <= BROADCAST_MAX_ROWS
+    small = _fits(ranks, oc, ["_v"])
     out = df
     for c in cols:
         rc = ranks.where(F.col("_col") == c).select(F.col("_v").alias(f"_k_{c}"), F.col("_p").alias(f"{c}{suffix}"))
@@ -278,12 +353,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group_cols: Sequence[str] = ()) -> dict:
     """Exact linear-interpolated quantiles (pandas / DuckDB ``quantile_cont``).
 
-    Returns ``{(group values..., column): [q(p) for p in probs]}``; one distributed
-    pass for all columns (columns are unpivoted to long form first).
-    Columns with no non-null value get ``None``.
+    Returns ``{(group values..., column): [q(p) for p in probs]}``; columns with no
+    value get ``None``.  Without groups the wanted ranks are bracketed
+    (:func:`select_ranks`); with groups all distinct values are ordered.
     """
     gcols = list(group_cols)
     cols = list(cols)
+    if not gcols:
+        return _column_quantiles(df, cols, probs)
     long = df.select(*gcols, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         gcols, cols, "_col", "_v")
     long = long.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
@@ -294,7 +371,6 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         need += [F.floor(pos), F.ceil(pos)]
     hit = F.exists(F.array(*need), lambda r: (r >= F.col("cum_before")) & (r < F.col("cum")))
     rows = oc.where(hit).select(*gcols, "_col", "_v", "cum_before", "cum", "total").collect()
-    _release(oc)
     by_group: dict = {}
     for r in rows:
         key = tuple(r[c] for c in gcols) + (r["_col"],)
@@ -323,6 +399,21 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     return result
 
 
+def _column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
+    x = {c: F.col(c).cast("double") for c in cols}
+    n = df.agg(*[F.count(F.when(~F.isnan(x[c]), x[c])).alias(f"n{i}") for i, c in enumerate(cols)]).first() if cols else []
+    pos = {c: [float(p) * float(n[i] - 1) for p in probs] for i, c in enumerate(cols) if n[i]}
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), x[c].alias("_v")) for c in pos]))) if pos else None
+    ranks = {c: [r for p in at for r in (math.floor(p), math.ceil(p))] for c, at in pos.items()}
+    values = select_ranks(long, "_col", ["_v"], ranks) if pos else {}
+
+    def at(c, p):
+        lo, hi = values[c][math.floor(p)][0], values[c][math.ceil(p)][0]
+        return lo if lo == hi else lo + (p - math.floor(p)) * (hi - lo)
+
+    return {(c,): [at(c, p) for p in pos[c]] if c in pos else [None] * len(probs) for c in cols}
+
+
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      accuracy: int = 10000) -> dict:
     """One-pass approximate quantiles (Greenwald-Khanna via ``percentile_approx``)."""

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import md5_int, md5_uniform
-from strata.operators.rank import ordered_counts
+from strata.operators.rank import select_ranks
 
 
 def validate_split(test: float = 0.15, val: float = 0.15, folds: int = 5, tol: float = 1e-9) -> None:
@@ -31,31 +31,6 @@ def validate_split(test: float = 0.15, val: float = 0.15, folds: int = 5, tol: f
         raise ValueError("need at least 2 folds")
 
 
-def _values_at_ranks(df: DataFrame, order_cols: Sequence[str], group: str,
-                     ranks_by_group: dict) -> dict:
-    """For each group, the order-tuple at each wanted 0-based rank (bounded collect)."""
-    oc = ordered_counts(df, order_cols, [group])
-    conds = None
-    for gval, ranks in ranks_by_group.items():
-        if not ranks:
-            continue
-        arr = F.array(*[F.lit(int(r)) for r in ranks])
-        c = (F.col(group) == F.lit(gval)) & F.exists(
-            arr, lambda r: (r >= F.col("cum_before")) & (r < F.col("cum")))
-        conds = c if conds is None else conds | c
-    out = {g: {} for g in ranks_by_group}
-    if conds is None:
-        return out
-    from strata.operators.rank import _release
-    hits = oc.where(conds).select(group, *order_cols, "cum_before", "cum").collect()
-    _release(oc)
-    for row in hits:
-        for r in ranks_by_group[row[group]]:
-            if row["cum_before"] <= r < row["cum"]:
-                out[row[group]][r] = tuple(row[c] for c in order_cols)
-    return out
-
-
 def _tuple_le(cols: Sequence[str], values: tuple) -> Column:
     """Lexicographic ``(cols) <= values``."""
     (c0, *rest), (v0, *vrest) = cols, values
@@ -98,7 +73,7 @@ def assign_split(df: DataFrame, key: str, label: str | None = None, test: float
     for g, n in counts.items():
         n_test, n_val = split_sizes(n, test, val)
         wanted[g] = [r for r in (n_test - 1, n_test + n_val - 1) if 0 <= r < n]
-    cuts = _values_at_ranks(h.select(label, "_h", key), ["_h", key], label, wanted)
+    cuts = select_ranks(h.select(label, "_h", key), label, ["_h", key], wanted)
     expr = F.lit("train")
     for g, n in counts.items():
         n_test, n_val = split_sizes(n, test, val)
@@ -119,7 +94,7 @@ def assign_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42
     h = df.withColumn("_h", md5_int(key, seed, "fold"))
     counts = _label_counts(h, label)
     wanted = {g: sorted({-(-j * n // k) for j in range(1, k) if -(-j * n // k) < n}) for g, n in counts.items()}
-    cuts = _values_at_ranks(h.select(label, "_h", key), ["_h", key], label, wanted)
+    cuts = select_ranks(h.select(label, "_h", key), label, ["_h", key], wanted)
     expr = F.lit(0)
     for g in counts:
         e = F.lit(0)

@@ -37,8 +37,8 @@ BERNOULLI_P = 0.4                 # T6
 
 # Role mapping for the derived features.
 ROLES = dict(kills="qty", deaths="n_returned", damage="amount", money="revenue", rounds="n_lines",
-             planted="n_disc", defused="n_taxed", hits="n_open", shots="n_lines", wins="n_done",
-             matches="n_orders", mvps="n_urgent", hours="span_days")
+             hits="n_open", shots="n_lines", wins="n_done", matches="n_orders", hours="span_days",
+             plant_rate="disc_rate", defuse_rate="taxed_rate", mvp_rate="urgent_rate", win_rate="done_rate")
 
 RATIOS = [
     Ratio("qty_per_line", "qty", "n_lines"),
@@ -52,11 +52,14 @@ RATIOS = [
     Ratio("nf_share", "qty_nf", "qty"),
     Ratio("order_span", "span_days", "n_orders", den_scale=60.0),
     Ratio("urgent_rate", "n_urgent", "n_orders"),
+    Ratio("done_rate", "n_done", "n_orders"),
 ]
 SUMS = {"af_ao_qty": ["qty_af", "qty_ao"]}
 
 STABILITY_COLS = ["qty_per_line", "returns_per_line", "amount_per_line"]
 INTERACTION_PREFERRED = ["qty", "n_returned", "amount", "revenue", "n_lines", "n_orders", "span_days"]
+MISSING_COLS = ["qty", "amount", "n_returned"]
+MISSING_COUNTERS = ["n_returned", "qty_af", "n_done", "qty"]
 NULL_COLS = ["qty", "amount", "n_returned", "revenue", "span_days"]
 SCALE_COLS = ["qty", "amount", "n_returned", "revenue", "span_days"]
 NB_FEATURES = ["qty", "n_returned", "amount", "n_open", "n_disc"]
@@ -83,6 +86,22 @@ def plant_nulls(df: DataFrame) -> DataFrame:
                            .otherwise(F.col(c)) for c in NULL_COLS})
 
 
+def plant_missing(df: DataFrame, cols) -> DataFrame:
+    """Missing-value fixture in DOUBLE columns: md5(key:42:missing_c) % 12 = 0 NULL, 1 NaN, 2 inf, 3 -inf."""
+    out = {}
+    for c in cols:
+        h = md5_int(KEY if KEY in df.columns else df.columns[0], SEED, f"missing_{c}") % 12
+        out[c] = (F.when(h == 0, F.lit(None)).when(h == 1, F.lit(float("nan"))).when(h == 2, F.lit(float("inf")))
+                  .when(h == 3, F.lit(float("-inf"))).otherwise(F.col(c).cast("double")))
+    return df.withColumns(out)
+
+
+def plant_null_counters(df: DataFrame, cols) -> DataFrame:
+    """:func:`plant_violations` with NULL in the counters where md5(key:42:missing_c) % 12 = 0."""
+    df = plant_violations(df)
+    return df.withColumns({c: F.when(md5_int(KEY, SEED, f"missing_{c}") % 12 != 0, F.col(c)) for c in cols})
+
+
 def scored(df: DataFrame, label_df: DataFrame) -> DataFrame:
     """Deterministic scored rows (F-4): z from population-standardised qty and amount.
 

@@ -122,7 +122,10 @@ def build() -> dict[str, str]:
     s["train_matrix"] = (f"WITH {_hybrid_cte()} SELECT {K}, label, {', '.join(feats)}, "
                          f"{' + '.join(fam)} AS qty_family, qty_af + qty_ao AS qty_a FROM hyb")
     s["csv_roundtrip"] = s["profile"]
-    s["split_files"] = f"WITH {_split_cte()} SELECT {K}, label, qty, split FROM spl WHERE split = 'test'"
+    s["split_files"] = f"WITH {_split_cte()} SELECT {K}, label, qty, split FROM spl"
+    s["resolve_source"] = f"WITH {P} SELECT {K}, qty, 'processed' AS source FROM profile"
+    s["split_check"] = f"""WITH {_split_cte()} SELECT split, count(*) AS n, count(DISTINCT {K}) AS n_keys,
+  CAST(sum(label) AS BIGINT) AS positives FROM spl GROUP BY split"""
 
     # cleaning
     s["iqr_fences"] = f"WITH {P} " + _union(
@@ -164,6 +167,46 @@ SELECT *, fix_floor + fix_parts + fix_cap AS n_fixes FROM fx"""
     filled = ", ".join(f"{r6(f'coalesce(CAST({c} AS DOUBLE), m_{c})')} AS {c}" for c in fx.NULL_COLS)
     s["median_impute"] = f"WITH {nl}, md AS (SELECT {med} FROM nl) SELECT {K}, {filled} FROM nl, md"
 
+    # missing values: NULL, NaN and infinities planted by hash
+    def planted(key, c):
+        m = f"{h(key, 'missing_' + c)} % 12"
+        return (f"CASE WHEN {m} = 0 THEN NULL WHEN {m} = 1 THEN 'nan'::DOUBLE WHEN {m} = 2 THEN 'inf'::DOUBLE "
+                f"WHEN {m} = 3 THEN '-inf'::DOUBLE ELSE CAST({c} AS DOUBLE) END AS {c}")
+    mc = ["qty", "amount", "n_returned"]
+    ms = f"{P}, ms AS (SELECT {K}, {', '.join(planted(K, c) for c in mc)} FROM profile)"
+    qf = ", ".join(f"quantile_cont({c}, {p}) FILTER (WHERE NOT isnan({c})) AS q{n}_{c}" for c in mc for n, p in ((1, 0.25), (3, 0.75)))
+    fences = f"{ms}, fe AS (SELECT {qf} FROM ms)"
+    s["iqr_cap_missing"] = f"WITH {fences} SELECT {K}, " + ", ".join(
+        f"CASE WHEN {c} IS NULL OR isnan({c}) THEN NULL WHEN {c} < {_lo(c)} THEN {r6(_lo(c))} "
+        f"WHEN {c} > {_hi(c)} THEN {r6(_hi(c))} ELSE {r6(c)} END AS {c}" for c in mc) + " FROM ms, fe"
+    s["outlier_counts_missing"] = f"WITH {fences} " + _union(
+        [f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE NOT isnan({c}) AND ({c} < {_lo(c)} OR {c} > {_hi(c)})) AS n_outliers, "
+         f"count(*) AS n_rows, {r6(f'count(*) FILTER (WHERE NOT isnan({c}) AND ({c} < {_lo(c)} OR {c} > {_hi(c)})) * 100.0 / count(*)')} "
+         f"AS outlier_pct FROM ms, fe GROUP BY ALL" for c in mc])
+    s["impute_inf"] = f"""WITH {ms}, md AS (SELECT {', '.join(f"quantile_cont({c}, 0.5) FILTER (WHERE isfinite({c})) AS m_{c}" for c in mc)} FROM ms)
+SELECT {K}, {', '.join(f"{r6(f'CASE WHEN isfinite({c}) THEN {c} ELSE m_{c} END')} AS {c}" for c in mc)} FROM ms, md"""
+    s["pct_rank_missing"] = f"""WITH ev AS (SELECT event_id, {planted('event_id', 'value')} FROM events),
+rk AS (SELECT event_id, (rank() OVER (ORDER BY value) - 1 + (count(*) OVER (PARTITION BY value) + 1) / 2.0) / count(*) OVER () AS p
+       FROM ev WHERE value IS NOT NULL AND NOT isnan(value))
+SELECT event_id, round(p, 6) AS value_pct FROM ev LEFT JOIN rk USING (event_id)"""
+    counters = {"n_returned": "n_returned", "qty": "qty", "qty_af": f"CASE WHEN {hp} % 10 = 0 THEN qty_af * 2 ELSE qty_af END",
+                "n_done": f"CASE WHEN {hp} % 7 = 0 THEN n_done + n_orders ELSE n_done END"}
+    nulls = ", ".join(f"CASE WHEN {h(K, 'missing_' + c)} % 12 <> 0 THEN {e} END AS {c}" for c, e in counters.items())
+    parts_bad = f"({parts_sum}) > qty * 1.1"
+    part_cols = ", ".join(f"CASE WHEN {parts_bad} THEN CAST(trunc({p} * qty / ({parts_sum})) AS BIGINT) ELSE {p} END AS {p}" for p in QTY_PARTS)
+    fixed = f"""WITH {P},
+pl AS (SELECT * REPLACE ({nulls}, CASE WHEN {hp} % 10 = 0 THEN qty_ro * 2 ELSE qty_ro END AS qty_ro) FROM profile),
+fx AS (SELECT {K}, CASE WHEN n_returned < 1 THEN 1 ELSE n_returned END AS n_returned, {part_cols},
+         CASE WHEN n_done > n_orders THEN n_orders ELSE n_done END AS n_done,
+         CASE WHEN n_returned < 1 THEN 1 ELSE 0 END AS fix_floor, CASE WHEN {parts_bad} THEN 1 ELSE 0 END AS fix_parts,
+         CASE WHEN n_done > n_orders THEN 1 ELSE 0 END AS fix_cap FROM pl)
+"""
+    s["consistency_missing"] = fixed + "SELECT *, fix_floor + fix_parts + fix_cap AS n_fixes FROM fx"
+    s["correction_counts"] = fixed + """SELECT CAST(sum(fix_floor) AS BIGINT) AS fix_floor, CAST(sum(fix_parts) AS BIGINT) AS fix_parts,
+  CAST(sum(fix_cap) AS BIGINT) AS fix_cap, CAST(sum(fix_floor + fix_parts + fix_cap) AS BIGINT) AS corrections FROM fx"""
+    s["removed_rows"] = f"""WITH {P} SELECT count(*) AS rows_before, count(*) FILTER (WHERE n_lines >= {fx.ACTIVITY_MIN_LINES}) AS rows_kept,
+  count(*) FILTER (WHERE NOT coalesce(n_lines >= {fx.ACTIVITY_MIN_LINES}, false)) AS rows_removed FROM profile"""
+
     kept = [c for c in cols if c not in fx.LEAKY]
     s["clean_summary"] = f"""WITH {P},
 f AS (SELECT * FROM profile WHERE n_lines >= {fx.ACTIVITY_MIN_LINES})
@@ -206,9 +249,13 @@ SELECT {K}, {r6('score')} AS score, CAST(score > (SELECT quantile_cont(score, 0.
     AS performance_index,
   {ratio('amount', 'n_lines')} AS damage_efficiency,
   {ratio('amount', 'qty')} AS damage_per_kill,
-  CAST(0.6 AS DOUBLE) * n_taxed + CAST(0.4 AS DOUBLE) * n_disc AS clutch_factor,
-  {ratio('n_urgent', 'n_done', plus=0.01)} AS leadership_index,
-  CAST(n_done - n_urgent AS DOUBLE) AS team_dependency FROM profile"""
+  CAST(0.6 AS DOUBLE) * defuse_rate + CAST(0.4 AS DOUBLE) * plant_rate AS clutch_factor,
+  mvp_rate / (win_rate + CAST(0.01 AS DOUBLE)) AS leadership_index,
+  win_rate - mvp_rate AS team_dependency
+FROM (SELECT *, CAST(n_disc AS DOUBLE) / (CAST(n_lines AS DOUBLE) * CAST(0.5 AS DOUBLE) + CAST(1 AS DOUBLE)) AS plant_rate,
+             CAST(n_taxed AS DOUBLE) / (CAST(n_lines AS DOUBLE) * CAST(0.5 AS DOUBLE) + CAST(1 AS DOUBLE)) AS defuse_rate,
+             CAST(n_urgent AS DOUBLE) / (CAST(n_orders AS DOUBLE) + CAST(1 AS DOUBLE)) AS mvp_rate,
+             CAST(n_done AS DOUBLE) / (CAST(n_orders AS DOUBLE) + CAST(1 AS DOUBLE)) AS win_rate FROM profile)"""
     tot = " + ".join(f"({p} + 1e-8)" for p in QTY_PARTS)
     ent = " + ".join(f"(({p} + 1e-8) / ({tot})) * log2(({p} + 1e-8) / ({tot}))" for p in QTY_PARTS)
     mx = "greatest(" + ", ".join(f"({p} + 1e-8) / ({tot})" for p in QTY_PARTS) + ")"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import rounded
@@ -107,10 +107,28 @@ def q_csv_roundtrip(spark, sf):
 
 @query("split_files")
 def q_split_files(spark, sf):
-    """Write the split dataset partitioned by ``split``; reading one split prunes partitions."""
+    """Write the split dataset partitioned by ``split``; read each split alone (partitions are pruned)."""
     from strata.sources import io
     path = io.write_dataset(_split(spark, sf).select(fx.KEY, "label", "qty", "split"), "splits")
-    return io.read_split(spark, path, "test")
+    train, val, test = (io.read_split(spark, path, s) for s in ("train", "val", "test"))
+    return train.unionByName(val).unionByName(test)
+
+
+@query("resolve_source")
+def q_resolve_source(spark, sf):
+    """The first existing of several sources is read; ``source`` says which."""
+    from strata.sources import io
+    path = io.write_dataset(_p(spark, sf).select(fx.KEY, "qty"), "processed")
+    found = io.resolve_source(spark, [f"{path}-fixed", path, f"{sf}/customer.parquet"])
+    return io.read_dataset(spark, found).withColumn("source", F.lit("processed" if found == path else "other"))
+
+
+@query("split_check")
+def q_split_check(spark, sf):
+    """Rows, distinct keys and positives of each split; the fractions are validated first."""
+    split.validate_split(0.15, 0.15, 5)
+    return _split(spark, sf).groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(fx.KEY).alias("n_keys"),
+                                                  F.sum("label").cast("bigint").alias("positives"))
 
 
 # ---- cleaning ----------------------------------------------------------------------------------
@@ -162,10 +180,60 @@ def q_clean_summary(spark, sf):
     df = clean.min_activity_filter(raw, "n_lines", fx.ACTIVITY_MIN_LINES).select(*df.columns)
     feats = [c for c in PROFILE_COUNTERS if c in df.columns]
     df = clean.apply_iqr_cap(df, clean.fit_iqr_fences(df, feats))
-    df = clean.consistency_fix(df, floor_col="n_returned", floor=1, cap_col="n_done", cap_by="n_orders")
+    df = clean.consistency_fix(df, floor_col="n_returned", floor=1, parts=QTY_PARTS, total_col="qty",
+                               cap_col="n_done", cap_by="n_orders")
     return rounded(clean.clean_summary(raw, df, feats))
 
 
+@query("iqr_cap_missing")
+def q_iqr_cap_missing(spark, sf):
+    """C1/C2 with NULL, NaN and infinite values: missing stays missing, infinities become the fences."""
+    df = fx.plant_missing(_p(spark, sf), fx.MISSING_COLS).select(fx.KEY, *fx.MISSING_COLS)
+    return rounded(clean.apply_iqr_cap(df, clean.fit_iqr_fences(df, fx.MISSING_COLS)))
+
+
+@query("outlier_counts_missing")
+def q_outlier_counts_missing(spark, sf):
+    df = fx.plant_missing(_p(spark, sf), fx.MISSING_COLS)
+    return rounded(clean.outlier_counts(df, clean.fit_iqr_fences(df, fx.MISSING_COLS)))
+
+
+@query("impute_inf")
+def q_impute_inf(spark, sf):
+    """NULL, NaN and infinite values get the median of the finite ones."""
+    df = fx.plant_missing(_p(spark, sf), fx.MISSING_COLS).select(fx.KEY, *fx.MISSING_COLS)
+    return rounded(clean.apply_impute(df, clean.fit_medians(df, fx.MISSING_COLS)))
+
+
+def _fixed_with_nulls(spark, sf):
+    df = fx.plant_null_counters(_p(spark, sf), fx.MISSING_COUNTERS)
+    return clean.consistency_fix(df, floor_col="n_returned", floor=1, parts=QTY_PARTS, total_col="qty",
+                                 cap_col="n_done", cap_by="n_orders")
+
+
+@query("consistency_missing")
+def q_consistency_missing(spark, sf):
+    """C4-C8 with NULL counters: a rule whose inputs are missing changes and counts nothing."""
+    return _fixed_with_nulls(spark, sf).select(fx.KEY, "n_returned", *QTY_PARTS, "n_done", "fix_floor", "fix_parts",
+                                               "fix_cap", "n_fixes")
+
+
+@query("correction_counts")
+def q_correction_counts(spark, sf):
+    return clean.correction_counts(_fixed_with_nulls(spark, sf))
+
+
+@query("removed_rows")
+def q_removed_rows(spark, sf):
+    """P5: rows kept and removed by the activity filter, the kept ones observed in the job that writes them."""
+    from strata.sources import io
+    raw, seen = _p(spark, sf), Observation("activity")
+    io.write_dataset(clean.min_activity_filter(raw, "n_lines", fx.ACTIVITY_MIN_LINES, seen), "active")
+    kept = seen.get["rows_kept"]
+    return raw.agg(F.count(F.lit(1)).alias("rows_before")).select(
+        "rows_before", F.lit(kept).cast("bigint").alias("rows_kept"), (F.col("rows_before") - kept).alias("rows_removed"))
+
+
 # ---- labels ------------------------------------------------------------------------------------
 
 @query("label_quantile")
@@ -217,7 +285,7 @@ def q_tiers(spark, sf):
 
 @query("indices")
 def q_indices(spark, sf):
-    df = derive.advanced_indices(_p(spark, sf), fx.ROLES)
+    df = derive.advanced_indices(derive.derived_ratios(_p(spark, sf), fx.RATIOS), fx.ROLES)
     return df.select(fx.KEY, "playtime_efficiency", "performance_index", "damage_efficiency",
                      "damage_per_kill", "clutch_factor", "leadership_index", "team_dependency")
 
@@ -239,6 +307,13 @@ def q_pct_rank(spark, sf):
     return rounded(rank.percent_rank_avg(ev, "value", out_col="value_pct"))
 
 
+@query("pct_rank_missing")
+def q_pct_rank_missing(spark, sf):
+    """W1 with missing values: NULL and NaN have no rank and don't count; infinities rank last and first."""
+    ev = read_table(spark, sf, "events").select("event_id", "value")
+    return rounded(rank.percent_rank_avg(fx.plant_missing(ev, ["value"]), "value", out_col="value_pct").select("event_id", "value_pct"))
+
+
 @query("pct_rank_profile")
 def q_pct_rank_profile(spark, sf):
     df = _p(spark, sf).withColumns({"kd": F.col("qty") / (F.col("n_returned") + 1),
