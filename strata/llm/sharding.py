@@ -22,12 +22,13 @@ BUCKET_ROWS = 8192
 TOP_GAIN = 7
 
 
-def ranked(rows: DataFrame, key: str, parts: list[str], n: int, first: Column | None = None) -> DataFrame:
+def ranked(rows: DataFrame, key: str, parts: list[str], n: int, first: Column | None = None, salt: int = 0) -> DataFrame:
     """``rows`` with a gapless ``rank`` from 0 within each value of ``parts``: by ``first`` (few values), then by hash
     buckets of ``key``, then by key. Rows are sorted within buckets only; the buckets' sizes are summed before them.
-    ``n``: the number of rows, from which the number of buckets follows."""
+    ``n``: the number of rows, from which the number of buckets follows. Where ``parts`` follow from an earlier rank,
+    another ``salt`` deals them over all buckets again."""
     buckets = max(16, n // BUCKET_ROWS)
-    own = rows.withColumn("__first", F.lit(0) if first is None else first).withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    own = rows.withColumn("__first", F.lit(0) if first is None else first).withColumn("__bucket", F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(buckets)))
     group = [*parts, "__first", "__bucket"]
     before = Window.partitionBy(*parts).orderBy("__first", "__bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = own.groupBy(*group).agg(F.count("*").alias("__n"))
@@ -123,7 +124,7 @@ def shard_rows(rows: DataFrame, links: DataFrame, row: str, *, shards: int = SHA
         until = until.when(F.col("rank") < sofar, i)
     filled = ranked(free, "node", [], total).select("node", until.alias("shard"))
     dealt = staged(state.unionByName(filled), "dealt")
-    placed = ranked(dealt, "node", ["shard"], total // shards + 1).withColumnRenamed("rank", "slot")
+    placed = ranked(dealt, "node", ["shard"], total // shards + 1, salt=1).withColumnRenamed("rank", "slot")
     return rows.join(placed, F.col(row) == F.col("node")).drop("node")
 
 
