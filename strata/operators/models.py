@@ -24,25 +24,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEED = 42
-ROWS_PER_PARTITION = 500_000  # training rows per partition for iterative solvers
+PARTITION_BYTES = 32 << 20  # training data (rows x features as doubles) per partition
 
 
-def _light_per_row(estimator) -> bool:
-    """Solvers whose per-iteration work per row is tiny (task overhead dominates on small inputs)."""
-    return isinstance(estimator, (LogisticRegression, LinearSVC, NaiveBayes))
+def right_size(df: DataFrame, n_features: int, n_rows: int | None = None) -> DataFrame:
+    """Coalesce (never widen) to partitions of at most ``PARTITION_BYTES`` of training data.
 
-
-def right_size(df: DataFrame, n_rows: int | None = None) -> DataFrame:
-    """Coalesce (never widen) to ``ceil(rows / ROWS_PER_PARTITION)`` partitions.
-
-    Linear solvers run one light job per iteration; on small inputs the per-task
-    overhead dominates, at scale the input keeps its partitioning (coalesce only
-    merges, it never shuffles).  Compute-heavy solvers (trees, perceptron) keep
-    the input partitioning.
+    Iterative solvers run a job per iteration or tree level; on small inputs the
+    per-task overhead dominates.  At scale the input keeps its partitioning
+    (coalesce only merges, it never shuffles).
     """
     import math
     n = df.count() if n_rows is None else n_rows
-    want = max(1, math.ceil(n / ROWS_PER_PARTITION))
+    want = max(1, math.ceil(n * (n_features + 1) * 8 / PARTITION_BYTES))
     return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
 
 
@@ -64,13 +58,14 @@ def base_models(n_features: int, n_rows: int | None = None, fast: bool = False)
         # MLlib has no random-threshold splitter: no bootstrap + sqrt features + coarse bins approximates it
         "extra_trees": RandomForestClassifier(numTrees=trees, maxDepth=10, bootstrap=False,
                                               featureSubsetStrategy="sqrt", maxBins=8, seed=SEED),
-        # linear SVM on scaled features (no kernel / probability in MLlib): scores are margins
-        "svm": LinearSVC(regParam=0.01, maxIter=100, tol=1e-4),
+        # linear SVM on scaled features, C = 1; kernels: svm_search; scores are margins, calibrated for votes
+        "svm": LinearSVC(regParam=reg, maxIter=100, tol=1e-4),
         "naive_bayes": NaiveBayes(modelType="gaussian"),
         "neural_network": MultilayerPerceptronClassifier(layers=[n_features, 100, 50, 2],
                                                          maxIter=50 if fast else 500, seed=SEED, tol=1e-4),
-        # boosted trees stand in for the optional external booster
-        "xgboost": GBTClassifier(maxIter=it, stepSize=0.1, maxDepth=6 if not fast else 4, seed=SEED + 1),
+        # stands in for the optional external booster: boosted trees with row and column sampling and a least gain
+        "xgboost": GBTClassifier(maxIter=it, stepSize=0.1, maxDepth=6 if not fast else 4, subsamplingRate=0.8,
+                                 featureSubsetStrategy="0.8", minInfoGain=1e-4, seed=SEED),
     }
     return models
 
@@ -141,8 +136,7 @@ def fit(estimator, df: DataFrame, features: Sequence[str], label: str = "label")
     """Assemble once, persist the (features, label) pairs for the iterative solver, fit, release."""
     est = estimator.copy().setFeaturesCol("features").setLabelCol(label)
     assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
-    src = right_size(df) if _light_per_row(estimator) else df
-    data = assembler.transform(src).select("features", F.col(label).cast("double").alias(label))
+    data = assembler.transform(right_size(df, len(features))).select("features", F.col(label).cast("double").alias(label))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = est.fit(data)
@@ -264,8 +258,7 @@ def cross_validate(estimator, train: DataFrame, features: Sequence[str], label:
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid or [{}], evaluator=evaluator,
                         foldCol=fold_col, numFolds=num_folds, parallelism=parallelism, seed=SEED,
                         collectSubModels=False)
-    src = right_size(train) if _light_per_row(estimator) else train
-    data = assemble(src, features).withColumn(fold_col, F.col(fold_col).cast("int"))
+    data = assemble(right_size(train, len(features)), features).withColumn(fold_col, F.col(fold_col).cast("int"))
     m = cv.fit(data)
     return m, list(m.avgMetrics), list(m.stdMetrics)
 
@@ -306,7 +299,8 @@ def baseline(models: dict, train: DataFrame, val: DataFrame, features: Sequence[
 #   (the optional booster adds colsample_bytree .8/.9/1)
 #   logistic regression: C .1/1/10/100, penalty l1/l2;  SVM: C .1/1/10
 #   neural network: hidden (50), (100), (100, 50), (150, 75); learning_rate_init .001/.01/.1
-# No MLlib counterpart (dropped): min_samples_split, solver, kernel, gamma, alpha.
+#   SVM also: kernel rbf, gamma scale/auto/.001/.01 (svm_search)
+# No MLlib counterpart (dropped): min_samples_split, solver, alpha, the poly kernel.
 UNLIMITED_DEPTH = 30  # MLlib's maximum tree depth stands for "no limit"
 
 
@@ -329,8 +323,9 @@ def param_grid(name: str, est, n_rows: int | None = None, n_features: int | None
         b = b.addGrid(est.regParam, [1.0 / (c * n) for c in (0.1, 1.0, 10.0)])
     elif name == "neural_network":
         p = n_features or est.getLayers()[0]
+        # only gradient descent has a step size; the default L-BFGS would ignore that axis
         b = (b.addGrid(est.layers, [[p, 50, 2], [p, 100, 2], [p, 100, 50, 2], [p, 150, 75, 2]])
-             .addGrid(est.stepSize, [0.001, 0.01, 0.1]))
+             .addGrid(est.stepSize, [0.001, 0.01, 0.1]).addGrid(est.solver, ["gd"]))
     else:
         return []
     return b.build()
@@ -353,6 +348,28 @@ def random_search(name: str, est, train: DataFrame, features: Sequence[str], lab
     return picks[best], float(mean[best])
 
 
+SVM_GAMMAS = ("scale", "auto", 0.001, 0.01)  # fixed values: the source's
+
+
+def svm_search(train: DataFrame, features: Sequence[str], label: str = "label", fold_col: str = "fold",
+               costs: Sequence[float] = (0.1, 1.0, 10.0), gammas: Sequence = SVM_GAMMAS, n_components: int = 100,
+               parallelism: int = 4) -> list[tuple]:
+    """N4 for M5: ``(kernel, gamma, C, cv_auc)`` for the linear kernel and the RBF kernel (random Fourier features)
+    with each gamma, best first."""
+    n = train.count()
+    grid = lambda est: ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n) for c in costs]).build()
+    out = []
+    for gamma in (None, *gammas):
+        data, names = train, list(features)
+        if gamma is not None:
+            fmap = rbf_feature_map(train, features, n_components, 1.0 / len(features) if gamma == "auto" else gamma)
+            data, names = apply_rbf_map(train, fmap, keep=[label, fold_col]), fmap["names"]
+        est = LinearSVC(maxIter=100, tol=1e-4)
+        _, mean, _ = cross_validate(est, data, names, label, fold_col, grid=grid(est), parallelism=parallelism)
+        out += [("linear" if gamma is None else "rbf", None if gamma is None else str(gamma), c, float(m)) for c, m in zip(costs, mean)]
+    return sorted(out, key=lambda r: -r[3])
+
+
 def select_best(fitted: dict, val: DataFrame, label: str = "label") -> tuple[str, DataFrame]:
     """Validation metrics per fitted model; best = max ROC AUC. Returns (name, metrics long frame)."""
     from strata.operators.evaluate import binary_metrics, roc_auc
@@ -370,8 +387,20 @@ def select_best(fitted: dict, val: DataFrame, label: str = "label") -> tuple[str
     return best, metrics
 
 
-def soft_vote(fitted: dict, df: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
-    """Average probability of the chosen models; pred = avg >= 0.5.
+def calibrate(model: PipelineModel, held_out: DataFrame, label: str = "label") -> tuple[float, float] | None:
+    """Slope and offset that turn a margin into a probability (a logistic fit on held-out rows); None if the model
+    has probabilities of its own."""
+    out = model.transform(held_out)
+    if "probability" in out.columns:
+        return None
+    rows = out.select(vector_to_array("rawPrediction")[1].alias("margin"), F.col(label).cast("double").alias(label))
+    fitted = fit(LogisticRegression(maxIter=100), rows, ["margin"], label).stages[-1]
+    return float(fitted.coefficients[0]), float(fitted.intercept)
+
+
+def soft_vote(fitted: dict, df: DataFrame, key: str, names: Sequence[str], calibration: dict | None = None) -> DataFrame:
+    """Average probability of the named models; pred = avg >= 0.5.  ``calibration`` has :func:`calibrate`'s result
+    for models that score by margins; without it such a model can't vote.
 
     The models are applied one after another to the same rows (each transform
     is narrow; its vector/output columns are dropped before the next), so the
@@ -381,8 +410,14 @@ def soft_vote(fitted: dict, df: DataFrame, key: str, names: Sequence[str]) -> Da
     base_cols = list(df.columns)
     for i, n in enumerate(names):
         t = fitted[n].transform(out)
-        col = "probability" if "probability" in t.columns else "rawPrediction"
-        out = t.select(*base_cols, *[f"_s{j}" for j in range(i)], vector_to_array(col)[1].alias(f"_s{i}"))
+        if "probability" in t.columns:
+            p = vector_to_array("probability")[1]
+        elif (calibration or {}).get(n):
+            a, b = calibration[n]
+            p = 1.0 / (1.0 + F.exp(-(F.lit(a) * vector_to_array("rawPrediction")[1] + F.lit(b))))
+        else:
+            raise ValueError(f"{n} has margins only: calibrate it first")
+        out = t.select(*base_cols, *[f"_s{j}" for j in range(i)], p.alias(f"_s{i}"))
     avg = sum(F.col(f"_s{i}") for i in range(len(names))) / F.lit(float(len(names)))
     return out.select(key, avg.alias("score"), (avg >= 0.5).cast("int").alias("pred"))
 

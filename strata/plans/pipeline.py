@@ -15,11 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import numeric_columns
-from strata.operators import clean, derive, evaluate, labels, models, select, split
+from strata.operators import clean, derive, evaluate, labels, models, rank, select, split
 from strata.plans import fixture as fx
 from strata.session import scratch_path
 from strata.sources import io
-from strata.sources.tables import PROFILE_COUNTERS, profile_table
+from strata.sources.tables import PROFILE_COUNTERS, QTY_PARTS, input_state, profile_table
 
 STEPS = ("collect", "preprocess", "features", "model", "evaluate")
 DEFAULT_STEPS = ("collect", "preprocess", "model", "evaluate")
@@ -52,7 +52,8 @@ def preprocess_stage(fixed: DataFrame, fit_on: str = "train",
     fit_rows = df.where(F.col("split") == "train") if fit_on == "train" else df
     counters = [c for c in PROFILE_COUNTERS if c in df.columns]
     df = clean.apply_iqr_cap(df, clean.fit_iqr_fences(fit_rows, counters, method=quantile_method))
-    df = clean.consistency_fix(df, floor_col="n_returned", floor=1).drop("fix_floor", "n_fixes")
+    df = clean.consistency_fix(df, floor_col="n_returned", floor=1, parts=QTY_PARTS, total_col="qty",
+                               cap_col="n_urgent", cap_by="n_orders").drop("fix_floor", "fix_parts", "fix_cap", "n_fixes")
     fit_rows = df.where(F.col("split") == "train") if fit_on == "train" else df
     df = clean.apply_impute(df, clean.fit_medians(fit_rows, counters, method=quantile_method))
     df = derive.derived_ratios(df, fx.RATIOS, fx.SUMS)
@@ -63,12 +64,26 @@ def preprocess_stage(fixed: DataFrame, fit_on: str = "train",
     return df.select(fx.KEY, "label", "split", *feats), feats
 
 
+def advanced_features(df: DataFrame) -> DataFrame:
+    """D12-D20 and W1 on whatever roles the processed table still has; percentiles rank within each split, and a value
+    that can't be computed gets the training median."""
+    before = set(df.columns)
+    if fx.ROLES["hours"] in df.columns:
+        df = derive.experience_tier(df, fx.ROLES["hours"])
+    df = derive.advanced_indices(df, fx.ROLES)
+    if {fx.ROLES["kills"], fx.ROLES["deaths"]} <= set(df.columns):
+        df = df.withColumn("kd", F.try_divide(F.col(fx.ROLES["kills"]), F.col(fx.ROLES["deaths"]) + F.lit(1)))
+        df = rank.percent_rank_avg(df, "kd", ["split"], "kd_percentile").drop("kd")
+    new = [c for c in df.columns if c not in before]
+    return clean.apply_impute(df, clean.fit_medians(df.where(F.col("split") == "train"), new)) if new else df
+
+
 def features_stage(df: DataFrame, feats: list[str], k: int = 40, quick: bool = False) -> tuple[DataFrame, list[str]]:
-    """Interactions (skipped in quick mode) + ANOVA k-best fitted on train."""
+    """Advanced features, interactions (skipped in quick mode) and ANOVA k-best fitted on train."""
+    df = advanced_features(df)
     if not quick:
-        cols = derive.interaction_columns(feats, fx.INTERACTION_PREFERRED)
-        df = derive.interactions(df, cols)
-        feats = numeric_columns(df, exclude=[fx.KEY, "label"])
+        df = derive.interactions(df, derive.interaction_columns(feats, fx.INTERACTION_PREFERRED))
+    feats = numeric_columns(df, exclude=[fx.KEY, "label"])
     train = df.where(F.col("split") == "train")
     best = [r["feature"] for r in select.select_k_best(select.anova_f(train, "label", feats), k).collect()]
     return df.select(fx.KEY, "label", "split", *best), best
@@ -76,7 +91,7 @@ def features_stage(df: DataFrame, feats: list[str], k: int = 40, quick: bool = F
 
 def model_matrix(spark: SparkSession, sf_dir: str, folds: int = 5) -> tuple[DataFrame, list[str]]:
     """The processed matrix with CV folds on the train split, materialised once per session."""
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), folds)
+    key = (*input_state(spark, sf_dir), folds)
     if key not in _MATRIX or not io._exists(spark, _MATRIX[key][0]):
         df, feats = preprocess_stage(collect_stage(spark, sf_dir))
         train = split.assign_folds(df.where(F.col("split") == "train"), fx.KEY, "label", k=folds, seed=fx.SEED)
@@ -90,78 +105,79 @@ def model_matrix(spark: SparkSession, sf_dir: str, folds: int = 5) -> tuple[Data
 _MATRIX: dict = {}
 
 
-def run_pipeline(spark: SparkSession, sf_dir: str, steps: Sequence[str] = DEFAULT_STEPS, quick: bool = True,
+def run_pipeline(spark: SparkSession, sf_dir: str, steps: Sequence[str] = DEFAULT_STEPS, quick: bool = False,
                  model_names: Sequence[str] | None = None, tune_top: int | None = None,
-                 draws: int = 4) -> DataFrame:
-    """V2: execute the chosen steps; returns the V3 stage report ``(stage, metric, value)``."""
+                 draws: int = 20, base: str | None = None) -> DataFrame:
+    """V2: execute the chosen steps; returns the V3 stage report ``(stage, metric, value)``.
+
+    ``base`` is the folder of the stage tables: a step reads what an earlier step, of this call or of an earlier
+    one with the same ``base``, has written there, and raises ``FileNotFoundError`` if that is missing.  Without
+    ``base`` a fresh folder is taken.  ``quick`` skips interactions and selects and tunes less.
+    """
     steps = validate_steps(steps)
     report: list[tuple[str, str, float]] = []
-    base = scratch_path(spark, "pipeline")
-    fixed_path = processed_path = None
-    feats: list[str] = []
+    base = base or scratch_path(spark, "pipeline")
+
+    def stored(*names):
+        """The first of the stage tables that exists, and its features."""
+        df = spark.read.parquet(io.resolve_source(spark, [f"{base}/{n}" for n in names]))
+        return df, numeric_columns(df, exclude=[fx.KEY, "label"])
 
     if "collect" in steps:
-        fixed = collect_stage(spark, sf_dir)
-        fixed_path = io.write_dataset(fixed, "fixed", path=f"{base}/fixed")
-        report += [("collect", "rows", float(spark.read.parquet(fixed_path).count())),
-                   ("collect", "columns", float(len(fixed.columns)))]
+        io.write_dataset(collect_stage(spark, sf_dir), "fixed", path=f"{base}/fixed")
+        fixed, _ = stored("fixed")
+        report += [("collect", "rows", float(fixed.count())), ("collect", "columns", float(len(fixed.columns)))]
     if "preprocess" in steps:
-        src = io.resolve_source(spark, [p for p in [fixed_path, f"{base}/fixed"] if p])
-        proc, feats = preprocess_stage(spark.read.parquet(src))
-        processed_path = io.write_dataset(proc, "processed", path=f"{base}/processed")
-        counts = {r["split"]: r["n"] for r in spark.read.parquet(processed_path).groupBy("split")
-                  .agg(F.count(F.lit(1)).alias("n")).collect()}
+        proc, feats = preprocess_stage(stored("fixed")[0])
+        io.write_dataset(proc, "processed", path=f"{base}/processed")
+        counts = {r["split"]: r["n"] for r in stored("processed")[0].groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
         report += [("preprocess", f"rows_{s}", float(counts.get(s, 0))) for s in ("train", "val", "test")]
         report.append(("preprocess", "features", float(len(feats))))
-    stage_path = processed_path
-    if "features" in steps and processed_path:
-        eng, feats = features_stage(spark.read.parquet(processed_path), feats, k=30 if quick else 40, quick=quick)
-        stage_path = io.write_dataset(eng, "engineered", path=f"{base}/engineered")
+    if "features" in steps:
+        eng, feats = features_stage(*stored("processed"), k=30 if quick else 40, quick=quick)
+        io.write_dataset(eng, "engineered", path=f"{base}/engineered")
         report.append(("features", "selected", float(len(feats))))
-    if "model" in steps and stage_path:
-        data = spark.read.parquet(stage_path)
-        train = split.assign_folds(data.where(F.col("split") == "train"), fx.KEY, "label", k=5, seed=fx.SEED)
-        # every candidate's CV folds, fits and searches read the same training rows
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)
-        val = data.where(F.col("split") == "val")
-        test = data.where(F.col("split") == "test")
-        n_train = train.count()
-        cands = models.base_models(len(feats), n_train, fast=quick)
+    if "model" in steps:
+        report += _model_stage(spark, base, *stored("engineered", "processed"), quick, model_names, tune_top, draws)
+    if "evaluate" in steps:
+        data, _ = stored("engineered", "processed")
+        io.resolve_source(spark, [f"{base}/registry"])
+        pm = models.load_model(spark, registry=f"{base}/registry")
+        bundle = evaluate.evaluate(models.score(pm, data.where(F.col("split") == "test"), keep=["label"]))
+        m, a = bundle["weighted"].first(), bundle["auc"].first()
+        report += [("evaluate", "accuracy", float(m["accuracy"])), ("evaluate", "f1_weighted", float(m["f1"])),
+                   ("evaluate", "roc_auc", float(a["roc_auc"])), ("evaluate", "pr_auc", float(a["pr_auc"]))]
+    return spark.createDataFrame(report, "stage string, metric string, value double")
+
+
+def _model_stage(spark, base, data, feats, quick, model_names, tune_top, draws) -> list[tuple[str, str, float]]:
+    """Baseline CV of all models, random search of the best, selection, registry, held-out metrics."""
+    report = []
+    # every candidate's CV folds, fits and searches read the same training rows
+    train = split.assign_folds(data.where(F.col("split") == "train"), fx.KEY, "label", k=5, seed=fx.SEED).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        val, test = data.where(F.col("split") == "val"), data.where(F.col("split") == "test")
+        cands = models.base_models(len(feats), train.count(), fast=quick)
         if model_names:
             cands = {k: v for k, v in cands.items() if k in model_names}
         fitted: dict = {}
         base_res = models.baseline(cands, train, val, feats, fitted_out=fitted).collect()
-        for r in base_res:
-            if r["cv_auc_mean"] is not None:
-                report.append(("model", f"cv_auc_{r['model']}", r["cv_auc_mean"]))
         ranked = [r["model"] for r in base_res if r["cv_auc_mean"] is not None]
-        n_tune = tune_top if tune_top is not None else (2 if quick else 3)
+        report += [("model", f"cv_auc_{r['model']}", r["cv_auc_mean"]) for r in base_res if r["model"] in ranked]
         fitted = {k: v for k, v in fitted.items() if k in ranked}
-        for name in ranked[:n_tune]:
+        for name in ranked[:tune_top if tune_top is not None else (2 if quick else 3)]:
             try:
                 pm, _ = models.random_search(name, cands[name], train, feats, draws=draws)
                 if pm:
                     fitted[name] = models.fit(cands[name].copy(pm), train, feats)
-            except Exception as exc:  # a failed search keeps the baseline model
+            except Exception as exc:  # a failed search keeps the baseline model, as in the source
                 print(f"[strata] tuning {name} failed: {exc}")
         best, _ = models.select_best(fitted, val)
-        model_path = f"{base}/best_model"
-        models.save_model(fitted[best], model_path, f"{base}/registry", best, len(feats), spark)
-        sc = models.score(fitted[best], test, keep=["label"])
-        auc = evaluate.roc_auc(sc).first()["roc_auc"]
-        report += [("model", "best_test_auc", float(auc))]
-        report.append(("model", f"best_is_{best}", 1.0))
+        models.save_model(fitted[best], f"{base}/best_model", f"{base}/registry", best, len(feats), spark)
+        scored = models.score(fitted[best], test, keep=["label"])
+        m, auc = evaluate.weighted_metrics(scored).first(), evaluate.roc_auc(scored).first()["roc_auc"]
+        report += [("model", f"best_test_{k}", float(m[k])) for k in ("accuracy", "precision", "recall", "f1")]
+        report += [("model", "best_test_auc", float(auc)), ("model", f"best_is_{best}", 1.0)]
+    finally:
         train.unpersist()
-    if "evaluate" in steps and stage_path:
-        try:
-            pm = models.load_model(spark, registry=f"{base}/registry")
-        except Exception:
-            pm = None
-        if pm is not None:
-            test = spark.read.parquet(stage_path).where(F.col("split") == "test")
-            bundle = evaluate.evaluate(models.score(pm, test, keep=["label"]))
-            m = bundle["weighted"].first()
-            a = bundle["auc"].first()
-            report += [("evaluate", "accuracy", float(m["accuracy"])), ("evaluate", "f1_weighted", float(m["f1"])),
-                       ("evaluate", "roc_auc", float(a["roc_auc"])), ("evaluate", "pr_auc", float(a["pr_auc"]))]
-    return spark.createDataFrame(report, "stage string, metric string, value double")
+    return report

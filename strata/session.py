@@ -39,12 +39,15 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared scratch folder (``spark.checkpoint.dir``).
 
-    Reads the session setting; only when it is unset (local tests) a fresh
-    temporary folder is chosen and registered.
+    Reads the session setting.  Only a local master may leave it unset: then a
+    fresh temporary folder is chosen and registered.  On a cluster executors
+    could not see such a folder, so an unset setting is an error there.
     """
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="strata-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:

@@ -84,6 +84,14 @@ def entity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 _MATERIALIZED: dict = {}
 
 
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Identifies a session's view of the input: application, path, and name, size and time of its files."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir.rstrip("/"))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(path)))
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/"), files
+
+
 def stage_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A pipeline stage as a table: ``build()`` is written once per session as Parquet
     below the shared folder (``spark.checkpoint.dir``) and read back.
@@ -94,7 +102,7 @@ def stage_table(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame
     """
     from strata.session import scratch_path
 
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), name)
+    key = (*input_state(spark, sf_dir), name)
     path = _MATERIALIZED.get(key)
     if path is None or not _exists(spark, path):
         path = scratch_path(spark, name)
