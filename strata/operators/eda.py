@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import md5_uniform
-from strata.operators.rank import exact_quantiles, grouped_quantiles
+from strata.operators.rank import exact_quantiles, grouped_quantiles, null_safe_join
 
 
 def _stack(wide: DataFrame, names: Sequence[str], prefix: str, out_cols: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -165,10 +165,10 @@ def histogram(df: DataFrame, column: str, bins: int = 30, group: str | None = No
         return out
     b = _np_bin(x, F.col("_lo"), F.col("_hi"), bins)
     # rng has one row per group (checked bound): equi-join on the group key, broadcast
-    counts = (data.select(*gcols, x.alias(column)).join(F.broadcast(rng), gcols)
+    counts = (null_safe_join(data.select(*gcols, x.alias(column)), F.broadcast(rng), gcols)
               .groupBy(*gcols, b.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    out = grid.join(counts, gcols + ["bin"], "left").select(
+    out = null_safe_join(grid, counts, gcols + ["bin"], "left").select(
         *gcols, "bin", (F.col("bin") * F.col("_w") + F.col("_lo")).alias("lo"),
         F.when(F.col("bin") == bins - 1, F.col("_hi"))
         .otherwise((F.col("bin") + 1) * F.col("_w") + F.col("_lo")).alias("hi"),
@@ -186,10 +186,10 @@ def _histogram_many_groups(data, x, column, gcols, rng_all, bins, density) -> Da
                          F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
     rng = rng.withColumn("_w", (F.col("_hi") - F.col("_lo")) / F.lit(bins))
     b = _np_bin(x, F.col("_lo"), F.col("_hi"), bins)
-    counts = (data.select(*gcols, x.alias(column)).join(rng, gcols)
+    counts = (null_safe_join(data.select(*gcols, x.alias(column)), rng, gcols)
               .groupBy(*gcols, b.alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     grid = rng.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    out = grid.join(counts, gcols + ["bin"], "left").select(
+    out = null_safe_join(grid, counts, gcols + ["bin"], "left").select(
         *gcols, "bin", (F.col("bin") * F.col("_w") + F.col("_lo")).alias("lo"),
         F.when(F.col("bin") == bins - 1, F.col("_hi"))
         .otherwise((F.col("bin") + 1) * F.col("_w") + F.col("_lo")).alias("hi"),
@@ -203,15 +203,20 @@ def boxplot_stats(df: DataFrame, value: str, group: str, k: float = 1.5) -> Data
     """A10: per group Q1, median, Q3, whiskers (extreme values inside the fences) and flier count.
 
     Quartiles are exact and distributed (:func:`grouped_quantiles`, one row per
-    group); the fences are joined back on the group key (an equi-join the planner
-    broadcasts when the group table is small) for one aggregation pass.
+    group); the fences are joined back on the group key for one aggregation pass.
+    Up to ``MAX_HIST_GROUPS`` groups they are broadcast, so the rows of a hot group
+    stay where they are; more are left to the planner and AQE's skew-join splitting.
     """
     q = grouped_quantiles(df, value, [group], [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     fences = q.select(group, "q1", "median", "q3",
                       (F.col("q1") - F.lit(k) * (F.col("q3") - F.col("q1"))).alias("lower"),
                       (F.col("q3") + F.lit(k) * (F.col("q3") - F.col("q1"))).alias("upper"))
+    few = fences.limit(MAX_HIST_GROUPS + 1).collect()
+    if len(few) <= MAX_HIST_GROUPS:
+        fences = F.broadcast(df.sparkSession.createDataFrame(few, fences.schema))
     x = F.col(value).cast("double")
-    joined = df.select(group, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x")).join(fences, group)
+    rows = df.select(group, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    joined = null_safe_join(rows, fences, [group])
     inside = (F.col("_x") >= F.col("lower")) & (F.col("_x") <= F.col("upper"))
     return joined.groupBy(group, "q1", "median", "q3", "lower", "upper").agg(
         F.min(F.when(inside, F.col("_x"))).alias("whisker_lo"),

@@ -106,7 +106,7 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
     else:
         largest = sizes.agg(F.max("_ndist")).first()[0]
     # NULL groups are groups like others
-    keyed = _null_safe_join(g, sizes, gcols)
+    keyed = null_safe_join(g, sizes, gcols)
     zero_offsets = {"_oc": F.lit(0).cast("long"), "_od": F.lit(0).cast("long"),
                     **{f"_ow_{n}": F.lit(0).cast(g.schema[n].dataType) for n in weights}}
     # cold groups (<= single_bucket_max distinct values each): one window partition per group
@@ -120,12 +120,12 @@ def ordered_counts(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
     return out
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on ``keys`` where NULL equals NULL; the right side's keys are dropped."""
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where NULL equals NULL; the right side's keys are dropped."""
     names = {k: f"_r_{i}" for i, k in enumerate(keys)}
     right = right.withColumnsRenamed(names)
     on = [F.col(k).eqNullSafe(F.col(r)) for k, r in names.items()]
-    return left.join(right, on).drop(*names.values())
+    return left.join(right, on, how).drop(*names.values())
 
 
 def _hot_groups(rows: DataFrame, gcols, weights, p: int, accuracy: int, listed: bool) -> DataFrame:
@@ -136,14 +136,14 @@ def _hot_groups(rows: DataFrame, gcols, weights, p: int, accuracy: int, listed:
     probs = [i / p for i in range(1, p)]
     bounds = rows.groupBy(*gcols).agg(
         F.array_sort(F.array_distinct(F.percentile_approx("_k", probs, max(accuracy, 10 * p)))).alias("_b"))
-    gb = _null_safe_join(rows, hint(bounds), gcols).withColumn("_bucket", _bucket_of(F.col("_b"), F.col("_k"), p)).drop("_b")
+    gb = null_safe_join(rows, hint(bounds), gcols).withColumn("_bucket", _bucket_of(F.col("_b"), F.col("_k"), p)).drop("_b")
     before = Window.partitionBy(*gcols).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = gb.groupBy(*gcols, "_bucket").agg(
         F.sum("cnt").alias("_oc"), F.count(F.lit(1)).alias("_od"), *[F.sum(n).alias(f"_ow_{n}") for n in weights])
     sums = ["_oc", "_od", *[f"_ow_{n}" for n in weights]]
     offsets = totals.select(*gcols, "_bucket", *[
         F.coalesce(F.sum(c).over(before), F.lit(0)).cast(totals.schema[c].dataType).alias(c) for c in sums])
-    return _null_safe_join(gb, hint(offsets), [*gcols, "_bucket"])
+    return null_safe_join(gb, hint(offsets), [*gcols, "_bucket"])
 
 
 def _bucket_of(bounds: Column, k: Column, p: int) -> Column:

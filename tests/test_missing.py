@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import clip
-from strata.operators import clean, rank
+from strata.operators import clean, eda, rank
 from strata.plans import pipeline
 from strata.session import scratch_path
 
@@ -54,6 +54,13 @@ def test_null_group_is_a_group(spark):
     assert by_key(rank.percent_rank_avg(df, "x", ["g"], "p"), "p") == [0.5, 1.0, 1.0]
 
 
+def test_null_group_has_a_histogram_and_a_boxplot(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 5.0), ("a", 9.0)], "g string, x double")
+    n = {g: sum(r.n for r in eda.histogram(df, "x", bins=2, group="g").collect() if r.g == g) for g in (None, "a")}
+    assert n == {None: 2, "a": 2}
+    assert {r.g: r.n for r in eda.boxplot_stats(df, "x", "g").collect()} == {None: 2, "a": 2}
+
+
 @pytest.mark.parametrize("single", [0, 10 ** 6])
 def test_order_beyond_double_precision_and_of_texts(spark, single):
     big = [2 ** 53 + i for i in (3, 1, 0, 2)] + [-5]
