@@ -81,12 +81,12 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[off[0]:off[-1]], off - off[0]
 
 
-def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with at most ``limit`` bytes of text each, or one row."""
+def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` with at most ``rows`` rows and ``limit`` bytes of text each, or one row."""
     _, off = text_buffer(batch.column(batch.schema.get_field_index(text)))
     at, n = 0, batch.num_rows
     while at < n:
-        end = max(at + 1, int(np.searchsorted(off, off[at] + limit, "right")) - 1)
+        end = max(at + 1, min(at + rows, int(np.searchsorted(off, off[at] + limit, "right")) - 1))
         yield batch.slice(at, end - at)
         at = end
 

@@ -22,8 +22,8 @@ MAX_LANGUAGES = 1000
 REJECT = 4.0
 UNKNOWN = "und"
 HELD_OUT, FOLDS = 2, 4
-#: Bytes of text that are counted at once.
-COUNT_BYTES = 2 << 20
+#: Bytes and rows of text that are counted at once: a row has ``BUCKETS`` counts.
+COUNT_BYTES, COUNT_ROWS = 2 << 20, 512
 
 
 def ngram_counts(texts: pa.Array) -> np.ndarray:
@@ -72,7 +72,7 @@ def _counted_corpus(learn: DataFrame) -> DataFrame:
     def counted(batches):
         seen, n = np.zeros(BUCKETS, np.int64), 0
         for batch in batches:
-            for part in chunks(batch, "t", COUNT_BYTES):
+            for part in chunks(batch, "t", COUNT_BYTES, COUNT_ROWS):
                 counts = ngram_counts(part.column(0))
                 seen, n = seen + (counts > 0).sum(0), n + len(counts)
                 pick = np.flatnonzero(part.column(2).to_numpy(zero_copy_only=False))
@@ -84,8 +84,9 @@ def _counted_corpus(learn: DataFrame) -> DataFrame:
 
 
 def fit_centroids(docs: DataFrame, *, text: str = "text", lang: str = "lang", order: str = "doc_id") -> dict | None:
-    """IDF over all rows of ``docs`` that have a language and a letter; centroids of a sample per language. The model
+    """IDF over all rows of ``docs`` that have a language and a letter; centroids of a sample per language (by hash of id and text). The model
     has ``BUCKETS`` numbers per centroid, and at most ``MAX_LANGUAGES`` times ``CENTROIDS`` of them."""
+    executors_import_this(docs.sparkSession)
     learn = docs.select(F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("lang"), F.col(order).alias("o")).where(
         F.col("lang").isNotNull() & F.col("t").rlike(r"\p{L}"))
     sizes = {r.lang: r["count"] for r in learn.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
@@ -94,10 +95,9 @@ def fit_centroids(docs: DataFrame, *, text: str = "text", lang: str = "lang", or
     if not sizes:
         return None
     rate = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, SAMPLE / n))))[F.col("lang")]
-    by_chance = F.pmod(F.xxhash64("o"), F.lit(1 << 20)) < rate * (1 << 20)
+    by_chance = F.pmod(F.xxhash64("o", "t"), F.lit(1 << 20)) < rate * (1 << 20)
     found = staged(_counted_corpus(learn.withColumn("pick", by_chance)), "language_counts")
     totals = found.where("n IS NOT NULL")
-    executors_import_this(docs.sparkSession)
 
     def summed(key, group):
         return pd.DataFrame({"g": [key[0]], "counts": [np.sum([np.frombuffer(x, np.int64) for x in group["counts"]], axis=0).tobytes()], "n": [group["n"].sum()]})
@@ -131,7 +131,7 @@ def identify(docs: DataFrame, model: dict | None, *, text: str = "text", keep: l
     def named(batches):
         m = sent.value
         for batch in batches:
-            for part in chunks(batch, "__text", COUNT_BYTES):
+            for part in chunks(batch, "__text", COUNT_BYTES, COUNT_ROWS):
                 texts = part.column(1)
                 known = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False) & (m is not None)
                 nearest, score, far = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts)), np.ones(len(texts), bool)

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 
 from strata.llm import langid
+from strata.llm.common import chunks
 from strata.llm.quality_classifier import N_STATS, score_quality, statistics
 from strata.llm.queries import op6_quality_classifier, op7_language_id
 
@@ -73,6 +74,15 @@ def test_ngrams_against_a_plain_count():
         assert (row == want).all()
 
 
+def test_chunks_bound_bytes_and_rows():
+    texts = ["a" * n for n in (0, 0, 5, 3, 9, 0, 40, 1, 1, 1)] + [None] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["t"])
+    for limit, rows in ((10, 100), (10, 3), (1, 1), (1000, 4)):
+        parts = list(chunks(batch, "t", limit, rows))
+        assert [x for p in parts for x in p.column(0).to_pylist()] == texts
+        assert all(p.num_rows <= rows and (p.num_rows == 1 or sum(len(x or "") for x in p.column(0).to_pylist()) <= limit) for p in parts)
+
+
 def test_language_edge_tables(spark):
     rows = [(1, "alpha beta gamma delta", "aa"), (2, "omega psi chi phi", "bb"), (3, None, "aa"), (4, "12 34", "bb"), (None, "alpha beta", None), (1, "alpha", "aa")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
