@@ -18,8 +18,8 @@ SEQUENCE = 4096
 END_ID = 2
 #: Hashed vectors, their projection and the bits of each axis of the curve.
 BUCKETS, AXES, BITS, SEED = 512, 4, 12, 11
-#: Words whose ids a worker keeps.
-CACHED_WORDS = 600_000
+#: Words whose ids a worker keeps, and bytes of text that it encodes at once.
+CACHED_WORDS, ENCODE_BYTES = 600_000, 4 << 20
 
 LETTER = np.zeros(256, bool)
 LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
@@ -113,7 +113,7 @@ def tokenized(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str
     def encoded(batches):
         worker = _worker(tokenizer)
         for batch in batches:
-            for part in chunks(batch, "t"):
+            for part in chunks(batch, "t", ENCODE_BYTES):
                 ids, counts = worker.encode(*text_buffer(part.column(1)))
                 bounds = np.concatenate([[0], np.cumsum(counts + 1)])
                 whole = np.full(int(bounds[-1]), end_id, np.uint16)
