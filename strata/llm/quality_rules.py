@@ -109,7 +109,9 @@ def judge(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", text: str
         m["b"], F.lit(0.0), lambda s, b: s + F.get(m["w"], b.cast("int")), lambda s: s / F.greatest(F.size(m["b"]), F.lit(1))))
     least = F.lit(min_ratio) - slack / F.sqrt(F.greatest(2 * F.col("n_words") - 1, F.lit(1)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return (docs.withColumn("__w", model).select(*keep, base_counts(own).alias("__base"), F.coalesce(total, F.lit(0.0)).alias("ratio"))
+    # a generator's columns are computed once, also for a filter on them, which would else repeat the expressions
+    judged = F.inline(F.array(F.struct(base_counts(own).alias("__base"), F.coalesce(total, F.lit(0.0)).alias("ratio"))))
+    return (docs.withColumn("__w", model).select(*keep, judged)
             .select(*keep, "__base.*", "ratio").withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least))
             .select(*keep, *added))
