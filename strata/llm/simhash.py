@@ -88,12 +88,14 @@ def trie_links(prints: DataFrame, max_bits: int = MAX_BITS, fp: str = "fp") -> D
     v = F.col(fp)
     swapped = F.shiftleft(v, 32).bitwiseOR(F.shiftrightunsigned(v, 32))
     tries = F.array(F.struct(F.lit(1).alias("t"), v.alias("leaf")), F.struct(F.lit(2).alias("t"), swapped.alias("leaf")))
-    leaves = prints.select(fp).distinct().select(F.inline(tries)).where(F.col("t") == 1 if budget[2] < 0 else F.lit(True))
+    leaves = staged(prints.select(fp).distinct().select(F.inline(tries)).where(F.col("t") == 1 if budget[2] < 0 else F.lit(True)), "trie")
     allowed = F.when(F.col("t") == 1, budget[1]).otherwise(budget[2])
 
     def nodes(level: int, side: str) -> DataFrame:
         """Nodes at a level with the number of leaves below them."""
-        prefix = F.shiftrightunsigned("leaf", 64 - level) if level < 64 else F.col("leaf")
+        if level == 64:
+            return leaves.select("t", F.col("leaf").alias(side), F.lit(1).alias("leaves"))
+        prefix = F.shiftrightunsigned("leaf", 64 - level)
         return leaves.groupBy("t", prefix.alias(side)).agg(F.count("*").alias("leaves"))
 
     def children(above: int, level: int, side: str) -> DataFrame:
