@@ -17,7 +17,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import staged
@@ -28,25 +28,28 @@ from strata.llm.quality_rules import judge, trusted_ids
 from strata.llm.simhash import near_duplicates
 from strata.sources.tables import read_table
 
-#: Holds a document's whole row where an operator adds columns of its own.
+#: Holds a document's columns but the text where an operator adds columns of its own.
 ROW = "__document"
 
 
-def _whole(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias(ROW))
+def _parted(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias(ROW))
+
+
+def _whole(docs: DataFrame, parted: DataFrame, **new: Column) -> DataFrame:
+    """The columns of ``docs`` again, with some new values."""
+    own = {c: new.get(c, F.col("text") if c == "text" else F.col(f"{ROW}.`{c}`")) for c in docs.columns}
+    return parted.select(*(value.cast(docs.schema[c].dataType).alias(c) for c, value in own.items()))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return judge(_whole(docs), trusted_ids(read_table(spark, sf_dir, "labels"))).where("kept").select(f"{ROW}.*")
+    return _whole(docs, judge(_parted(docs), trusted_ids(read_table(spark, sf_dir, "labels"))).where("kept"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    changed = F.col("n_dropped") > 0
-    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col(f"{ROW}.text")),
-           "n_chars": F.when(changed, F.length("kept_text")).otherwise(F.col(f"{ROW}.n_chars"))}
-    kinds = dict(docs.dtypes)
-    return deduplicate_lines(_whole(docs).drop("text").withColumn("text", F.col(f"{ROW}.text"))).select(
-        *(new[c].cast(kinds[c]).alias(c) if c in new else F.col(f"{ROW}.`{c}`") for c in docs.columns))
+    found = deduplicate_lines(_parted(docs), keep=[ROW])
+    length = F.when(F.col("n_dropped") > 0, F.length("kept_text")).otherwise(F.col(f"{ROW}.n_chars"))
+    return _whole(docs, found, text=F.col("kept_text"), n_chars=length)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +60,8 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate(_whole(docs), read_table(spark, sf_dir, "benchmark"), keep=[ROW])
-    return found.where("NOT contaminated").select(f"{ROW}.*")
+    found = decontaminate(_parted(docs), read_table(spark, sf_dir, "benchmark"), keep=["text", ROW])
+    return _whole(docs, found.where("NOT contaminated"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

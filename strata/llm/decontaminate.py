@@ -152,11 +152,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     def shards(batches):
         phrases = [x.value for x in sent]
         for batch in batches:
-            for part in chunks(batch, "__text", shard_bytes):
+            for part in chunks(batch, source, shard_bytes):
                 kept = [part.column(part.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays(kept + _shard_result(part, "__text", phrases), names=keep + added)
+                yield pa.RecordBatch.from_arrays(kept + _shard_result(part, source, phrases), names=keep + added)
 
-    read = docs.select(*keep, F.col(text).cast("string").alias("__text"))
+    source = text if text in keep and isinstance(docs.schema[text].dataType, T.StringType) else "__text"
+    read = docs.select(*keep, *([F.col(text).cast("string").alias(source)] if source != text else []))
     return read.mapInArrow(shards, T.StructType([*docs.select(*keep).schema, *RESULT]))
 
 

@@ -153,21 +153,22 @@ class LineIndex:
             return None
         return spark.sparkContext.broadcast({"shards": self.shards} | {r.shard: bytes(r.filter) for r in self.filters.collect()})
 
-    def deduplicate(self, docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
-        """``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` (see :func:`deduplicate_lines`)."""
+    def deduplicate(self, docs: DataFrame, *, id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+        """The ``keep`` columns of ``docs`` with ``n_lines``, ``n_dropped`` and ``kept_text`` (see :func:`deduplicate_lines`)."""
         maybe = postings(docs, id=id, text=text, filters=self._screen())
         drops = (maybe.join(self.refs, ["k1", "k2"]).where(F.col("last_doc").isNotNull() & ~F.col("doc").eqNullSafe(F.col("last_doc")))
                  .groupBy("doc").agg(F.collect_set("k1").alias("__drop")))
         added = {"n_lines": T.LongType(), "n_dropped": T.LongType(), "kept_text": T.StringType()}
-        keep = [c for c in docs.columns if c not in added]
-        read = docs.select(F.struct(*keep).alias("__row"), F.col(id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
+        keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+        row = F.struct(*(F.col(f"`{c}`") for c in keep), F.lit(0).alias("__none"))
+        read = docs.select(row.alias("__row"), F.col(id).cast("long").alias("__id"), F.col(text).cast("string").alias("__text"))
         joined = read.join(drops, F.col("__id").eqNullSafe(F.col("doc")), "left").select("__row", "__text", "__drop")
 
         def rebuilt(batches):
             for batch in batches:
                 for part in chunks(batch, "__text"):
-                    texts, drop = pc.fill_null(part.column(1), ""), part.column(2)
-                    lines = pc.add(pc.count_substring(texts, "\n"), 1).cast(pa.int64())
+                    texts, drop = part.column(1), part.column(2)
+                    lines = pc.add(pc.fill_null(pc.count_substring(texts, "\n"), 0), 1).cast(pa.int64())
                     dropped, kept = np.zeros(part.num_rows, np.int64), texts
                     some = np.flatnonzero(drop.is_valid().to_numpy(zero_copy_only=False))
                     if len(some):
@@ -186,17 +187,18 @@ class LineIndex:
                     yield pa.RecordBatch.from_arrays([part.column(0), lines, pa.array(dropped), kept], names=["__row", *added])
 
         schema = T.StructType([joined.schema["__row"], *(T.StructField(c, t) for c, t in added.items())])
-        return joined.mapInArrow(rebuilt, schema).select("__row.*", *added)
+        return joined.mapInArrow(rebuilt, schema).select(*(F.col(f"__row.`{c}`") for c in keep), *added)
 
 
-def deduplicate_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """Every row with ``n_lines`` (of the whole text, split at newlines), ``n_dropped`` and ``kept_text``.
+def deduplicate_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
+                      keep: list[str] | None = None) -> DataFrame:
+    """The ``keep`` columns (default: all) of every row with ``n_lines`` (of the whole text, split at newlines), ``n_dropped`` and ``kept_text``.
 
     A line's key is the line without blanks at its ends, A-Z lower-cased. Keys of at least ``MIN_CHARS`` code points
     in at least ``min_docs`` rows lose all their lines except in the largest id that holds them. Null and empty texts
-    are one empty line. Rows that repeat an id count as documents of their own and share its fate; a null id is never
+    are one empty line; a null text stays null. Rows that repeat an id count as documents of their own and share its fate; a null id is never
     the largest, and a key that only null ids hold loses nothing. An input column with the name of a result column is
     left out. An empty table gives no rows.
     """
     index = LineIndex.build(docs, id=id, text=text, min_docs=min_docs, keep_postings=False)
-    return index.deduplicate(docs, id=id, text=text)
+    return index.deduplicate(docs, id=id, text=text, keep=keep)

@@ -61,8 +61,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = deduplicate_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+    found = deduplicate_lines(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    kept = F.coalesce("kept_text", F.lit(""))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

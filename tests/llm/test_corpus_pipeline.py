@@ -55,7 +55,7 @@ def test_stages_against_brute_force(spark, tmp_path, prose):
 def test_nulls_repeats_and_extra_columns(spark, tmp_path):
     text = "ten words of plain text stand here for a test row"
     rows = [(None, text, 1), (5, text, 2), (5, text, 2), (6, None, 3), (7, text + " and some more words that differ from the others", 4)]
-    docs = spark.createDataFrame([(i, t, None, None, None, k) for i, t, k in rows], COLUMNS + ", kept int")
+    docs = spark.createDataFrame([(i, t, None, None, None, k) for i, t, k in rows], COLUMNS + ", kept int")  # a clashing name
     for t, schema in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
     results = dict(run_stages(spark, docs, str(tmp_path), f"{tmp_path}/out"))
