@@ -108,20 +108,26 @@ SPAN = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
 def _spans(text: Column, kind: Kind, base: bool) -> Column:
-    """Spans of one kind: the text between the matches and the matches themselves give the positions."""
+    """Spans of one kind: the text between the matches and the matches themselves give the positions and the text around
+    them. A match has at least one code point, so as many matches as code points make up the text beside one."""
     def placed(m: Column) -> Column:
         both = F.transform(m["found"], lambda x, i: (F.length(x) + F.length(F.get(m["rest"], i))).cast("long"))
-
-        def span(x: Column, i: Column, before: Column) -> Column:
-            start = F.get(before, i) + F.length(F.get(m["rest"], i))
-            near = F.lower(F.concat(F.right(F.get(m["rest"], i), F.lit(CONTEXT)), F.lit(" "), F.substring(F.get(m["rest"], i + 1), 1, CONTEXT)))
+        left = F.transform(m["found"], lambda x, i: F.right(F.concat(F.get(m["rest"], i), x), F.lit(CONTEXT)))
+        right = F.transform(m["found"], lambda x, i: F.substring(F.concat(x, F.get(m["rest"], i + 1)), 1, CONTEXT))
+
+        def span(x: Column, i: Column, p: Column) -> Column:
+            start = F.get(p["before"], i) + F.length(F.get(m["rest"], i))
+            ahead = F.concat(F.array_join(F.slice(p["left"], F.greatest(i - CONTEXT, F.lit(0)) + 1, F.least(i, F.lit(CONTEXT))), ""), F.get(m["rest"], i))
+            after = F.concat(F.get(m["rest"], i + 1), F.array_join(F.slice(p["right"], i + 2, F.lit(CONTEXT)), ""))
+            near = F.lower(F.concat(F.right(ahead, F.lit(CONTEXT)), F.lit(" "), F.substring(after, 1, CONTEXT)))
             score = F.lit(kind.score) + (CHECKSUM_SCORE if kind.checksum else 0.0) + F.when(
                 near.rlike(rf"(?<![a-z])(?:{kind.context})"), CONTEXT_SCORE).otherwise(0.0)
             ok = kind.valid(x) if kind.valid else F.lit(True)
             return F.when(ok, F.struct(F.lit(kind.name).alias("kind"), start.alias("start"), (start + F.length(x)).alias("end"),
                                        F.round(score, 3).alias("score")))
 
-        each = bound(_running(both), lambda before: F.transform(m["found"], lambda x, i: span(x, i, before)))
+        each = bound(F.struct(_running(both).alias("before"), left.alias("left"), right.alias("right")),
+                     lambda p: F.transform(m["found"], lambda x, i: span(x, i, p)))
         return F.filter(each, lambda s: s.isNotNull() if base else s.isNotNull() & (s["score"] >= MIN_SCORE))
 
     split = F.struct(F.split(text, kind.pattern, -1).alias("rest"), F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("found"))

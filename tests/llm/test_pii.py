@@ -71,6 +71,23 @@ def test_checksums_and_context_decide_what_is_added(spark):
     assert got[at("order 123-45-6789 lies far away")] == []
 
 
+def test_context_reaches_over_other_matches(spark):
+    texts = ["Phones: 555-123-4567, 555-987-6543, 555-222-3333", "123-45-6789, 987-65-4321 and 111-22-3333 are social security numbers",
+             "Phones: 555-123-4567, +49 151 12345678, 555-987-6543, " + "no words " * 6 + "555-222-3333", "日本 🎉 tel " + "555-123-4567 " * 9]
+    rows = find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r.doc_id: [r.text[s.start:s.end] for s in r.spans if s.kind not in BASE] for r in rows}
+    assert got == {0: ["555-123-4567", "555-987-6543", "555-222-3333"], 1: ["123-45-6789", "987-65-4321", "111-22-3333"],
+                   2: ["555-123-4567", "555-987-6543"], 3: ["555-123-4567"] * 4}
+    words = {"email": "mail|contact|write|kontakt|correo|courriel", "phone": "phone|tel|call|mobile|fax|handy"}
+    dense = spark.createDataFrame([(1, "mail " + "a@b.c," * 300 + " mail " + "+1 234567890;" * 100 + " call")], "doc_id long, text string")
+    for r in find_pii(dense).collect():
+        assert len(r.spans) == 400
+        for s in r.spans:
+            near = r.text[max(0, s.start - 48):s.start] + " " + r.text[s.end:s.end + 48]
+            base = {"email": 0.8, "phone": 0.6}[s.kind]
+            assert s.score == round(base + (0.3 if re.search(f"(?<![a-z])(?:{words[s.kind]})", near.lower()) else 0), 3)
+
+
 def test_empty_table_null_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, "a@b.c"), (1, "a@b.c"), (1, "a@b.c")], "doc_id long, text string")
     assert [len(r.spans) for r in find_pii(df).collect()] == [1, 1, 1]
