@@ -3,7 +3,8 @@ Only DataFrame functions; every document is a row of its own, so nothing is shuf
 
 The patterns are written so that the regex engine neither recurses nor rescans long runs: possessive repeats where
 what follows can't match the repeated class, and a look-behind (or the last match's end, ``\\G``) that lets a match
-start at the beginning of a run only. The proposals are those of the plain patterns.
+start at the beginning of a run only. The proposals are those of the plain patterns. IBANs are proposed at every place
+where one can start, with the length of their country.
 """
 
 from __future__ import annotations
@@ -64,8 +65,37 @@ class Kind:
     checksum: bool = False
     #: A text without this string has no match.
     needs: str | None = None
+    #: The whole span, found from the match's start on; None: the match. A match that is only the start of a span can't
+    #: hide another start.
+    whole: str | None = None
 
 
+#: IBAN lengths by country: the ISO 13616 registry, then countries that use the form without being in it.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+IBAN_LENGTHS_UNLISTED = {25: "AO CV GW MZ", 26: "DZ IR", 27: "CF CG CM GA GQ KM MG TD", 28: "BF BJ CI MA ML NE SN TG"}
+
+
+def _iban() -> str:
+    """An IBAN in groups of four, with or without spaces, as long as its country's are. Under other codes the groups go
+    as far as they can."""
+    def groups(n: int) -> str:
+        return rf"(?: ?[A-Z0-9]{{4}}){{{n // 4}}}" + (rf" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+
+    known = [(n, c.split()) for table in (IBAN_LENGTHS, IBAN_LENGTHS_UNLISTED) for n, c in table.items()]
+    codes = "|".join(c for _, cs in known for c in cs)
+    forms = [rf"(?:{'|'.join(cs)})[0-9]{{2}}{groups(n - 4)}" for n, cs in known]
+    other = rf"(?!{codes})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}+(?: ?[A-Z0-9]{{1,3}})?+"
+    return rf"(?:{'|'.join([*forms, other])})(?![A-Za-z0-9])"
+
+
+IBAN = _iban()
+#: The longest span is so many code points longer than its match: 30 characters and 8 spaces of an IBAN.
+REACH = 38
+
 #: The kinds whose valid matches are always kept.
 BASE = (
     Kind("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.8,
@@ -81,8 +111,8 @@ BASE = (
 )
 #: What the method adds: kept from MIN_SCORE on, and only where no base span lies.
 ADDED = (
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[0-9]{1,3})?+(?![A-Za-z0-9])", 0.3,
-         "iban|bank|account|konto|cuenta|compte", valid=_mod97, checksum=True),
+    Kind("iban", rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9])(?={IBAN})[A-Z]{{2}}[0-9]{{2}}", 0.3,
+         "iban|bank|account|konto|cuenta|compte", valid=_mod97, checksum=True, whole=f"^{IBAN}"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", 0.3, "ssn|social|security|insurance"),
     Kind("local_phone", r"(?<![0-9+().-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", 0.3, "phone|tel|call|mobile|fax|handy"),
 )
@@ -113,12 +143,18 @@ def _spans(text: Column, kind: Kind, base: bool) -> Column:
     def placed(m: Column) -> Column:
         both = F.transform(m["found"], lambda x, i: (F.length(x) + F.length(F.get(m["rest"], i))).cast("long"))
         left = F.transform(m["found"], lambda x, i: F.right(F.concat(F.get(m["rest"], i), x), F.lit(CONTEXT)))
-        right = F.transform(m["found"], lambda x, i: F.substring(F.concat(x, F.get(m["rest"], i + 1)), 1, CONTEXT))
+        right = F.transform(m["found"], lambda x, i: F.substring(F.concat(x, F.get(m["rest"], i + 1)), 1, CONTEXT + REACH))
 
         def span(x: Column, i: Column, p: Column) -> Column:
+            after = F.concat(F.get(m["rest"], i + 1), F.array_join(F.slice(p["right"], i + 2, F.lit(CONTEXT + REACH)), ""))
+            if kind.whole is None:
+                return scored(x, after, i, p)
+            return bound(F.concat(x, F.substring(after, 1, CONTEXT + REACH)), lambda t: bound(
+                F.regexp_extract(t, kind.whole, 0), lambda w: scored(w, F.substr(t, F.length(w) + 1), i, p)))
+
+        def scored(x: Column, after: Column, i: Column, p: Column) -> Column:
             start = F.get(p["before"], i) + F.length(F.get(m["rest"], i))
             ahead = F.concat(F.array_join(F.slice(p["left"], F.greatest(i - CONTEXT, F.lit(0)) + 1, F.least(i, F.lit(CONTEXT))), ""), F.get(m["rest"], i))
-            after = F.concat(F.get(m["rest"], i + 1), F.array_join(F.slice(p["right"], i + 2, F.lit(CONTEXT)), ""))
             near = F.lower(F.concat(F.right(ahead, F.lit(CONTEXT)), F.lit(" "), F.substring(after, 1, CONTEXT)))
             score = F.lit(kind.score) + (CHECKSUM_SCORE if kind.checksum else 0.0) + F.when(
                 near.rlike(rf"(?<![a-z])(?:{kind.context})"), CONTEXT_SCORE).otherwise(0.0)

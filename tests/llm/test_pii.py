@@ -88,6 +88,27 @@ def test_context_reaches_over_other_matches(spark):
             assert s.score == round(base + (0.3 if re.search(f"(?<![a-z])(?:{words[s.kind]})", near.lower()) else 0), 3)
 
 
+def iban(country, bban):
+    turned = "".join(str(int(c, 36)) for c in bban + country)
+    return f"{country}{98 - int(turned + '00') % 97:02d}{bban}"
+
+
+def test_ibans_end_where_their_country_says(spark):
+    grouped = lambda x: " ".join(x[i:i + 4] for i in range(0, len(x), 4))
+    whole = ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "MT84MALT011000012345MTLCAST001S",
+             "MU17BOMM0101101030300200000MUR", "SC18SSCB11010000000000001497USD", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606"]
+    whole += [grouped(x) for x in whole[3:6]] + [iban("IR", "0170000000100324200001"), iban("XX", "12345678901234AB"), iban("LC", "HEMM000100010012001200023015")]
+    assert whole[4] == iban("MU", whole[4][4:])
+    tails = ["", " 2024", " EUR now", " 12", " 50 EUR", " 1235 5678", ".", ", 12", " PAID"]
+    cases = [(w, t) for w in whole for t in tails if not (w.startswith("XX") and re.match(" [A-Z0-9]", t))]
+    texts = [w + t for w, t in cases]
+    more = {"BE12 GB82 WEST 1234 5698 7654 32": ["GB82 WEST 1234 5698 7654 32"], "xBE68539007547034 BE6853900754703 BE685390075470340": [],
+            "BE68539007547034 BE68 5390 0754 7034 1234 " + whole[3]: ["BE68539007547034", "BE68 5390 0754 7034", whole[3]], "DE88 3704 0044 0532 0130 00 2024": []}
+    df = spark.createDataFrame(list(enumerate([*texts, *more])), "doc_id long, text string")
+    got = {r.text: [r.text[s.start:s.end] for s in r.spans if s.kind == "iban"] for r in find_pii(df).collect()}
+    assert got == {**{w + t: [w] for w, t in cases}, **more}
+
+
 def test_empty_table_null_ids_and_repeated_rows(spark):
     df = spark.createDataFrame([(None, "a@b.c"), (1, "a@b.c"), (1, "a@b.c")], "doc_id long, text string")
     assert [len(r.spans) for r in find_pii(df).collect()] == [1, 1, 1]
