@@ -188,7 +188,7 @@ def select_ranks(df: DataFrame, group: str, order_cols: Sequence[str], wanted: M
     order of ``order_cols``).  Each rank gets a bracket of the first order column; one aggregation counts
     the rows below and inside the brackets.  Brackets that miss their rank are widened, brackets that hold
     more than ``BRACKET_ROWS`` rows are narrowed, then the rows inside are counted by value.  Only numbers per
-    bracket and at most ``BRACKET_ROWS`` distinct values per bracket reach the driver; rows are never shuffled
+    bracket and the value at its rank reach the driver; rows are never shuffled
     but those inside.  A bracket of one hot value that further columns must order is left to
     :func:`ordered_counts`.
     """
@@ -243,18 +243,13 @@ def select_ranks(df: DataFrame, group: str, order_cols: Sequence[str], wanted: M
     out: dict = {g: {} for g in wanted}
     few = [i for i in range(len(state)) if i not in many]
     if few:
-        rows = in_brackets(few, {i: (state[i]["lo"], state[i]["hi"]) for i in few}).groupBy("i", *order_cols).agg(
-            F.count(F.lit(1)).alias("n")).collect()
-        by: dict = {}
-        for r in rows:
-            by.setdefault(r["i"], []).append((tuple(r[c] for c in order_cols), r["n"]))
-        for i, values in by.items():
-            at = state[i]["below"]
-            for value, n in sorted(values):
-                if at <= state[i]["r"] < at + n:
-                    out[state[i]["g"]][state[i]["r"]] = value
-                    break
-                at += n
+        counts = in_brackets(few, {i: (state[i]["lo"], state[i]["hi"]) for i in few}).groupBy("i", *order_cols).agg(
+            F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy("i").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        rank = F.element_at(F.create_map(*[F.lit(x) for i in few for x in (i, state[i]["r"] - state[i]["below"])]), F.col("i"))
+        at = counts.withColumn("_cum", F.sum("_n").over(upto)).where(rank.between(F.col("_cum") - F.col("_n"), F.col("_cum") - 1))
+        for r in at.collect():
+            out[state[r["i"]]["g"]][state[r["i"]]["r"]] = tuple(r[c] for c in order_cols)
     for i in many:
         s = state[i]
         match = F.col(group).isNull() if s["g"] is None else F.col(group) == F.lit(s["g"])

@@ -59,6 +59,16 @@ def test_ordered_counts_descending_with_weights(spark):
     assert list(oc.idx) == list(range(1, len(agg) + 1))
 
 
+def test_one_value_per_rank_reaches_the_driver(spark, monkeypatch):
+    _, df = _frame(spark, n=5000, seed=7)
+    df = df.selectExpr("id", "v + id / 1e6 AS v").cache()
+    want = np.quantile([r.v for r in df.where("v IS NOT NULL").collect()], [0.0, 0.25, 0.5, 0.75, 1.0])
+    collect, seen = type(df).collect, []
+    monkeypatch.setattr(type(df), "collect", lambda self: seen.append(collect(self)) or seen[-1])
+    got = exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 0.75, 1.0])[("v",)]
+    assert np.allclose(got, want, rtol=0, atol=1e-12) and seen and max(map(len, seen)) <= 10
+
+
 def test_approx_quantiles_close(spark):
     pdf, df = _frame(spark, seed=4)
     got = quantiles(df, ["v"], [0.5], method="approx")["v"][0]
