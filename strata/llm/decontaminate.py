@@ -8,6 +8,8 @@ shorter than the shortest phrase are left out of the index.  This changes no res
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -85,7 +87,27 @@ def occurrences(numbers: np.ndarray, rows: np.ndarray, phrases: Phrases) -> tupl
     return word[index.locate(at)], found
 
 
-def _shard_result(batch: pa.RecordBatch, text: str, blocks: list[Phrases]) -> list[pa.Array]:
+def query_blocks(rows: Iterable[tuple], window: int) -> Iterator[Phrases]:
+    """The phrases of ``rows`` (item, text) in blocks, built as they are asked for; the last may be empty."""
+    block, size = [], 0
+    for item, text in rows:
+        block.append((item, text))
+        size += 4 * len(text or "")
+        if size > BLOCK_BYTES:
+            yield Phrases(block, window)
+            block, size = [], 0
+    yield Phrases(block, window)
+
+
+def opened(sent: list) -> Iterator[Phrases]:
+    """The values of broadcasts, one at a time: of several, each leaves the worker's memory before the next is read."""
+    for x in sent:
+        yield x.value
+        if len(sent) > 1 and getattr(x, "_path", None) is not None:  # can be read from its file again
+            vars(x).pop("_value", None)
+
+
+def _shard_result(batch: pa.RecordBatch, text: str, blocks: Iterable[Phrases]) -> list[pa.Array]:
     raw, off = text_buffer(batch.column(batch.schema.get_field_index(text)))
     data = LOWER[raw]
     starts, ends, firsts = word_spans(data, off, ALNUM_WORDS)
@@ -96,6 +118,7 @@ def _shard_result(batch: pa.RecordBatch, text: str, blocks: list[Phrases]) -> li
     change, items = np.zeros(total + 1, np.int64), [set() for _ in range(n)]
     for phrases in blocks:
         if not len(phrases.lengths) or not total:
+            del phrases
             continue
         numbers = pc.index_in(words, value_set=pa.array(phrases.vocabulary, pa.large_binary()))
         numbers = pc.add(pc.fill_null(numbers, -1), 1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -104,6 +127,7 @@ def _shard_result(batch: pa.RecordBatch, text: str, blocks: list[Phrases]) -> li
         np.add.at(change, at + phrases.lengths[phrase], -1)
         for row, p in np.unique(np.stack([rows[at], phrase], 1), axis=0).tolist() if len(at) else ():
             items[row].update(phrases.owners[p])
+        del phrases
     hit = np.cumsum(change)[:total] > 0
     hits = np.bincount(rows[hit], minlength=n)
     spans: list[list] = [[] for _ in range(n)]
@@ -134,27 +158,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     Null texts have no words; items without words have no window; a shorter item is one window. An input column
     with the name of a result column is left out. Repeated rows and null ids give a row each. An empty table gives
     no rows; an empty benchmark hits nothing. The benchmark is the query set: it is read by the driver and sent to
-    the tasks in blocks of ``BLOCK_BYTES``, each searched in all shards.
+    the tasks in blocks of ``BLOCK_BYTES``, each searched in all shards. The driver builds and a task holds one block
+    at a time; all of them lie on the disks of the driver and the executors.
     """
     spark = docs.sparkSession
     executors_import_this(spark)
-    blocks, block, size = [], [], 0
-    for row in benchmark.select(F.col(item).alias("i"), F.col(item_text).alias("t")).toLocalIterator():
-        block.append((row.i, row.t))
-        size += 4 * len(row.t or "")
-        if size > BLOCK_BYTES:
-            blocks.append(Phrases(block, window))
-            block, size = [], 0
-    sent = [spark.sparkContext.broadcast(x) for x in [*blocks, Phrases(block, window)]]
+    rows = benchmark.select(F.col(item), F.col(item_text)).toLocalIterator()
+    sent = list(map(spark.sparkContext.broadcast, query_blocks(rows, window)))
     added = RESULT.names
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
 
     def shards(batches):
-        phrases = [x.value for x in sent]
         for batch in batches:
             for part in chunks(batch, source, shard_bytes):
                 kept = [part.column(part.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays(kept + _shard_result(part, source, phrases), names=keep + added)
+                yield pa.RecordBatch.from_arrays(kept + _shard_result(part, source, opened(sent)), names=keep + added)
 
     source = text if text in keep and isinstance(docs.schema[text].dataType, T.StringType) else "__text"
     read = docs.select(*keep, *([F.col(text).cast("string").alias(source)] if source != text else []))

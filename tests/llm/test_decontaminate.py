@@ -1,9 +1,11 @@
 import hashlib
 import random
 import re
+import weakref
 
 import numpy as np
 
+from strata.llm import decontaminate as module
 from strata.llm.decontaminate import decontaminate
 from strata.llm.fm_index import FMIndex, suffix_order
 from strata.llm.queries import op9_benchmark_decontamination
@@ -78,6 +80,41 @@ def test_edge_tables(spark, docs):
     assert [r.n_hit for r in decontaminate(rows, bench).orderBy("doc_id").collect()] == [2, 1, 1]
 
 
+def test_one_block_of_the_benchmark_is_held_at_a_time(spark, prose, docs, monkeypatch):
+    items = [(i, " ".join(prose[1][i % 4].split()[i:])) for i in range(12)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(str, decontaminate(docs, bench, keep=["doc_id"]).collect()))
+    live, most, build = weakref.WeakSet(), [], module.Phrases.__init__
+
+    def counted(self, *args):
+        build(self, *args)
+        live.add(self)
+        most.append(len(live))
+
+    monkeypatch.setattr(module.Phrases, "__init__", counted)
+    monkeypatch.setattr(module, "BLOCK_BYTES", 1000)
+    blocks = decontaminate(docs, bench, keep=["doc_id"], shard_bytes=20_000)
+    assert len(most) > 5 and max(most) == 1  # on the driver
+    assert sorted(map(str, blocks.collect())) == whole
+
+    class Sent:
+        """Reads as the worker's side of a broadcast does."""
+        _path = "file"
+
+        @property
+        def value(self):
+            if "_value" not in vars(self):
+                self._value = module.Phrases([(1, "one two")], 13)
+            return self._value
+
+    live.clear()
+    most.clear()
+    for _ in range(2):
+        for part in docs.select("text").limit(20).toArrow().to_batches():
+            module._shard_result(part, "text", module.opened([Sent(), Sent(), Sent()]))
+    assert len(most) >= 6 and max(most) == 1  # in a task
+
+
 def test_index_finds_every_occurrence():
     rnd = random.Random(3)
     runs = [[rnd.randint(1, 5) for _ in range(rnd.randint(1, 40))] for _ in range(30)] + [[1] * 50, [2]]
