@@ -40,10 +40,10 @@ def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colu
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
     """Distinct tokens: top-level and registered domain, words of the other host labels, path segments by place, file
-    extension, query keys. Numbers are one token."""
+    extension, query keys. Numbers are one token; of a segment that only begins with one the rest stays."""
     labels = F.split(host, r"\.")
     words = F.split(F.regexp_replace(host, r"\.?[^.]*\.[^.]*$", ""), r"[.-]")
-    place = lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), F.when(s.rlike("^[0-9]+"), "0").otherwise(s))
+    place = lambda s, i: F.concat(F.lit("path"), i.cast("string"), F.lit(":"), F.regexp_replace(s, "^[0-9]+", "0"))
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     keys = F.regexp_extract_all(F.regexp_extract(F.coalesce(url, F.lit("")), r"\?([^#]*)", 1), F.lit(r"(?:^|&)([^=&]+)"), F.lit(1))
     tagged = lambda kind, array: F.transform(F.filter(array, lambda x: x != ""), lambda x: F.concat(F.lit(kind + ":"), x))

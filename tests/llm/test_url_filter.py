@@ -72,6 +72,15 @@ def test_given_table(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule) and r.verdict in ("allow", "block") and r.verdict == (verdict or r.verdict)
 
 
+def test_words_after_a_number_decide(spark):
+    urls = [f"http://a{i}.com/de/2024-free-pills" for i in range(20)] + [f"http://a{i}.com/fr/{i}" for i in range(20)]
+    open_urls = {"http://q.net/x/2025-free-pills": "block", "http://q.net/x/7": "allow", "http://q.net/x/3d-print": "allow"}
+    got = judge_urls(spark.createDataFrame([(u,) for u in [*urls, *open_urls]], "url string")).collect()
+    mined = {r.url: (r.verdict, r.mined) for r in got if r.url in open_urls}
+    assert mined == {"http://q.net/x/2025-free-pills": ("block", ["path1:0-free-pills"]), "http://q.net/x/7": ("allow", ["path1:0"]),
+                     "http://q.net/x/3d-print": ("allow", None)}
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, "x")], [(1, "http://q.net/", "x"), (1, "http://q.net/", "x")]])
 def test_edge_tables(spark, rows):
     got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, host string"))
