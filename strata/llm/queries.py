@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from strata.llm import langid
 from strata.llm.decontaminate import decontaminate, items_digest
+from strata.llm.exact_dedup import exact_duplicates, normalised
 from strata.llm.line_dedup import deduplicate_lines
 from strata.llm.packing import pack
 from strata.llm.pii import counted, find_pii, listed
@@ -78,13 +79,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(normalised("text").cast("binary"), 256).alias("text_sha256")
+    return exact_duplicates(read_table(spark, sf_dir, "documents"), keep=["doc_id", digest]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op4_url_filters, op5_pii,
                                  op6_quality_classifier, op7_language_id, op8_line_dedup, op9_benchmark_decontamination,
-                                 op10_sharding, pipeline)}
+                                 op10_sharding, op12_exact_dedup, pipeline)}
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -100,4 +106,10 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op12_exact_dedup": f"""
+        WITH hashed AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
+                               sha256(translate(coalesce(text, ''), {BLANKS}, '')) AS hash FROM documents),
+        first AS (SELECT *, first_value(doc_id) OVER (PARTITION BY hash ORDER BY chars DESC, doc_id) AS keep_id FROM hashed)
+        SELECT doc_id, keep_id, count(*) OVER (PARTITION BY hash) AS group_size, doc_id = keep_id AS kept, hash AS text_sha256
+        FROM first""",
 }
