@@ -13,6 +13,7 @@ from strata.llm.exact_dedup import exact_duplicates, normalised
 from strata.llm.line_dedup import deduplicate_lines
 from strata.llm.packing import pack
 from strata.llm.pii import counted, find_pii, listed
+from strata.llm.prefix_trie import conversation_trie
 from strata.llm.quality_classifier import score_quality
 from strata.llm.quality_rules import judge, trusted_ids
 from strata.llm.sharding import shard_documents
@@ -79,6 +80,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = F.sha2(normalised("text").cast("binary"), 256).alias("text_sha256")
     return exact_duplicates(read_table(spark, sf_dir, "documents"), keep=["doc_id", digest]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -90,9 +95,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op4_url_filters, op5_pii,
                                  op6_quality_classifier, op7_language_id, op8_line_dedup, op9_benchmark_decontamination,
-                                 op10_sharding, op12_exact_dedup, pipeline)}
+                                 op10_sharding, op11_conversation_prefix_trie, op12_exact_dedup, pipeline)}
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: CRC-32 of an ASCII string, bit by bit.
+CRC32 = ("xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({}, ''), lambda c: ascii(c)::BIGINT)), "
+         "lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))))")
 
 ORACLE = {
     "op8_line_dedup": f"""
@@ -106,6 +114,33 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op11_conversation_prefix_trie": f"""
+        WITH own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+                     FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {CRC32.format("conv_id::VARCHAR")} % 6 AS h, max(p) AS n
+                  FROM own GROUP BY conv_id),
+        rebuilt AS (
+            SELECT c.conv_id, o.p AS d, role, text FROM convs c JOIN own o ON o.conv_id = c.base AND o.p <= c.h
+            UNION ALL
+            SELECT c.conv_id, o.p - c.h + least(c.h, coalesce(b.n, 0)), role, text
+            FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.p > c.h LEFT JOIN convs b ON b.conv_id = c.base),
+        parts AS (
+            SELECT conv_id, d, list(md5(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY d) AS seq,
+                   length(text) AS chars FROM rebuilt
+            UNION ALL SELECT conv_id, 0, []::VARCHAR[], 0 FROM convs),
+        nodes AS (SELECT seq, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars
+                  FROM parts GROUP BY seq),
+        children AS (SELECT seq[1:depth - 1] AS seq, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (seq)),
+        sums AS (SELECT seq[1:up] AS seq, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * chars) AS saved_tokens
+                 FROM (SELECT *, unnest(range(0, depth + 1)) AS up FROM counted) GROUP BY 1),
+        ends AS (SELECT seq, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+                 FROM (SELECT conv_id, max_by(seq, d) AS seq FROM parts GROUP BY conv_id) GROUP BY seq)
+        SELECT c.conv_id, c.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves::BIGINT AS n_leaves,
+               saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+        FROM counted c JOIN sums USING (seq) LEFT JOIN ends USING (seq)
+             LEFT JOIN nodes p ON c.depth > 0 AND p.seq = c.seq[1:c.depth - 1]""",
     "op12_exact_dedup": f"""
         WITH hashed AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                                sha256(translate(coalesce(text, ''), {BLANKS}, '')) AS hash FROM documents),
