@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import langid
+from strata.llm.alignment import align
 from strata.llm.decontaminate import decontaminate, items_digest
 from strata.llm.exact_dedup import exact_duplicates, normalised
 from strata.llm.line_dedup import deduplicate_lines
@@ -89,13 +90,19 @@ def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"), keep=["doc_id", digest]).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align(read_table(spark, sf_dir, "documents"), a, b, keep=["doc_id"])[0]
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_packing, op3_simhash_near_dedup, op4_url_filters, op5_pii,
                                  op6_quality_classifier, op7_language_id, op8_line_dedup, op9_benchmark_decontamination,
-                                 op10_sharding, op11_conversation_prefix_trie, op12_exact_dedup, pipeline)}
+                                 op10_sharding, op11_conversation_prefix_trie, op12_exact_dedup,
+                                 op13_tokenizer_alignment, pipeline)}
 BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 #: CRC-32 of an ASCII string, bit by bit.
