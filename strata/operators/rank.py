@@ -199,8 +199,20 @@ def select_ranks(df: DataFrame, group: str, order_cols: Sequence[str], wanted: M
     state = [{"g": g, "r": r, "lo": -inf, "hi": inf, "below": 0, "inside": None, "d": 2.0 / accuracy}
              for g, ranks in wanted.items() for r in sorted(set(ranks))]
 
+    def shared(which, bounds):
+        """For each rank the first rank that has the same bracket."""
+        first: dict = {}
+        return {i: first.setdefault((state[i]["g"], bounds[i]), i) for i in which}
+
     def in_brackets(which, bounds):
-        """The rows inside the brackets, once for each bracket, with its number."""
+        """The rows inside the brackets, once for each distinct bracket, with its first rank's number."""
+        which = sorted(set(shared(which, bounds).values()))
+        if all(bounds[i] == (-inf, inf) for i in which):  # whole groups
+            number = None
+            for i in which:
+                match = F.col(group).isNull() if state[i]["g"] is None else F.col(group) == F.lit(state[i]["g"])
+                number = F.when(match, i) if number is None else number.when(match, i)
+            return df.withColumn("i", number).where(F.col("i").isNotNull())
         expr = None
         for g in {state[i]["g"] for i in which}:
             ids = F.filter(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(bounds[i][0]).alias("lo"), F.lit(bounds[i][1]).alias("hi"))
@@ -213,10 +225,10 @@ def select_ranks(df: DataFrame, group: str, order_cols: Sequence[str], wanted: M
     open_ = list(range(len(state)))
     while open_:
         bounds = {i: (state[i]["lo"], state[i]["hi"]) for i in open_}
-        counted = in_brackets(open_, bounds).groupBy("i")
-        sizes = {r["i"]: r["n"] for r in counted.agg(F.count(F.lit(1)).alias("n")).collect()}
+        first = shared(open_, bounds)
+        sizes = {r["i"]: r["n"] for r in in_brackets(open_, bounds).groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}
         for i in open_:
-            state[i]["inside"] = sizes.get(i, 0)
+            state[i]["inside"] = sizes.get(first[i], 0)
         open_ = [i for i in open_ if state[i]["inside"] > BRACKET_ROWS and state[i]["lo"] < state[i]["hi"]]
         if not open_:
             break
@@ -225,10 +237,10 @@ def select_ranks(df: DataFrame, group: str, order_cols: Sequence[str], wanted: M
         every = sorted({p for i in open_ for p in probs[i]})
         found = {r["i"]: dict(zip(every, r["q"])) for r in in_brackets(open_, bounds).groupBy("i").agg(
             F.percentile_approx("_k", every, accuracy).alias("q")).collect()}
-        new = {i: (found[i][probs[i][0]], found[i][probs[i][1]]) for i in open_}
-        below = {r["i"]: (r["b"], r["n"]) for r in in_brackets(open_, bounds).join(
-            F.broadcast(df.sparkSession.createDataFrame([(i, *new[i]) for i in open_], "i int, _lo double, _hi double")), "i")
-            .groupBy("i").agg(F.count_if(F.col("_k") < F.col("_lo")).alias("b"),
+        new = {i: (found[first[i]][probs[i][0]], found[first[i]][probs[i][1]]) for i in open_}
+        below = {r["_r"]: (r["b"], r["n"]) for r in in_brackets(open_, bounds).join(
+            F.broadcast(df.sparkSession.createDataFrame([(first[i], i, *new[i]) for i in open_], "i int, _r int, _lo double, _hi double")), "i")
+            .groupBy("_r").agg(F.count_if(F.col("_k") < F.col("_lo")).alias("b"),
                               F.count_if(F.col("_k").between(F.col("_lo"), F.col("_hi"))).alias("n")).collect()}
         for i in open_:
             b, n = below[i]
@@ -243,13 +255,17 @@ def select_ranks(df: DataFrame, group: str, order_cols: Sequence[str], wanted: M
     out: dict = {g: {} for g in wanted}
     few = [i for i in range(len(state)) if i not in many]
     if few:
-        counts = in_brackets(few, {i: (state[i]["lo"], state[i]["hi"]) for i in few}).groupBy("i", *order_cols).agg(
-            F.count(F.lit(1)).alias("_n"))
+        bounds = {i: (state[i]["lo"], state[i]["hi"]) for i in few}
+        first = shared(few, bounds)
+        counts = in_brackets(few, bounds).groupBy("i", *order_cols).agg(F.count(F.lit(1)).alias("_n"))
         upto = Window.partitionBy("i").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        rank = F.element_at(F.create_map(*[F.lit(x) for i in few for x in (i, state[i]["r"] - state[i]["below"])]), F.col("i"))
-        at = counts.withColumn("_cum", F.sum("_n").over(upto)).where(rank.between(F.col("_cum") - F.col("_n"), F.col("_cum") - 1))
+        ranks = F.element_at(F.create_map(*[x for f in sorted(set(first.values())) for x in (
+            F.lit(f), F.array(*[F.struct(F.lit(i).alias("r"), F.lit(state[i]["r"] - state[i]["below"]).cast("long").alias("at")) for i in few if first[i] == f]))]), F.col("i"))
+        at = (counts.withColumn("_cum", F.sum("_n").over(upto))
+              .select("*", F.explode(F.filter(ranks, lambda x: x["at"].between(F.col("_cum") - F.col("_n"), F.col("_cum") - 1))).alias("_at")))
         for r in at.collect():
-            out[state[r["i"]]["g"]][state[r["i"]]["r"]] = tuple(r[c] for c in order_cols)
+            own = state[r["_at"]["r"]]
+            out[own["g"]][own["r"]] = tuple(r[c] for c in order_cols)
     for i in many:
         s = state[i]
         match = F.col(group).isNull() if s["g"] is None else F.col(group) == F.lit(s["g"])
