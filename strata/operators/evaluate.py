@@ -130,6 +130,14 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
         (F.first(P) + F.first(N)).alias("n"))
 
 
+def grouped_auc(counted: DataFrame, by: str) -> DataFrame:
+    """``by, roc_auc`` from rows of ``by``, ``score`` and how many positives and negatives have it (``pos``, ``neg``)."""
+    sc = ordered_counts(counted, ["score"], [by], weights={"p": F.col("pos"), "n": F.col("neg")}, descending=True)
+    below = F.col("total_n") - F.col("cum_n")
+    area = F.sum(F.col("p") * (below + F.col("n") / F.lit(2.0)))
+    return sc.groupBy(by).agg(F.try_divide(area, F.first("total_p").cast("double") * F.first("total_n").cast("double")).alias("roc_auc"))
+
+
 def roc_curve(df: DataFrame, label: str = "label", score: str = "score",
               drop_intermediate: bool = False) -> DataFrame:
     """``(threshold, fpr, tpr)`` for every distinct score plus the (NULL, 0, 0) start point.

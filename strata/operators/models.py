@@ -1,5 +1,5 @@
-"""Binary classifiers on MLlib (M1-M9), cross-validation, tuning, selection, ensembling (N1-N7),
-feature importance (E10) and the model registry (S8-S10).
+"""Binary classifiers on MLlib (M1-M9), their cross-validation and search spaces, feature importance (E10) and the
+model registry (S8-S10). The search over many candidates (N1-N6) is in :mod:`strata.operators.search`.
 
 Training data stays a DataFrame ``(key, label, features..., fold)``; MLlib
 distributes the fits.  Scores are ``probability[1]`` when the model has one,
@@ -9,7 +9,6 @@ else the raw margin (``rawPrediction[1]``).
 from __future__ import annotations
 
 import datetime as _dt
-import random
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -263,44 +262,13 @@ def cross_validate(estimator, train: DataFrame, features: Sequence[str], label:
     return m, list(m.avgMetrics), list(m.stdMetrics)
 
 
-def baseline(models: dict, train: DataFrame, val: DataFrame, features: Sequence[str],
-             label: str = "label", fold_col: str = "fold", parallelism: int = 4,
-             fitted_out: dict | None = None) -> DataFrame:
-    """Per model CV AUC mean/std + validation accuracy/AUC/F1; failures are skipped.
-
-    Result ``(model, cv_auc_mean, cv_auc_std, val_accuracy, val_auc, val_f1)`` ordered by cv mean.
-    The models fitted on the whole training split are put in ``fitted_out`` when given.
-    """
-    from strata.operators.evaluate import binary_metrics, roc_auc
-    spark = train.sparkSession
-    rows = []
-    for name, est in models.items():
-        try:
-            _, mean, std = cross_validate(est, train, features, label, fold_col, parallelism=parallelism)
-            pm = fit(est, train, features, label)
-            if fitted_out is not None:
-                fitted_out[name] = pm
-            sc = score(pm, val, keep=[label]).cache()
-            bm = binary_metrics(sc, label).first()
-            auc = roc_auc(sc, label).first()["roc_auc"]
-            sc.unpersist()
-            rows.append((name, float(mean[0]), float(std[0]), float(bm["accuracy"]), float(auc), float(bm["f1"])))
-        except Exception as exc:  # a failing model is skipped, the others continue
-            rows.append((name, None, None, None, None, None))
-            print(f"[strata] model {name} failed: {exc}")
-    df = spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double, "
-                                     "val_accuracy double, val_auc double, val_f1 double")
-    return df.orderBy(F.desc_nulls_last("cv_auc_mean"), "model")
-
-
 # The source's search spaces, mapped onto MLlib parameters.
 #   random forest: n_estimators 50/100/200, max_depth 5/10/15/None, min_samples_leaf 1/2/4
 #   boosting: n_estimators 50/100/200, learning_rate .05/.1/.2, max_depth 3/5/7, subsample .8/.9/1
 #   (the optional booster adds colsample_bytree .8/.9/1)
 #   logistic regression: C .1/1/10/100, penalty l1/l2;  SVM: C .1/1/10
 #   neural network: hidden (50), (100), (100, 50), (150, 75); learning_rate_init .001/.01/.1
-#   SVM also: kernel rbf, gamma scale/auto/.001/.01 (svm_search)
-# No MLlib counterpart (dropped): min_samples_split, solver, alpha, the poly kernel.
+# No MLlib counterpart: min_samples_split, solver, alpha, kernels (search.SPACES has these axes).
 UNLIMITED_DEPTH = 30  # MLlib's maximum tree depth stands for "no limit"
 
 
@@ -331,97 +299,6 @@ def param_grid(name: str, est, n_rows: int | None = None, n_features: int | None
     return b.build()
 
 
-def random_search(name: str, est, train: DataFrame, features: Sequence[str], label: str = "label",
-                  fold_col: str = "fold", draws: int = 20, seed: int = SEED, parallelism: int = 4):
-    """Up to ``draws`` distinct grid points (seeded, without replacement), k-fold AUC.
-
-    Returns ``(best_param_map or None, best_cv_auc)``; a model with no grid passes through.
-    """
-    n_rows = train.count() if name in ("logistic_regression", "svm") else None
-    grid = param_grid(name, est, n_rows=n_rows, n_features=len(features))
-    if not grid:
-        return None, None
-    rnd = random.Random(seed)
-    picks = grid if len(grid) <= draws else rnd.sample(grid, draws)
-    m, mean, _ = cross_validate(est, train, features, label, fold_col, grid=picks, parallelism=parallelism)
-    best = max(range(len(mean)), key=lambda i: mean[i])
-    return picks[best], float(mean[best])
-
-
-SVM_GAMMAS = ("scale", "auto", 0.001, 0.01)  # fixed values: the source's
-
-
-def svm_search(train: DataFrame, features: Sequence[str], label: str = "label", fold_col: str = "fold",
-               costs: Sequence[float] = (0.1, 1.0, 10.0), gammas: Sequence = SVM_GAMMAS, n_components: int = 100,
-               parallelism: int = 4) -> list[tuple]:
-    """N4 for M5: ``(kernel, gamma, C, cv_auc)`` for the linear kernel and the RBF kernel (random Fourier features)
-    with each gamma, best first."""
-    n = train.count()
-    grid = lambda est: ParamGridBuilder().addGrid(est.regParam, [1.0 / (c * n) for c in costs]).build()
-    out = []
-    for gamma in (None, *gammas):
-        data, names = train, list(features)
-        if gamma is not None:
-            fmap = rbf_feature_map(train, features, n_components, 1.0 / len(features) if gamma == "auto" else gamma)
-            data, names = apply_rbf_map(train, fmap, keep=[label, fold_col]), fmap["names"]
-        est = LinearSVC(maxIter=100, tol=1e-4)
-        _, mean, _ = cross_validate(est, data, names, label, fold_col, grid=grid(est), parallelism=parallelism)
-        out += [("linear" if gamma is None else "rbf", None if gamma is None else str(gamma), c, float(m)) for c, m in zip(costs, mean)]
-    return sorted(out, key=lambda r: -r[3])
-
-
-def select_best(fitted: dict, val: DataFrame, label: str = "label") -> tuple[str, DataFrame]:
-    """Validation metrics per fitted model; best = max ROC AUC. Returns (name, metrics long frame)."""
-    from strata.operators.evaluate import binary_metrics, roc_auc
-    spark = val.sparkSession
-    rows = []
-    for name, pm in fitted.items():
-        sc = score(pm, val, keep=[label]).cache()
-        bm = binary_metrics(sc, label).first()
-        auc = roc_auc(sc, label).first()["roc_auc"]
-        sc.unpersist()
-        rows += [(name, "accuracy", float(bm["accuracy"])), (name, "precision", float(bm["precision"])),
-                 (name, "recall", float(bm["recall"])), (name, "f1", float(bm["f1"])), (name, "roc_auc", float(auc))]
-    metrics = spark.createDataFrame(rows, "model string, metric string, value double")
-    best = (metrics.where(F.col("metric") == "roc_auc").orderBy(F.desc("value"), "model").first()["model"])
-    return best, metrics
-
-
-def calibrate(model: PipelineModel, held_out: DataFrame, label: str = "label") -> tuple[float, float] | None:
-    """Slope and offset that turn a margin into a probability (a logistic fit on held-out rows); None if the model
-    has probabilities of its own."""
-    out = model.transform(held_out)
-    if "probability" in out.columns:
-        return None
-    rows = out.select(vector_to_array("rawPrediction")[1].alias("margin"), F.col(label).cast("double").alias(label))
-    fitted = fit(LogisticRegression(maxIter=100), rows, ["margin"], label).stages[-1]
-    return float(fitted.coefficients[0]), float(fitted.intercept)
-
-
-def soft_vote(fitted: dict, df: DataFrame, key: str, names: Sequence[str], calibration: dict | None = None) -> DataFrame:
-    """Average probability of the named models; pred = avg >= 0.5.  ``calibration`` has :func:`calibrate`'s result
-    for models that score by margins; without it such a model can't vote.
-
-    The models are applied one after another to the same rows (each transform
-    is narrow; its vector/output columns are dropped before the next), so the
-    ensemble needs no join and no shuffle.
-    """
-    out = df
-    base_cols = list(df.columns)
-    for i, n in enumerate(names):
-        t = fitted[n].transform(out)
-        if "probability" in t.columns:
-            p = vector_to_array("probability")[1]
-        elif (calibration or {}).get(n):
-            a, b = calibration[n]
-            p = 1.0 / (1.0 + F.exp(-(F.lit(a) * vector_to_array("rawPrediction")[1] + F.lit(b))))
-        else:
-            raise ValueError(f"{n} has margins only: calibrate it first")
-        out = t.select(*base_cols, *[f"_s{j}" for j in range(i)], p.alias(f"_s{i}"))
-    avg = sum(F.col(f"_s{i}") for i in range(len(names))) / F.lit(float(len(names)))
-    return out.select(key, avg.alias("score"), (avg >= 0.5).cast("int").alias("pred"))
-
-
 def importances(model: PipelineModel, features: Sequence[str], top: int = 15, spark=None) -> DataFrame:
     """Tree importances or |coefficients|; top n. Unsupported models give an empty frame."""
     est = model.stages[-1]

@@ -1,20 +1,25 @@
-"""MLlib-backed queries: fits are iterative, so their oracles check what SQL can say of the result.
+"""Queries over fitted models: fits are iterative, so their oracles check what SQL can say of the result.
 
 Each trains on the train split of the processed model matrix (derived from the
 driver tables, materialised once per session) and scores the test split, with the
-source's model parameters.  The cross-validated baseline of all models is computed
-once per session and input; the queries that rank, tune and combine models start from it.
+source's model parameters, by MLlib or by the joint engines (trees, linear models, perceptrons)
+that the search uses.  The cross-validated baseline of all models is computed once per session
+and input; the queries that rank, tune and combine models start from it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import rounded
-from strata.operators import evaluate, leakage, models, select
+from strata.operators import evaluate, leakage, models, search, select
+from strata.operators.trees import Matrix
 from strata.plans import fixture as fx
 from strata.plans.pipeline import model_matrix, run_pipeline
-from strata.session import scratch_path
+from strata.session import scratch_path, shared_dir
 from strata.sources import io
 from strata.sources.tables import input_state, read_table
 
@@ -42,36 +47,57 @@ def _fit_score(spark, sf, name):
 
 
 for _q, _m in (("logreg", "logistic_regression"), ("random_forest", "random_forest"),
-               ("gbt", "gradient_boosting"), ("extra_trees", "extra_trees"), ("svm", "svm"),
-               ("mlp", "neural_network"), ("naive_bayes", "naive_bayes"), ("xgboost", "xgboost")):
+               ("gbt", "gradient_boosting"), ("svm", "svm"), ("mlp", "neural_network"),
+               ("naive_bayes", "naive_bayes")):
     ML_QUERIES[_q] = (lambda m: (lambda spark, sf: _fit_score(spark, sf, m)))(_m)
 
-TOP, DRAWS = 3, 20  # fixed values: models that are tuned and vote, random draws each
 _BASELINE: dict = {}
+_MATRICES: dict = {}
+
+
+def _matrix(spark, sf):
+    """The training rows as blocks, once per session and input."""
+    key = input_state(spark, sf)
+    if key not in _MATRICES:
+        train, _, _, feats = _data(spark, sf)
+        _MATRICES[key] = Matrix.build(train, feats, fx.KEY)
+    return _MATRICES[key]
 
 
 def _baseline(spark, sf):
-    """(rows of the baseline table, best first; fitted models; estimators) of all models."""
+    """(rows of the baseline table, best first; fitted models) of all models; the same whatever ran before."""
     key = input_state(spark, sf)
     if key not in _BASELINE:
-        train, val, _, feats = _data(spark, sf)
-        cands, fitted = models.base_models(len(feats), train.count()), {}
-        rows = models.baseline(cands, train, val, feats, parallelism=8, fitted_out=fitted).collect()
-        _BASELINE[key] = rows, fitted, cands
+        table, fitted = search.baseline(_matrix(spark, sf), _data(spark, sf)[1])
+        _BASELINE[key] = table.collect(), fitted
     return _BASELINE[key]
 
 
-def _fitted(spark, sf):
-    """All models fitted on the training split: the baseline's where it has run, else without cross-validation."""
-    key = input_state(spark, sf)
-    if key in _BASELINE:
-        return _BASELINE[key][1]
-    train, _, _, feats = _data(spark, sf)
-    return {name: models.fit(est, train, feats) for name, est in models.base_models(len(feats), train.count()).items()}
+def _top(spark, sf):
+    return [r["model"] for r in _baseline(spark, sf)[0] if r["cv_auc_mean"] is not None][:search.TUNED]
 
 
-def _top(spark, sf):
-    return [r["model"] for r in _baseline(spark, sf)[0] if r["cv_auc_mean"] is not None][:TOP]
+def _fit_joint(spark, sf, name):
+    """The source's parameters, fitted by the engines that also serve the search."""
+    model = search.fitted(_matrix(spark, sf), {name: search.MODELS[name]})[name]
+    return search.scored_rows(model, _data(spark, sf)[2], [fx.KEY, "label"])
+
+
+for _q, _m in (("extra_trees", "extra_trees"), ("xgboost", "xgboost")):
+    ML_QUERIES[_q] = (lambda m: (lambda spark, sf: _fit_joint(spark, sf, m)))(_m)
+
+
+@_reg("svm_poly")
+def q_svm_poly(spark, sf):
+    """M5 with a polynomial kernel, and probabilities by cross-fitted calibration."""
+    model = search.fitted(_matrix(spark, sf), {"svm": {"C": 1.0, "kernel": "poly", "gamma": "scale"}})["svm"]
+    return search.scored_rows(model, _data(spark, sf)[2], [fx.KEY, "label"])
+
+
+@_reg("mlp_adam")
+def q_mlp_adam(spark, sf):
+    """M7 by mini-batch Adam with early stopping."""
+    return _fit_joint(spark, sf, "neural_network")
 
 
 @_reg("mlp_early_stop")
@@ -92,29 +118,28 @@ def q_svm_rbf(spark, sf):
 
 @_reg("svm_search")
 def q_svm_search(spark, sf):
-    """N4 for M5: kernel, gamma and C axes."""
-    train, _, _, feats = _data(spark, sf)
-    return spark.createDataFrame(models.svm_search(train, feats, parallelism=8), "kernel string, gamma string, c double, cv_auc double")
+    """N4 for M5: all points of its space, best first."""
+    cv = search.cross_validated(_matrix(spark, sf), [("svm", p) for p in search.grid("svm")])
+    rows = [(p["kernel"], str(p["gamma"]), p["C"], sum(a) / len(a)) for p, a in ((json.loads(k[1]), a) for k, a in cv.items())]
+    return spark.createDataFrame(sorted(rows, key=lambda r: -r[3]), "kernel string, gamma string, c double, cv_auc double")
 
 
 @_reg("baseline_cv")
 def q_baseline_cv(spark, sf):
-    rows, _, _ = _baseline(spark, sf)
-    return spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double, val_accuracy double, "
-                                       "val_auc double, val_f1 double")
+    return spark.createDataFrame(_baseline(spark, sf)[0], "model string, cv_auc_mean double, cv_auc_std double, val_accuracy double, "
+                                                          "val_auc double, val_f1 double")
 
 
 @_reg("model_checks")
 def q_model_checks(spark, sf):
     """Every model scores each test row once, its prediction follows its score (probability above
-    one half, or positive margin), and it ranks better than chance."""
+    one half), and it ranks better than chance."""
     _, _, test, _ = _data(spark, sf)
     out = None
-    for name, pm in sorted(_fitted(spark, sf).items()):
-        scored = models.score(pm, test, keep=[fx.KEY, "label"])
-        cut = 0.0 if name == "svm" else 0.5
-        follows = (F.abs(F.col("score") - cut) < 1e-12) | ((F.col("score") > cut) == (F.col("pred") == 1))
-        in_range = F.lit(True) if name == "svm" else F.col("score").between(0, 1)
+    for name, model in sorted(search.fitted(_matrix(spark, sf), search.MODELS).items()):
+        scored = search.scored_rows(model, test, [fx.KEY, "label"])
+        follows = (F.abs(F.col("score") - 0.5) < 1e-12) | ((F.col("score") > 0.5) == (F.col("pred") == 1))
+        in_range = F.col("score").between(0, 1)
         row = scored.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_test"), F.count_distinct(fx.KEY).alias("n_keys"),
                          F.every(follows).alias("pred_follows"), F.every(in_range).alias("in_range"))
         better = evaluate.roc_auc(scored).select((F.col("roc_auc") > 0.6).alias("better_than_chance"))
@@ -123,29 +148,31 @@ def q_model_checks(spark, sf):
     return out
 
 
+def _searched(spark, sf):
+    """Random search of the best models of the baseline. The journal lies in the shared folder, by input, so a search
+    that was cut off goes on where it stood."""
+    journal = f"{shared_dir(spark).rstrip('/')}/strata/journal-{hashlib.md5(repr(input_state(spark, sf)).encode()).hexdigest()}"
+    return search.search(_matrix(spark, sf), _top(spark, sf), journal=journal)
+
+
 @_reg("tune")
 def q_tune(spark, sf):
-    """Random search of the best models of the baseline."""
-    train, _, _, feats = _data(spark, sf)
-    cands, rows = _baseline(spark, sf)[2], []
-    for name in _top(spark, sf):
-        pm, auc = models.random_search(name, cands[name], train, feats, draws=DRAWS, parallelism=8)
-        rows += [(name, p.name, str(v), auc) for p, v in (pm or {}).items()]
+    rows = [(name, param, str(value), auc) for name, (params, auc) in _searched(spark, sf).items() for param, value in (params or {}).items()]
     return spark.createDataFrame(rows, "model string, param string, value string, cv_auc double")
 
 
 @_reg("best_model")
 def q_best_model(spark, sf):
-    _, val, _, _ = _data(spark, sf)
-    best, metrics = models.select_best(_baseline(spark, sf)[1], val)
+    """The tuned models on the validation rows."""
+    models = search.tuned(_matrix(spark, sf), _searched(spark, sf), _baseline(spark, sf)[1])
+    best, metrics = search.select_best(models, _data(spark, sf)[1])
     return metrics.withColumn("is_best", F.col("model") == F.lit(best))
 
 
 @_reg("soft_vote")
 def q_soft_vote(spark, sf):
-    _, val, test, _ = _data(spark, sf)
-    fitted, names = _baseline(spark, sf)[1], _top(spark, sf)
-    return models.soft_vote(fitted, test, fx.KEY, names, {n: models.calibrate(fitted[n], val) for n in names})
+    models = _baseline(spark, sf)[1]
+    return search.soft_vote({n: models[n] for n in _top(spark, sf)}, _data(spark, sf)[2], fx.KEY)
 
 
 @_reg("importance")

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import numeric_columns
-from strata.operators import clean, derive, evaluate, labels, models, rank, select, split
+from strata.operators import clean, derive, evaluate, labels, rank, search, select, split
+from strata.operators.trees import Matrix
 from strata.plans import fixture as fx
 from strata.session import scratch_path
 from strata.sources import io
@@ -142,8 +142,8 @@ def run_pipeline(spark: SparkSession, sf_dir: str, steps: Sequence[str] = DEFAUL
     if "evaluate" in steps:
         data, _ = stored("engineered", "processed")
         io.resolve_source(spark, [f"{base}/registry"])
-        pm = models.load_model(spark, registry=f"{base}/registry")
-        bundle = evaluate.evaluate(models.score(pm, data.where(F.col("split") == "test"), keep=["label"]))
+        model = search.load(spark, f"{base}/registry")
+        bundle = evaluate.evaluate(search.scored_rows(model, data.where(F.col("split") == "test"), ["label"]))
         m, a = bundle["weighted"].first(), bundle["auc"].first()
         report += [("evaluate", "accuracy", float(m["accuracy"])), ("evaluate", "f1_weighted", float(m["f1"])),
                    ("evaluate", "roc_auc", float(a["roc_auc"])), ("evaluate", "pr_auc", float(a["pr_auc"]))]
@@ -152,32 +152,21 @@ def run_pipeline(spark: SparkSession, sf_dir: str, steps: Sequence[str] = DEFAUL
 
 def _model_stage(spark, base, data, feats, quick, model_names, tune_top, draws) -> list[tuple[str, str, float]]:
     """Baseline CV of all models, random search of the best, selection, registry, held-out metrics."""
-    report = []
-    # every candidate's CV folds, fits and searches read the same training rows
-    train = split.assign_folds(data.where(F.col("split") == "train"), fx.KEY, "label", k=5, seed=fx.SEED).persist(StorageLevel.MEMORY_AND_DISK)
+    train = split.assign_folds(data.where(F.col("split") == "train"), fx.KEY, "label", k=search.FOLDS, seed=fx.SEED)
+    val, test = data.where(F.col("split") == "val"), data.where(F.col("split") == "test")
+    matrix = Matrix.build(train, feats, fx.KEY)
     try:
-        val, test = data.where(F.col("split") == "val"), data.where(F.col("split") == "test")
-        cands = models.base_models(len(feats), train.count(), fast=quick)
-        if model_names:
-            cands = {k: v for k, v in cands.items() if k in model_names}
-        fitted: dict = {}
-        base_res = models.baseline(cands, train, val, feats, fitted_out=fitted).collect()
-        ranked = [r["model"] for r in base_res if r["cv_auc_mean"] is not None]
-        report += [("model", f"cv_auc_{r['model']}", r["cv_auc_mean"]) for r in base_res if r["model"] in ranked]
-        fitted = {k: v for k, v in fitted.items() if k in ranked}
-        for name in ranked[:tune_top if tune_top is not None else (2 if quick else 3)]:
-            try:
-                pm, _ = models.random_search(name, cands[name], train, feats, draws=draws)
-                if pm:
-                    fitted[name] = models.fit(cands[name].copy(pm), train, feats)
-            except Exception as exc:  # a failed search keeps the baseline model, as in the source
-                print(f"[strata] tuning {name} failed: {exc}")
-        best, _ = models.select_best(fitted, val)
-        models.save_model(fitted[best], f"{base}/best_model", f"{base}/registry", best, len(feats), spark)
-        scored = models.score(fitted[best], test, keep=["label"])
+        table, fitted = search.baseline(matrix, val, model_names, journal=f"{base}/journal")
+        ranked = [r for r in table.collect() if r["cv_auc_mean"] is not None]
+        report = [("model", f"cv_auc_{r['model']}", r["cv_auc_mean"]) for r in ranked]
+        top = [r["model"] for r in ranked][:tune_top if tune_top is not None else (2 if quick else search.TUNED)]
+        found = search.search(matrix, top, n=draws, journal=f"{base}/journal")
+        fitted |= search.tuned(matrix, found, fitted)
+        best, _ = search.select_best(fitted, val)
+        search.save(fitted[best], f"{base}/best_model", f"{base}/registry", best, spark)
+        scored = search.scored_rows(fitted[best], test, ["label"])
         m, auc = evaluate.weighted_metrics(scored).first(), evaluate.roc_auc(scored).first()["roc_auc"]
         report += [("model", f"best_test_{k}", float(m[k])) for k in ("accuracy", "precision", "recall", "f1")]
-        report += [("model", "best_test_auc", float(auc)), ("model", f"best_is_{best}", 1.0)]
+        return [*report, ("model", "best_test_auc", float(auc)), ("model", f"best_is_{best}", 1.0)]
     finally:
-        train.unpersist()
-    return report
+        matrix.release()
