@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from strata.session import scratch_path
 
 #: Bytes of text that a task scans at once (one document may be longer).
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A"):ord("Z") + 1] += 32
@@ -69,9 +69,10 @@ def bound(value: Column, use) -> Column:
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The UTF-8 bytes of a string column (null: empty) and the byte offset of each row, the end last."""
-    column = pc.fill_null(column, "")
-    wide = pa.types.is_large_string(column.type)
+    """The bytes of a string or binary column (null: empty) and the byte offset of each row, the end last."""
+    if column.null_count:
+        column = pc.fill_null(column, pa.scalar(b"").cast(column.type))
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offsets, data = column.buffers()
     if offsets is None:
         return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)

@@ -17,13 +17,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import ALNUM_WORDS, CHUNK_BYTES, LOWER, chunks, executors_import_this, packed_words, text_buffer, word_spans
+from strata.llm.common import ALNUM_WORDS, LOWER, chunks, executors_import_this, packed_words, text_buffer, word_spans
 from strata.llm.fm_index import FMIndex
 
 #: Words of a window.
 WINDOW = 13
 #: A block of the query set holds at most so many bytes of item texts (one item may be longer).
 BLOCK_BYTES = 32 << 20
+#: Bytes of text that one index covers (one document may be longer).
+SHARD_BYTES = 4 << 20
 #: Percent of a document's words that must be hit.
 CONTAMINATED_PERCENT = 5
 
@@ -150,7 +152,7 @@ def _shard_result(batch: pa.RecordBatch, text: str, blocks: Iterable[Phrases]) -
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id",
                   item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW,
-                  shard_bytes: int = CHUNK_BYTES) -> DataFrame:
+                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per row of ``docs``: its ``keep`` columns (default: all) and ``n_words``, ``n_hit`` (words inside an
     occurrence of a benchmark window), ``items`` (sorted ids, as strings, of the items with occurring windows),
     ``spans`` (merged removal spans, code points) and ``contaminated`` (any hit, and at least 5 % of the words).

@@ -9,7 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from strata.llm.common import LOWER, SPACED_WORDS, chunks, executors_import_this, staged, text_buffer, word_spans
 from strata.llm.hilbert import hilbert_keys
@@ -18,8 +17,8 @@ SEQUENCE = 4096
 END_ID = 2
 #: Hashed vectors, their projection and the bits of each axis of the curve.
 BUCKETS, AXES, BITS, SEED = 512, 4, 12, 11
-#: Words whose ids a worker keeps, and bytes of text that it encodes at once.
-CACHED_WORDS, ENCODE_BYTES = 600_000, 4 << 20
+#: Bytes of the words whose ids a worker keeps (with WORD_COST for each word's entry), and bytes that it handles at once.
+CACHE_BYTES, WORD_COST, ENCODE_BYTES = 24 << 20, 140, 1 << 20
 
 LETTER = np.zeros(256, bool)
 LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
@@ -42,7 +41,7 @@ class WordTokens:
 
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.ids, self.starts, self.used = np.zeros(1 << 16, np.uint16), np.zeros(1 << 14, np.int64), 0
+        self.ids, self.starts, self.used, self.held = np.zeros(1 << 16, np.uint16), np.zeros(1 << 14, np.int64), 0, 0
 
     def _learn(self, words: list[bytes]) -> None:
         plain = [w.isalpha() and w.isascii() and w.islower() for w in words]
@@ -59,6 +58,7 @@ class WordTokens:
         self.ids[at:at + total] = np.fromiter((x for w in ids for x in w), np.uint16, total)
         self.starts[n + 1:n + 1 + len(words)] = at + np.cumsum(lengths)
         self.used = at + total
+        self.held += sum(map(len, words)) + WORD_COST * len(words)
         self.number.update(zip(words, range(n, n + len(words))))
 
     def encode(self, raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -71,7 +71,7 @@ class WordTokens:
         words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data[SPACED_WORDS[data]])])
         coded = words.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.number) + len(distinct) > CACHED_WORDS:
+        if self.held > CACHE_BYTES:
             self.clear()
         number = self.number
         if new := [w for w in distinct if w not in number]:
@@ -159,23 +159,30 @@ def pack(docs: DataFrame, tokenizer: str, *, id: str = "doc_id", text: str = "te
 
     def cut(batches):
         for batch in batches:
-            out: list[tuple] = []
-            for own, ids, n, position in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                cuts = [*range(position // sequence * sequence, min(position + n, total - rest + 1), sequence)]
-                cuts = sorted({position, position + n, *(x for x in [*cuts, *tail, total - rest] if position < x < position + n)})
-                wide = np.frombuffer(ids, np.uint16).astype("<u4")
-                for a, b in zip(cuts, cuts[1:]):
-                    late = [x for x in tail if x <= a]
-                    first = max([a // sequence * sequence if a < total - rest else total - rest, *late])
-                    number = min(a, total - rest) // sequence + len(late)
-                    out.append((own, a - position, b - a, wide[a - position:b - position].tobytes(), n, number, a - first))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, t) for x, t in zip(zip(*out), types)] if out else [pa.array([], t) for t in types], names=schema.names)
+            for part in chunks(batch, "ids", ENCODE_BYTES):
+                own, start, length, sent, n_tokens, number, offset = [], [], [], [], [], [], []
+                raw, bounds = text_buffer(part.column(1))
+                wide = raw.view(np.uint16).astype("<u4")
+                for row, (n, position) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist())):
+                    cuts = [*range(position // sequence * sequence, min(position + n, total - rest + 1), sequence)]
+                    cuts = sorted({position, position + n, *(x for x in [*cuts, *tail, total - rest] if position < x < position + n)})
+                    for a, b in zip(cuts, cuts[1:]):
+                        late = [x for x in tail if x <= a]
+                        own.append(row)
+                        start.append(a - position)
+                        length.append(b - a)
+                        sent.append(4 * (bounds[row] // 2 + b - position))
+                        n_tokens.append(n)
+                        number.append(min(a, total - rest) // sequence + len(late))
+                        offset.append(a - max([a // sequence * sequence if a < total - rest else total - rest, *late]))
+                ids = pa.Array.from_buffers(pa.large_binary(), len(sent), [None, pa.py_buffer(np.array([0, *sent], np.int64)), pa.py_buffer(wide)])
+                numbers = [pa.array(x, pa.int64()) for x in (n_tokens, number, offset)]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own, pa.int64())), pa.array(start, pa.int64()),
+                                                  pa.array(length, pa.int64()), ids.cast(pa.binary()), *numbers], names=schema.names)
 
     joined = tokens.join(placed, "row").select(F.col("id"), "ids", "n", "position")
     long = T.LongType()
     schema = T.StructType([T.StructField(id, docs.schema[id].dataType), T.StructField("start", long), T.StructField("length", long),
                            T.StructField("ids", T.BinaryType()), T.StructField("doc_tokens", long),
                            T.StructField("sequence_id", long), T.StructField("offset", long)])
-    types = [f.type for f in to_arrow_schema(schema)]
     return joined.mapInArrow(cut, schema)
