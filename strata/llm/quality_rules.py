@@ -104,14 +104,15 @@ def judge(docs: DataFrame, trusted: DataFrame, *, id: str = "doc_id", text: str
     model = (fit_ratios(docs, trusted, id=id, text=text, buckets=buckets)
              .agg(F.sort_array(F.collect_list(F.struct("bucket", "weight"))).alias("w"))
              .select(F.transform("w", lambda x: x["weight"])).scalar())
-    own = F.col(text).cast("string")
+    own = F.col(f"`{text}`").cast("string")
     total = bound(F.struct(F.col("__w").alias("w"), ngram_buckets(own, buckets).alias("b")), lambda m: F.aggregate(
         m["b"], F.lit(0.0), lambda s, b: s + F.get(m["w"], b.cast("int")), lambda s: s / F.greatest(F.size(m["b"]), F.lit(1))))
     least = F.lit(min_ratio) - slack / F.sqrt(F.greatest(2 * F.col("n_words") - 1, F.lit(1)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    scored = docs.withColumn("__w", model).select(*keep, own.alias("__text"), F.coalesce(total, F.lit(0.0)).alias("__ratio"))
     # a generator's columns are computed once, also for a filter on them, which would else repeat the expressions
-    judged = F.inline(F.array(F.struct(base_counts(own).alias("__base"), F.coalesce(total, F.lit(0.0)).alias("ratio"))))
-    return (docs.withColumn("__w", model).select(*keep, judged)
+    judged = F.inline(F.array(F.struct(base_counts(F.col("__text")).alias("__base"), F.col("__ratio").alias("ratio"))))
+    return (scored.select(*keep, judged)
             .select(*keep, "__base.*", "ratio").withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= least))
             .select(*keep, *added))
