@@ -10,6 +10,7 @@ equi-joins.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations
 
 import numpy as np
@@ -17,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.llm.common import LOWER, SPACED_WORDS, chunks, executors_import_this, staged, text_buffer, word_spans
 from strata.llm.components import components
@@ -44,7 +46,7 @@ def _shingle_hashes(data: np.ndarray, off: np.ndarray, size: int) -> tuple[np.nd
     at, stop = np.arange(len(rows)), firsts[1:][rows]
     whole = (stop - at >= size) | (at == firsts[:-1][rows])
     last = np.minimum(at + size, stop)[whole] - 1
-    text, digest = joined.tobytes(), xxhash.xxh64_intdigest
+    text, digest = memoryview(joined), xxhash.xxh64_intdigest
     spans = zip(begin[whole].tolist(), (begin + length)[last].tolist())
     return np.fromiter((digest(text[i:j], SEED) for i, j in spans), np.uint64, int(whole.sum())), rows[whole]
 
@@ -62,18 +64,21 @@ def _fingerprints(data: np.ndarray, off: np.ndarray, size: int) -> np.ndarray:
     return np.packbits(over, axis=1, bitorder="little").view("<i8")[:, 0]
 
 
-def fingerprints(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """``id, fp`` (long, the 64 bits) per row; null and wordless texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
+                 keep: Sequence[Column] = ()) -> DataFrame:
+    """``id``, the ``keep`` columns and ``fp`` (long, the 64 bits) per row; null and wordless texts have fingerprint 0."""
     executors_import_this(docs.sparkSession)
 
     def hashed(batches):
         for batch in batches:
             for part in chunks(batch, "t"):
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(_fingerprints(*text_buffer(part.column(1)), shingle))], names=["id", "fp"])
+                prints = pa.array(_fingerprints(*text_buffer(part.column(0)), shingle))
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], prints], names=names)
 
-    read = docs.select(F.col(id).cast("long").alias("id"), F.col(text).cast("string").alias("t"))
-    return read.mapInArrow(hashed, "id long, fp long")
+    read = docs.select(F.col(f"`{text}`").cast("string").alias("t"), F.col(f"`{id}`").alias("id"), *keep)
+    schema = T.StructType([*read.schema.fields[1:], T.StructField("fp", T.LongType())])
+    names = schema.names
+    return read.mapInArrow(hashed, schema)
 
 
 def _masks(bits: int, most: int) -> Column:
@@ -133,20 +138,23 @@ def trie_links(prints: DataFrame, max_bits: int = MAX_BITS, fp: str = "fp") -> D
 
 
 def near_duplicates(docs: DataFrame, *, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE_WORDS,
-                    max_bits: int = MAX_BITS) -> DataFrame:
-    """``id``, ``fp`` and ``component`` (the smallest id reachable by links) per row.
+                    max_bits: int = MAX_BITS, keep: Sequence[Column] = ()) -> DataFrame:
+    """``id``, the ``keep`` columns (expressions over ``docs``, other names than the result's), ``fp``, ``component`` (the
+    smallest id reachable by links) and ``group`` (the component's smallest fingerprint) per row.
 
     Null, empty and wordless texts share fingerprint 0 and link to each other. Rows with a null id get a fingerprint
-    and a null component, and link nothing. Rows that repeat an id share the component of their own fingerprint. An
+    and a null component, and link nothing. Fingerprints are linked, not ids: rows that repeat an id with different texts
+    are judged each by its own fingerprint, and groups that merely share an id stay apart (``group`` tells them from each
+    other). Texts are read whole, however long; ids may be of any type that can be ordered; other columns are ignored. An
     empty table gives no rows.
     """
-    own = staged(fingerprints(docs, id=id, text=text, shingle=shingle), "simhash")
+    own = staged(fingerprints(docs, id=id, text=text, shingle=shingle, keep=keep), "simhash")
     prints = staged(own.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("first")), "simhash_prints")
-    links = (trie_links(prints, max_bits)
-             .join(prints.select(F.col("fp").alias("a"), F.col("first").alias("u")), "a")
-             .join(prints.select(F.col("fp").alias("b"), F.col("first").alias("v")), "b").select("u", "v"))
-    roots = components(links, "u", "v")
-    classes = prints.join(roots, prints["first"] == roots["node"], "left").select(
-        F.col("fp"), F.coalesce("root", "first").alias("component"))
+    roots = components(trie_links(prints, max_bits))
+    grouped = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("group"))
+    grouped = staged(grouped, "simhash_groups")
+    classes = grouped.select("fp", "group").join(grouped.groupBy("group").agg(F.min("first").alias("component")), "group")
+    more = [c for c in own.columns if c not in ("id", "fp")]
+    named = F.col("id").isNotNull()
     return own.join(classes, "fp", "left").select(
-        F.col("id").alias(id), "fp", F.when(F.col("id").isNotNull(), F.col("component")).alias("component"))
+        F.col("id").alias(id), *more, "fp", F.when(named, F.col("component")).alias("component"), F.when(named, F.col("group")).alias("group"))

@@ -72,3 +72,11 @@ def test_empty_table(spark, tmp_path):
     for t, schema in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
     assert all(not df.count() for _, df in run_stages(spark, docs, str(tmp_path), f"{tmp_path}/out"))
+
+
+def test_different_texts_under_one_id_stay(spark):
+    rows = [(1, "first text of its own kind here"), (1, "second text that says other things"), (2, "third text about nothing at all"),
+            (1, "second text that says other things"), (5, "second text that says other things")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], COLUMNS)
+    kept = corpus_pipeline.simhash_near_dedup(spark, docs, "")
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(rows[:3])

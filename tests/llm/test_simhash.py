@@ -77,3 +77,12 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     got = sorted(((r.doc_id, r.component) for r in near_duplicates(df).collect()), key=str)
     assert got == sorted([(None, None), (7, 7), (7, 7), (9, 7), (11, 11), (12, 11)], key=str)
     assert near_duplicates(df.limit(0)).collect() == []
+
+
+def test_one_id_with_different_texts(spark):
+    rows = [("1", "alpha beta gamma"), ("1", "other words stand here"), ("2", "other words stand here"), ("3", "lone text by itself")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    found = near_duplicates(df, keep=[df["text"].alias("said")]).collect()
+    assert {(r.said, r.component) for r in found} == {(rows[0][1], "1"), (rows[1][1], "1"), (rows[3][1], "3")}
+    groups = {r.said: r.group for r in found}
+    assert len(set(groups.values())) == 3
