@@ -4,14 +4,14 @@ Stages (each takes (spark, docs, sf_dir); all but the last return the columns of
 
 1. quality rules: documents that the base rules or the n-gram ratio reject go;
 2. line dedup: repeated lines go from the texts, ``n_chars`` follows the new text;
-3. SimHash near-dedup: of each group the document with the smallest id stays;
+3. SimHash near-dedup: of each group the document with the smallest id stays (of equal ids, one text);
 4. benchmark decontamination: contaminated documents go;
 5. packing: the documents' pieces, as ``op2_packing`` returns them.
 
 Defined results: null texts count as empty, so the base rules reject them in stage 1. Stage 2 keeps a null text null.
-Rows with a null id are judged like others and stay in stage 3, which can't name a smallest id for them; of rows that
-repeat an id and stay, stage 3 keeps the one whose text sorts first. Extra columns pass through all stages but the last.
-An empty table gives an empty result.
+Rows with a null id are judged like others and stay in stage 3, which can't name a smallest id for them. Rows that repeat
+an id are judged each by its own text: stage 3 keeps one row of each group of linked fingerprints, so different texts
+under one id stay. Extra columns pass through all stages but the last. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,9 +53,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    first = near_duplicates(docs).where("doc_id = component").select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(first, F.col("doc_id") == F.col("__first"), "left_semi")
-    one = kept.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where("__nth = 1").drop("__nth")
+    alike = F.xxhash64("text").alias("alike")  # rows of one id with equal texts
+    found = near_duplicates(docs, keep=[alike]).where("doc_id IS NOT NULL")
+    first = found.groupBy("group").agg(F.min(F.struct("doc_id", "alike")).alias("first")).select(
+        F.col("first.doc_id").alias("__first"), F.col("first.alike").alias("__alike"))
+    kept = docs.withColumn("__text", F.xxhash64("text")).join(first, (F.col("doc_id") == F.col("__first")) & (F.col("__text") == F.col("__alike")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "__text").orderBy("text"))
+    one = kept.withColumn("__nth", nth).where("__nth = 1").drop("__nth", "__text")
     return one.unionByName(docs.where("doc_id IS NULL"))
 
 
