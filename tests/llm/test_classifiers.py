@@ -61,12 +61,14 @@ def test_language_on_held_out_rows(spark):
 
 
 def test_ngrams_against_a_plain_count():
-    texts = ["Abcab", None, "é!", "xy", "a"]
+    texts = ["Abcab", None, "é!", "xy", "a", "a1 b%%% &&& ***", "%%%", "x\n y"]
     got = langid.ngram_counts(pa.array(texts))
     for text, row in zip(texts, got):
-        data, want = (text or "").lower().encode(), np.zeros(langid.BUCKETS, int)
+        data, want = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in (text or "").lower().encode()), np.zeros(langid.BUCKETS, int)
         for size in (2, 3):
             for i in range(len(data) - size + 1):
+                if not data[i:i + size].strip(b" "):
+                    continue
                 gram = 0
                 for b in data[i:i + size]:
                     gram = gram * 257 + b
@@ -87,7 +89,7 @@ def test_language_edge_tables(spark):
     rows = [(1, "alpha beta gamma delta", "aa"), (2, "omega psi chi phi", "bb"), (3, None, "aa"), (4, "12 34", "bb"), (None, "alpha beta", None), (1, "alpha", "aa")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.fit_centroids(docs)
-    assert set(model["langs"]) == {"aa", "bb"}
+    assert [set(m["langs"]) for m in model] == [{"aa", "bb"}]
     got = langid.identify(docs.withColumnRenamed("lang", "score"), model)
     assert got.columns == ["doc_id", "text", "nearest", "score", "rejected", "lang_pred"]
     near = {(r.doc_id, r.text): (r.nearest, r.score) for r in got.collect()}
@@ -95,3 +97,31 @@ def test_language_edge_tables(spark):
     assert near[3, None] == near[4, "12 34"] == ("und", 0.0)
     assert langid.fit_centroids(docs.limit(0)) is None and langid.identify(docs.limit(0), model).collect() == []
     assert {r.lang_pred for r in langid.identify(docs, None).collect()} == {"und"}
+
+
+def test_many_languages_go_in_blocks_and_ties_to_the_first(spark, monkeypatch):
+    monkeypatch.setattr(langid, "BLOCK_LANGUAGES", 2)
+    words = ["alpha", "bravo", "charlie", "delta", "echo"]
+    rows = [(i, f"{w} {w}s", f"l{i}") for i, w in enumerate(words)] + [(7, "alpha alphas", "l9")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_centroids(docs)
+    assert [m["langs"] for m in model] == [["l0", "l1"], ["l2", "l3"], ["l4", "l9"]]
+    near = {r.text: r.nearest for r in langid.identify(docs, model).collect()}
+    assert near == {f"{w} {w}s": f"l{i}" for i, w in enumerate(words)}  # l0 and l9 are alike
+
+
+def test_centroids_against_brute_force(spark):
+    """IDF, weights, and the nearest centroid of one text per language: with one text each a centroid is that text."""
+    texts = ["the cat sat on the mat", "le chat est sur la table", "die katze ist auf dem tisch"]
+    docs = spark.createDataFrame([(i, t, f"l{i}") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    model, = langid.fit_centroids(docs)
+    counts = langid.ngram_counts(pa.array(texts))
+    idf = np.log(4 / (1 + (counts > 0).sum(0))) + 0.1
+    v = np.log1p(counts) * idf
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    assert np.allclose(model["idf"], idf) and np.allclose(model["centres"], v, atol=1e-6)
+    others = ["the mat", "la table est", "auf dem"]
+    w = np.log1p(langid.ngram_counts(pa.array(others))) * idf
+    cosine = (w / np.linalg.norm(w, axis=1)[:, None]) @ v.T
+    got = sorted((r.doc_id, r.nearest, r.score) for r in langid.identify(spark.createDataFrame(list(enumerate(others)), "doc_id long, text string"), [model]).collect())
+    assert [(i, f"l{c.argmax()}") for i, c in enumerate(cosine)] == [x[:2] for x in got] and np.allclose([x[2] for x in got], cosine.max(1), atol=1e-5)
