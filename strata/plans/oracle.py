@@ -366,6 +366,24 @@ FROM (SELECT b.bin, y.lbl, coalesce(cnt.nbc, 0) AS nbc, b.nb, y.nc, (SELECT coun
     s["mutual_info"] = (f"WITH {_split_cte()}, tr AS (SELECT * FROM spl WHERE split = 'train'), m AS ({mi}) "
                         f"SELECT feature, round(mutual_info, 6) AS mutual_info FROM m")
 
+    # nearest neighbours: all pairs of a feature, distances in whole multiples of a 1e15th of its largest value
+    psi = lambda n: (f"(CASE WHEN {n} = 1 THEN -0.5772156649015329 WHEN {n} <= 20 THEN -0.5772156649015329 + "
+                     f"list_sum(list_transform(range(1, CAST({n} AS BIGINT)), lambda i: 1.0 / i)) ELSE ln({n}) - 1.0 / (2 * {n}) "
+                     f"- 1.0 / (12.0 * {n} * {n}) + 1.0 / (120.0 * {n} * {n} * {n} * {n}) - 1.0 / (252.0 * power({n}, 6)) END)")
+    values = _union([f"SELECT '{c}' AS feature, label AS y, CAST(round(CAST({c} AS DOUBLE) / (SELECT max(abs(CAST({c} AS DOUBLE))) FROM tr) * 1e15) AS BIGINT) AS v "
+                     f"FROM tr WHERE {c} IS NOT NULL" for c in cols])
+    s["mutual_info_knn"] = f"""WITH {_split_cte()}, tr AS (SELECT * FROM spl WHERE split = 'train'), x AS ({values}),
+u AS (SELECT feature, y, v, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY feature, y) AS total FROM x GROUP BY feature, y, v),
+d AS (SELECT a.feature, a.y, a.v, a.cnt, a.total, abs(a.v - b.v) AS dist, sum(CASE WHEN a.v = b.v THEN b.cnt - 1 ELSE b.cnt END) AS n
+      FROM u a JOIN u b ON a.feature = b.feature AND a.y = b.y WHERE a.total > 1 GROUP BY ALL),
+c AS (SELECT *, sum(n) OVER (PARTITION BY feature, y, v ORDER BY dist) AS upto FROM d),
+r AS (SELECT feature, y, v, any_value(cnt) AS cnt, any_value(total) AS total, least(3, any_value(total) - 1) AS k,
+             min(dist) FILTER (upto >= least(3, total - 1)) AS r FROM c GROUP BY feature, y, v),
+m AS (SELECT r.feature, r.cnt, r.total, r.k, sum(o.cnt) FILTER (CASE WHEN r.r = 0 THEN o.v = r.v ELSE abs(o.v - r.v) < r.r END) AS m
+      FROM r JOIN u o ON o.feature = r.feature WHERE o.total > 1 GROUP BY r.feature, r.y, r.v, r.cnt, r.total, r.k),
+e AS (SELECT feature, sum(cnt) AS n, sum(cnt * ({psi('k')} - {psi('total')} - {psi('m')})) AS s FROM m GROUP BY feature)
+SELECT feature, round(greatest(0, {psi('n')} + s / n), 6) AS mutual_info FROM e"""
+
     # SQL-form models
     nbf = fx.NB_FEATURES
     nb_stats = ", ".join(f"avg({c}) AS m_{c}, var_pop({c}) AS v_{c}" for c in nbf)

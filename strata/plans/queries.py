@@ -419,6 +419,12 @@ def q_mutual_info(spark, sf):
     return rounded(select.binned_mutual_info(tr, "label", PROFILE_COUNTERS, bins=10))
 
 
+@query("mutual_info_knn")
+def q_mutual_info_knn(spark, sf):
+    tr = _split(spark, sf).where(F.col("split") == "train")
+    return rounded(select.knn_mutual_info(tr, "label", PROFILE_COUNTERS))
+
+
 # ---- SQL-form models ---------------------------------------------------------------------------
 
 @query("gaussian_nb")
