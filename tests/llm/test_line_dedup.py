@@ -4,6 +4,7 @@ import re
 import duckdb
 import numpy as np
 
+from strata.llm import line_dedup
 from strata.llm.cuckoo import CuckooFilter
 from strata.llm.line_dedup import LineIndex, deduplicate_lines
 from strata.llm.queries import ORACLE, op8_line_dedup
@@ -57,9 +58,47 @@ def test_insert_and_delete_are_reversible(spark, prose):
     back = grown.delete(late.select("doc_id"))
     some = [r for r in rows if r[0] % 3]
     assert result(back.deduplicate(first)) == brute(some)
-    assert sorted(map(tuple, back.refs.collect())) == sorted(map(tuple, start.refs.collect()))
+    assert sorted((r.k1, r.k2, r.n_docs, r.last_doc) for r in back.refs.collect()) == sorted((r.k1, r.k2, r.n_docs, r.last_doc) for r in start.refs.collect())
     held = {bytes(r.filter) for r in back.filters.collect()}
     assert all(CuckooFilter(0, f).may_hold(np.array([r.k1 for r in back.refs.collect()])).all() for f in held)
+    again = back.insert(late)  # ids that were taken out come in again
+    assert result(again.deduplicate(df)) == brute(rows)
+
+
+def test_an_index_grows_from_a_tiny_one_and_back(spark, monkeypatch):
+    """Shards are halved, filters built again, parts put together; deletes lead back to the start."""
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 40)
+    monkeypatch.setattr(line_dedup, "SCREEN_ROWS", 16)
+    monkeypatch.setattr(line_dedup, "PARTS", 3)
+
+    def text(i):
+        return "\n".join(f"line number {j} of at least forty code points, repeated" for j in range(i, i + 12))
+
+    rows = [(i, text(i)) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    start = LineIndex.build(df.where("doc_id < 6"))
+    assert start.shards == 1
+    index = start
+    for lo, hi in ((6, 7), (7, 20), (20, 60), (60, 100)):
+        index = index.insert(df.where(f"doc_id >= {lo} AND doc_id < {hi}"))
+    assert index.shards > 1 and len(index.parts) <= 3 and result(index.deduplicate(df)) == brute(rows)
+    for r in index.filters.collect():
+        assert len(CuckooFilter(0, bytes(r.filter)).beside) == 0
+    for lo, hi in ((50, 100), (6, 50)):
+        index = index.delete(df.where(f"doc_id >= {lo} AND doc_id < {hi}").select("doc_id"))
+    key = lambda r: (r.k1, r.k2, r.n_docs, r.last_doc)
+    assert sorted(map(key, index.refs.collect())) == sorted(map(key, start.refs.collect()))
+    first = df.where("doc_id < 6")
+    assert result(index.deduplicate(first)) == brute(rows[:6])
+
+
+def test_a_change_reads_only_the_buckets_it_touches(spark):
+    rows = [(i, f"a line of its own with more than forty code points {i % 7}") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    index = LineIndex.build(df)
+    plan = index.postings([3])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [(bucket" in plan
+    assert index.delete(df.where("doc_id > 1000").select("doc_id")).refs is index.refs  # nothing is touched
 
 
 def test_cuckoo_filter_inserts_deletes_and_overflows():
