@@ -34,7 +34,7 @@ def brute(urls, tokens):
                 sets[s] += 1
                 with_verdict[s, v] += 1
     rules = {(s, v): (n / sets[s], n / len(labelled)) for (s, v), n in with_verdict.items()
-             if n / len(labelled) >= url_filter.MIN_SUPPORT and n / sets[s] >= url_filter.MIN_CONFIDENCE}
+             if n / len(labelled) >= url_filter.MIN_SUPPORT and n >= url_filter.MIN_URLS and n / sets[s] >= url_filter.MIN_CONFIDENCE}
     short = {(s, v): c for (s, v), c in rules.items() if not any(
         rules.get((tuple(x for x in s if x != t), v), (0,))[0] >= c[0] for t in s)}
     out = []
@@ -86,3 +86,29 @@ def test_edge_tables(spark, rows):
     got = judge_urls(spark.createDataFrame(rows, "page_id long, url string, host string"))
     assert got.columns == ["page_id", "url", "host", "path", "rule", "verdict", "mined"]
     assert [r.verdict for r in got.collect()] == ["allow"] * len(rows)
+
+
+def test_one_labelled_url_makes_no_rule(spark):
+    urls = ["http://a.com/de/spam/now", "http://b.com/fr/x", "http://c.net/q/spam", "http://d.net/de"]
+    got = {r.url: (r.verdict, r.mined) for r in judge_urls(spark.createDataFrame([(u,) for u in urls], "url string")).collect()}
+    assert got[urls[2]] == got[urls[3]] == ("allow", None)
+    twice = judge_urls(spark.createDataFrame([(u,) for u in urls[:1] * 3 + urls[1:]], "url string")).collect()
+    assert {r.url: r.mined for r in twice}["http://d.net/de"] == ["path0:de"]
+
+
+def test_a_long_url_repeated_often(spark):
+    long = "http://a.com/de/" + "/".join(f"part{i}" for i in range(58))
+    urls = [long] * 1000 + [f"http://b{i}.com/fr/{i}" for i in range(100)] + ["http://q.net/x/part1", "http://q.net/x/y/part3", "http://q.net/0/7"]
+    got = {r.url: (r.verdict, r.mined) for r in judge_urls(spark.createDataFrame([(u,) for u in urls], "url string")).collect()}
+    assert got["http://q.net/x/part1"] == ("allow", None)  # another place in the path
+    assert got["http://q.net/0/7"][0] == "allow"
+    probe = "http://q.net/x/part0"
+    again = judge_urls(spark.createDataFrame([(u,) for u in [*urls, probe]], "url string")).where(F.col("url") == probe).first()
+    assert (again.verdict, again.mined) == ("block", ["path1:part0"])
+
+
+def test_ties_of_mined_rules_go_to_block(spark):
+    """Two rules of equal confidence, support and length."""
+    urls = [f"http://a{i}.com/de/left" for i in range(5)] + [f"http://b{i}.com/fr/x/right" for i in range(5)] + ["http://q.net/x/left/right"]
+    got = judge_urls(spark.createDataFrame([(u,) for u in urls], "url string")).where("rule IS NULL").first()
+    assert (got.verdict, got.mined) == ("block", ["path1:left"])
