@@ -8,8 +8,6 @@ shorter than the shortest phrase are left out of the index.  This changes no res
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import ALNUM_WORDS, LOWER, chunks, executors_import_this, packed_words, text_buffer, word_spans
+from strata.llm.common import ALNUM_WORDS, LOWER, chunks, executors_import_this, packed_words, released, staged, text_buffer, word_spans
 from strata.llm.fm_index import FMIndex
 
 #: Words of a window.
@@ -89,39 +87,11 @@ def occurrences(numbers: np.ndarray, rows: np.ndarray, phrases: Phrases) -> tupl
     return word[index.locate(at)], found
 
 
-def query_blocks(rows: Iterable[tuple], window: int) -> Iterator[Phrases]:
-    """The phrases of ``rows`` (item, text) in blocks, built as they are asked for; the last may be empty."""
-    block, size = [], 0
-    for item, text in rows:
-        block.append((item, text))
-        size += 4 * len(text or "")
-        if size > BLOCK_BYTES:
-            yield Phrases(block, window)
-            block, size = [], 0
-    yield Phrases(block, window)
-
-
-def opened(sent: list) -> Iterator[Phrases]:
-    """The values of broadcasts, one at a time: of several, each leaves the worker's memory before the next is read."""
-    for x in sent:
-        yield x.value
-        if len(sent) > 1 and getattr(x, "_path", None) is not None:  # can be read from its file again
-            vars(x).pop("_value", None)
-
-
-def _shard_result(batch: pa.RecordBatch, text: str, blocks: Iterable[Phrases]) -> list[pa.Array]:
-    raw, off = text_buffer(batch.column(batch.schema.get_field_index(text)))
-    data = LOWER[raw]
-    starts, ends, firsts = word_spans(data, off, ALNUM_WORDS)
-    n, total = batch.num_rows, len(starts)
-    n_words = np.diff(firsts)
-    rows = np.repeat(np.arange(n), n_words)
-    words = packed_words(data, starts, ends, ALNUM_WORDS)
-    change, items = np.zeros(total + 1, np.int64), [set() for _ in range(n)]
-    for phrases in blocks:
-        if not len(phrases.lengths) or not total:
-            del phrases
-            continue
+def _hits(words: pa.Array, rows: np.ndarray, phrases: Phrases, items: list[set]) -> np.ndarray:
+    """Which words lie inside an occurrence of a block's phrase; the phrases' items are added to their row's."""
+    total = len(words)
+    change = np.zeros(total + 1, np.int64)
+    if len(phrases.lengths) and total:
         numbers = pc.index_in(words, value_set=pa.array(phrases.vocabulary, pa.large_binary()))
         numbers = pc.add(pc.fill_null(numbers, -1), 1).to_numpy(zero_copy_only=False).astype(np.int64)
         at, phrase = occurrences(numbers, rows, phrases)
@@ -129,8 +99,11 @@ def _shard_result(batch: pa.RecordBatch, text: str, blocks: Iterable[Phrases]) -
         np.add.at(change, at + phrases.lengths[phrase], -1)
         for row, p in np.unique(np.stack([rows[at], phrase], 1), axis=0).tolist() if len(at) else ():
             items[row].update(phrases.owners[p])
-        del phrases
-    hit = np.cumsum(change)[:total] > 0
+    return np.cumsum(change)[:total] > 0
+
+
+def _judged(n_words: np.ndarray, rows: np.ndarray, hit: np.ndarray, items: list[set], raw, off, starts, ends) -> list[pa.Array]:
+    n = len(n_words)
     hits = np.bincount(rows[hit], minlength=n)
     spans: list[list] = [[] for _ in range(n)]
     at = np.flatnonzero(hit)
@@ -150,6 +123,26 @@ def _shard_result(batch: pa.RecordBatch, text: str, blocks: Iterable[Phrases]) -
             pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(contaminated)]
 
 
+def _shard(part: pa.RecordBatch, phrases: Phrases, last: bool) -> list[pa.Array]:
+    """Of a shard's rows (own, text, hit, items) what one block adds: the words hit so far (a bit each) and the items, or,
+    with the last block, the result."""
+    raw, off = text_buffer(part.column(1))
+    data = LOWER[raw]
+    starts, ends, firsts = word_spans(data, off, ALNUM_WORDS)
+    n_words = np.diff(firsts)
+    rows = np.repeat(np.arange(part.num_rows), n_words)
+    items = [set(x or ()) for x in part.column(3).to_pylist()]
+    hit = _hits(packed_words(data, starts, ends, ALNUM_WORDS), rows, phrases, items)
+    for row, bits in enumerate(part.column(2).to_pylist()):
+        if bits:
+            hit[firsts[row]:firsts[row + 1]] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=int(n_words[row])).astype(bool)
+    if last:
+        return _judged(n_words, rows, hit, items, raw, off, starts, ends)
+    some = np.bincount(rows[hit], minlength=part.num_rows) > 0
+    bits = [np.packbits(hit[firsts[i]:firsts[i + 1]]).tobytes() if some[i] else None for i in range(part.num_rows)]
+    return [pa.array(bits, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))]
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id",
                   item_text: str = "text", keep: list[str] | None = None, window: int = WINDOW,
                   shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -158,27 +151,50 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     ``spans`` (merged removal spans, code points) and ``contaminated`` (any hit, and at least 5 % of the words).
 
     Null texts have no words; items without words have no window; a shorter item is one window. An input column
-    with the name of a result column is left out. Repeated rows and null ids give a row each. An empty table gives
-    no rows; an empty benchmark hits nothing. The benchmark is the query set: it is read by the driver and sent to
-    the tasks in blocks of ``BLOCK_BYTES``, each searched in all shards. The driver builds and a task holds one block
-    at a time; all of them lie on the disks of the driver and the executors.
+    with the name of a result column is left out. Repeated rows and null ids give a row each. Texts are searched whole,
+    however long. An empty table gives no rows; an empty benchmark hits nothing.
+
+    The benchmark is the query set: Spark deals its items to blocks of about ``BLOCK_BYTES``, and each block is searched in
+    all shards by a pass of its own, so the driver and a task hold one block at most, whatever their number. What the
+    passes have found is carried with the texts, in a table between two passes.
     """
     spark = docs.sparkSession
     executors_import_this(spark)
-    rows = benchmark.select(F.col(item), F.col(item_text)).toLocalIterator()
-    sent = list(map(spark.sparkContext.broadcast, query_blocks(rows, window)))
+    queries = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").cast("string").alias("text"))
+    size = queries.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-4 * size // BLOCK_BYTES))  # a block's phrases take about four times its text
     added = RESULT.names
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-
-    def shards(batches):
-        for batch in batches:
-            for part in chunks(batch, source, shard_bytes):
-                kept = [part.column(part.schema.get_field_index(c)) for c in keep]
-                yield pa.RecordBatch.from_arrays(kept + _shard_result(part, source, opened(sent)), names=keep + added)
-
-    source = text if text in keep and isinstance(docs.schema[text].dataType, T.StringType) else "__text"
-    read = docs.select(*keep, *([F.col(text).cast("string").alias(source)] if source != text else []))
-    return read.mapInArrow(shards, T.StructType([*docs.select(*keep).schema, *RESULT]))
+    carried = text if text in keep and isinstance(docs.schema[text].dataType, T.StringType) else None  # once
+    own = F.struct(*(F.col(f"`{c}`") for c in keep if c != carried), F.lit(0).alias("__none"))
+    rows = docs.select(own.alias("own"), F.col(f"`{text}`").cast("string").alias("text"), F.lit(None).cast("binary").alias("hit"),
+                       F.array().cast("array<string>").alias("items"))
+    between = rows.schema
+    whole = T.StructType([between["own"], *([between["text"]] if carried else []), *RESULT])
+
+    def search(sent, last):
+        names = whole.names if last else between.names
+
+        def shards(batches):
+            for batch in batches:
+                for part in chunks(batch, "text", shard_bytes):
+                    kept = [part.column(0), part.column(1)] if carried or not last else [part.column(0)]
+                    yield pa.RecordBatch.from_arrays([*kept, *_shard(part, sent.value, last)], names=names)
+
+        return shards
+
+    for block in range(blocks):
+        dealt = queries.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
+        sent = spark.sparkContext.broadcast(Phrases([(r.item, r.text) for r in dealt.collect()], window))  # one block
+        last = block == blocks - 1
+        found = rows.mapInArrow(search(sent, last), whole if last else between)
+        if last:
+            return found.select(*(F.col("text").alias(c) if c == carried else F.col(f"own.`{c}`") for c in keep), *added)
+        found = staged(found, "decontaminated")
+        sent.unpersist()
+        if block:
+            released(rows)
+        rows = found
 
 
 def items_digest(items) -> F.Column:

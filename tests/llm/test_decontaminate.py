@@ -4,6 +4,7 @@ import re
 import weakref
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from strata.llm import decontaminate as module
 from strata.llm.decontaminate import decontaminate
@@ -96,23 +97,17 @@ def test_one_block_of_the_benchmark_is_held_at_a_time(spark, prose, docs, monkey
     blocks = decontaminate(docs, bench, keep=["doc_id"], shard_bytes=20_000)
     assert len(most) > 5 and max(most) == 1  # on the driver
     assert sorted(map(str, blocks.collect())) == whole
+    texts = decontaminate(docs, bench, shard_bytes=20_000).select("doc_id", "text")
+    assert sorted(map(str, texts.collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))  # carried through all passes
 
-    class Sent:
-        """Reads as the worker's side of a broadcast does."""
-        _path = "file"
-
-        @property
-        def value(self):
-            if "_value" not in vars(self):
-                self._value = module.Phrases([(1, "one two")], 13)
-            return self._value
-
-    live.clear()
-    most.clear()
-    for _ in range(2):
-        for part in docs.select("text").limit(20).toArrow().to_batches():
-            module._shard_result(part, "text", module.opened([Sent(), Sent(), Sent()]))
-    assert len(most) >= 6 and max(most) == 1  # in a task
+
+def test_many_blocks_against_brute_force(spark, prose, docs, monkeypatch):
+    monkeypatch.setattr(module, "BLOCK_BYTES", 1500)
+    items = [(i, " ".join(prose[1][i % 4].split()[i:])) for i in range(12)] + [(20, None), (21, "two words"), (22, "?!")]
+    found = decontaminate(docs, spark.createDataFrame(items, "item_id long, text string"), keep=["doc_id"])
+    digest = module.items_digest(F.col("items")).alias("digest")
+    got = {r.doc_id: (r.n_words, r.n_hit, len(r["items"]), r.digest, r.contaminated) for r in found.select("*", digest).collect()}
+    assert got == brute(prose[0], items)
 
 
 def test_index_finds_every_occurrence():
