@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,16 +23,19 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, list[s
     return df.drop(*present), present
 
 
-def min_activity_filter(df: DataFrame, column: str, threshold: float,
-                        observation: Observation | None = None) -> DataFrame:
-    """Keep rows with ``column >= threshold`` (P5); the filter is pushed to the scan.
+def min_activity_filter(df: DataFrame, column: str, threshold: float) -> DataFrame:
+    """Keep rows with ``column >= threshold`` (P5); the filter is pushed to the scan."""
+    return df.where(F.col(column) >= F.lit(threshold))
 
-    Pass an ``Observation`` to receive the kept-row count from the same job.
+
+def activity_counts(df: DataFrame, column: str, threshold: float) -> DataFrame:
+    """``rows_before, rows_kept, rows_removed`` of :func:`min_activity_filter`, in one aggregation.
+
+    Not by ``observe``: a session that has observed anything can't apply an MLlib model that keeps its training summary
+    (the summary refers to the session, which then can't be serialized any more).
     """
-    out = df.where(F.col(column) >= F.lit(threshold))
-    if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows_kept"))
-    return out
+    counts = df.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(F.col(column) >= F.lit(threshold)).alias("rows_kept"))
+    return counts.withColumn("rows_removed", F.col("rows_before") - F.col("rows_kept"))
 
 
 def fit_iqr_fences(df: DataFrame, cols: Sequence[str], k: float = 1.5,

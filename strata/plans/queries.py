@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import rounded
@@ -225,13 +225,8 @@ def q_correction_counts(spark, sf):
 
 @query("removed_rows")
 def q_removed_rows(spark, sf):
-    """P5: rows kept and removed by the activity filter, the kept ones observed in the job that writes them."""
-    from strata.sources import io
-    raw, seen = _p(spark, sf), Observation("activity")
-    io.write_dataset(clean.min_activity_filter(raw, "n_lines", fx.ACTIVITY_MIN_LINES, seen), "active")
-    kept = seen.get["rows_kept"]
-    return raw.agg(F.count(F.lit(1)).alias("rows_before")).select(
-        "rows_before", F.lit(kept).cast("bigint").alias("rows_kept"), (F.col("rows_before") - kept).alias("rows_removed"))
+    """P5: rows kept and removed by the activity filter."""
+    return clean.activity_counts(_p(spark, sf), "n_lines", fx.ACTIVITY_MIN_LINES)
 
 
 # ---- labels ------------------------------------------------------------------------------------

@@ -63,3 +63,10 @@ def test_mlp_early_stopping_stops_and_scores(spark):
     assert iters < 200 and 0.5 < best <= 1.0
     auc = evaluate.roc_auc(models.score(pm, te, keep=["label"])).first()["roc_auc"]
     assert auc > 0.8
+
+
+def test_no_query_makes_the_session_unserializable():
+    """Once a session has observed a metric, MLlib models that keep a training summary can't be applied in it."""
+    from pathlib import Path
+    root = Path(models.__file__).resolve().parents[1]
+    assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and ".observe(" in p.read_text()]
