@@ -18,7 +18,7 @@ END_ID = 2
 #: Hashed vectors, their projection and the bits of each axis of the curve.
 BUCKETS, AXES, BITS, SEED = 512, 4, 12, 11
 #: Bytes of the words whose ids a worker keeps (with WORD_COST for each word's entry), and bytes that it handles at once.
-CACHE_BYTES, WORD_COST, ENCODE_BYTES = 24 << 20, 140, 1 << 20
+CACHE_BYTES, WORD_COST, ENCODE_BYTES = 88 << 20, 140, 2 << 20
 
 LETTER = np.zeros(256, bool)
 LETTER[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1)]] = True
