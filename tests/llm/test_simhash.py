@@ -3,7 +3,9 @@ import re
 
 import xxhash
 
-from strata.llm.components import components
+from pyspark.sql import functions as F
+
+from strata.llm.components import _with_least, components
 from strata.llm.queries import op3_simhash_near_dedup
 from strata.llm.simhash import near_duplicates, trie_links
 
@@ -71,6 +73,24 @@ def test_components_of_chains_and_stars(spark):
     assert got == {n: r for n, r in want.items() if n != r}
 
 
+def test_stars_whose_hub_holds_most_links(spark):
+    for hub in (0, 5_000, 20_000):  # the smallest, a middling and the largest node
+        links = [(hub, i) if i % 2 else (i, hub) for i in range(1, 10_001) if i != hub] + [(30_000 + i, 30_001 + i) for i in range(40)]
+        random.Random(1).shuffle(links)
+        got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long").repartition(6)).collect()}
+        want = roots({x for p in links for x in p}, links)
+        assert got == {n: r for n, r in want.items() if n != r}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_a_hubs_rows_stay_where_they_are(spark):
+    rows = spark.range(0, 10_000, 1, 8).select(F.when(F.col("id") < 9_000, 1).otherwise(F.col("id")).alias("u"), F.col("id").alias("v"))
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    placed = _with_least(rows, least, 10_000)
+    assert placed.groupBy("u").agg(F.min("m").alias("m"), F.count("*").alias("n")).exceptAll(least).count() == 0
+    assert max(r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()) <= 1_250
+
+
 def test_null_ids_repeated_rows_and_empty_table(spark):
     rows = [(None, "a b c d"), (7, "a b c d"), (7, "a b c d"), (9, "A B C D"), (11, None), (12, "")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
