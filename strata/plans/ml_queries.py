@@ -14,14 +14,18 @@ import json
 
 from pyspark.sql import functions as F
 
+from pyspark.ml.classification import LogisticRegression
+
 from strata.functions.exprs import rounded
-from strata.operators import evaluate, leakage, models, search, select
+from strata.operators import evaluate, leakage, models, search, select, split
+from strata.operators.linear import LinearFit, fit_linear
 from strata.operators.trees import Matrix
 from strata.plans import fixture as fx
 from strata.plans.pipeline import model_matrix, run_pipeline
+from strata.plans.queries import _split
 from strata.session import scratch_path, shared_dir
 from strata.sources import io
-from strata.sources.tables import input_state, read_table
+from strata.sources.tables import PROFILE_COUNTERS, input_state, read_table
 
 ML_QUERIES: dict = {}
 
@@ -211,6 +215,100 @@ def q_model_registry(spark, sf):
     return models.score(loaded, test, keep=[fx.KEY, "label"])
 
 
+# ---- fits that SQL can check -------------------------------------------------------------------
+
+def _scaled(spark, sf):
+    """The profile's split with SCALE_COLS standardised by the train rows."""
+    df = _split(spark, sf)
+    return split.apply_standard(df, split.fit_standard(df.where("split = 'train'"), fx.SCALE_COLS))
+
+
+@_reg("logreg_optimum")
+def q_logreg_optimum(spark, sf):
+    """M1: at the optimum the mean of each feature times the score, plus the penalty's slope, is the mean of the feature
+    times the label; so it is for the offset, which has no penalty."""
+    train = _scaled(spark, sf).where("split = 'train'").select(fx.KEY, "label", *fx.SCALE_COLS)
+    n = train.count()
+    est = LogisticRegression(maxIter=1000, regParam=1.0 / n, tol=1e-10, elasticNetParam=0.0, standardization=False)
+    mllib = models.fit(est, train, fx.SCALE_COLS)
+    joint = fit_linear(Matrix.build(train, fx.SCALE_COLS, fx.KEY, fold=None), [LinearFit("logistic", 1.0)])[0]
+    both = {"mllib": (models.score(mllib, train, keep=fx.SCALE_COLS), list(mllib.stages[-1].coefficients.toArray())),
+            "joint": (search.scored_rows(joint, train, fx.SCALE_COLS), joint.weights)}
+    out = None
+    for engine, (scored, weights) in both.items():
+        terms = [("offset", F.lit(1.0), 0.0), *((c, F.col(c), float(w)) for c, w in zip(fx.SCALE_COLS, weights))]
+        moments = scored.agg(*((F.avg(x * F.col("score")) + w / n).alias(c) for c, x, w in terms))
+        rows = moments.unpivot([], [c for c, _, _ in terms], "term", "moment").select(F.lit(engine).alias("engine"), "term", F.round("moment", 4).alias("moment"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@_reg("naive_bayes_joint")
+def q_naive_bayes_joint(spark, sf):
+    """M6 by the joint engine's sums."""
+    df = _split(spark, sf)
+    model = search.fit_bayes(Matrix.build(df.where("split = 'train'"), fx.NB_FEATURES, fx.KEY, fold=None), [-1])[0]
+    return rounded(search.scored_rows(model, df.where("split = 'test'"), [fx.KEY]))
+
+
+@_reg("leakage_parts")
+def q_leakage_parts(spark, sf):
+    """V1 on the profile's counters: the label is made of some of them, so the check finds it; the forest's AUC as a yes."""
+    found = leakage.validate_no_leakage(_split(spark, sf).where("split = 'train'"), PROFILE_COUNTERS, fx.KEY)
+    return found.select("dummy_auc", F.round("max_correlation", 6).alias("max_correlation"), "top_feature",
+                        F.col("rf_auc").between(0.6, 1).alias("better_than_chance"),
+                        (F.col("leakage_suspected") == ((F.col("rf_auc") > 0.95) | (F.col("max_correlation") > 0.9))).alias("flag_follows"))
+
+
+@_reg("pca_checks")
+def q_pca_checks(spark, sf):
+    """the components' variances add up to the columns', their squares to the squared covariances; the ratios are
+    theirs, the components are uncorrelated, and the kept ones are the fewest that reach 95 %."""
+    emb = read_table(spark, sf, "embeddings")
+    bundle, explained = select.pca_fit(emb, vector_col="embedding", variance=0.95)
+    table = explained.orderBy(F.substring("component", 3, 9).cast("int")).collect()  # a row per column
+    p, k = len(table), bundle["k"]
+    scored = select.pca_apply(emb, bundle | {"k": p}, keep=["vec_id"])
+    row = scored.agg(F.count(F.lit(1)), *(F.var_samp(f"PC{i + 1}") for i in range(p)), *(F.covar_samp(f"PC{i}", f"PC{i + 1}") for i in range(1, p))).first()
+    variances, total = row[1:p + 1], sum(row[1:p + 1])
+    ratios = [r["explained_ratio"] for r in table]
+    result = (row[0], p, round(total, 4), round(sum(v * v for v in variances), 4),
+              all(abs(v / total - r) < 1e-6 for v, r in zip(variances, ratios)), all(abs(c) < 1e-6 * total for c in row[p + 1:]),
+              sum(ratios[:k]) >= 0.95 - 1e-9 and sum(ratios[:k - 1]) < 0.95, [r["kept"] for r in table] == [i < k for i in range(p)])
+    return spark.createDataFrame([result], "n bigint, n_components int, total_variance double, squared_variance double, ratios_follow boolean, "
+                                           "uncorrelated boolean, fewest boolean, kept_first boolean")
+
+
+@_reg("registry_checks")
+def q_registry_checks(spark, sf):
+    """Of two models saved the newer one is loaded, and it gives every test row the score of the model saved."""
+    df = _scaled(spark, sf)
+    train, test = df.where("split = 'train'"), df.where("split = 'test'")
+    base, cols = scratch_path(spark, "registry"), fx.SCALE_COLS
+    older = models.fit(models.base_models(len(cols), fast=True)["naive_bayes"], train, cols)
+    newer = models.fit(models.base_models(len(cols), train.count())["logistic_regression"], train, cols)
+    for i, (name, model) in enumerate((("naive_bayes", older), ("logistic_regression", newer))):
+        models.save_model(model, f"{base}/m{i}", f"{base}/registry", name, len(cols), spark)
+    matrix = Matrix.build(train, cols, fx.KEY, fold=None)
+    joint = [fit_linear(matrix, [LinearFit("logistic", 1.0)])[0], search.fit_bayes(matrix, [-1])[0]]
+    for name, model in zip(("logistic_regression", "naive_bayes"), joint):
+        search.save(model, f"{base}/joint-{name}", f"{base}/joint", name, spark)
+    scores = {"mllib": [models.score(m, test, keep=[fx.KEY]) for m in (newer, models.load_model(spark, registry=f"{base}/registry"))],
+              "joint": [search.scored_rows(m, test, [fx.KEY]) for m in (joint[-1], search.load(spark, f"{base}/joint"))]}
+    out = None
+    for engine, registry in (("mllib", "registry"), ("joint", "joint")):
+        saved, loaded = scores[engine]
+        same = saved.join(loaded.select(fx.KEY, F.col("score").alias("again")), fx.KEY).agg(
+            F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("score") == F.col("again")).alias("n_same"))
+        newest = spark.read.json(f"{base}/{registry}").groupBy().agg(
+            F.max_by("model_name", "training_date").alias("model_name"), F.max_by("features_count", "training_date").cast("int").alias("features_count"),
+            F.count(F.lit(1)).alias("n_models")).first()
+        row = same.select(F.lit(engine).alias("engine"), *(F.lit(newest[c]).alias(c) for c in ("model_name", "features_count")),
+                          F.lit(newest["n_models"]).cast("bigint").alias("n_models"), "n_test", "n_same")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @_reg("eda_json")
 def q_eda_json(spark, sf):
     from strata.plans import eda_report

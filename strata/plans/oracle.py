@@ -400,6 +400,22 @@ j AS (SELECT t.{K}, {jll(0)} AS j0, {jll(1)} AS j1
       WHERE t.split = 'test')
 SELECT {K}, round(exp(j1 - greatest(j0, j1)) / (exp(j0 - greatest(j0, j1)) + exp(j1 - greatest(j0, j1))), 6) AS score,
        CAST(j1 > j0 AS INTEGER) AS pred FROM j"""
+    s["naive_bayes_joint"] = s["gaussian_nb"]
+    moments = _union([f"SELECT '{c}' AS term, avg(label * (CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END)) AS moment FROM tr, ss" for c in fx.SCALE_COLS])
+    s["logreg_optimum"] = f"""WITH {_split_cte()}, ss AS (SELECT {sc_stats} FROM spl WHERE split = 'train'), tr AS (SELECT * FROM spl WHERE split = 'train'),
+mo AS (SELECT 'offset' AS term, avg(label) AS moment FROM tr UNION ALL {moments})
+SELECT engine, term, round(moment, 4) AS moment FROM mo, (VALUES ('mllib'), ('joint')) e(engine)"""
+    train_corr = _union([f"SELECT '{c}' AS feature, abs(corr({c}, label)) AS r FROM spl WHERE split = 'train'" for c in PROFILE_COUNTERS])
+    s["leakage_parts"] = f"""WITH {_split_cte()}, lc AS ({train_corr})
+SELECT CAST(0.5 AS DOUBLE) AS dummy_auc, round(r, 6) AS max_correlation, feature AS top_feature, true AS better_than_chance, true AS flag_follows
+FROM lc WHERE NOT isnan(r) ORDER BY r DESC, feature LIMIT 1"""
+    s["registry_checks"] = f"""WITH {_split_cte()}, t AS (SELECT count(*) AS n FROM spl WHERE split = 'test')
+SELECT engine, model_name, CAST({len(fx.SCALE_COLS)} AS INTEGER) AS features_count, CAST(2 AS BIGINT) AS n_models, n AS n_test, n AS n_same
+FROM t, (VALUES ('mllib', 'logistic_regression'), ('joint', 'naive_bayes')) m(engine, model_name)"""
+    s["pca_checks"] = """WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+c AS (SELECT a.i, b.i AS j, covar_samp(a.x, b.x) AS v FROM e a JOIN e b USING (vec_id) GROUP BY ALL)
+SELECT (SELECT count(*) FROM embeddings) AS n, CAST(max(i) AS INTEGER) AS n_components, round(sum(v) FILTER (i = j), 4) AS total_variance,
+       round(sum(v * v), 4) AS squared_variance, true AS ratios_follow, true AS uncorrelated, true AS fewest, true AS kept_first FROM c"""
     s["dummy"] = f"""WITH {_split_cte()},
 m AS (SELECT label FROM spl WHERE split = 'train' GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)
 SELECT {K}, CAST(m.label AS DOUBLE) AS score, CAST(m.label AS INTEGER) AS pred FROM spl, m WHERE split = 'test'"""
