@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ FEATURES, RIDGE, SEED = 256, 1e-3, 17
 BINS = 2000
 #: Share of the learning rows that calibrate, in fifths of what is not held out: crc32 mod 5 is 4.
 HELD_OUT, CALIBRATE, FOLDS = 0, 4, 5
+#: Partitions whose sums meet in one group.
+TREE = 256
 
 
 def _one_of(characters: bytes) -> np.ndarray:
@@ -111,7 +114,8 @@ def _matrix(column) -> np.ndarray:
 
 
 def _normal_equations(rows: DataFrame, fourier: FourierMap) -> tuple[np.ndarray, np.ndarray]:
-    """Z'Z and Z'y: each partition sums its own, row by row of the matrix; one row's sums meet in a group."""
+    """Z'Z and Z'y: each partition sums its own, row by row of the matrix; one row's sums meet ``TREE`` partitions at a
+    time, and then theirs."""
     width = len(fourier.b) + 1
 
     def partition(batches):
@@ -119,13 +123,17 @@ def _normal_equations(rows: DataFrame, fourier: FourierMap) -> tuple[np.ndarray,
         for batch in batches:
             z = fourier(_matrix(batch.column(0)))
             total += z.T @ np.concatenate([z, batch.column(1).to_numpy(zero_copy_only=False)[:, None]], 1)
-        yield pa.RecordBatch.from_arrays([pa.array(range(width)), pa.array([r.tobytes() for r in total])], names=["i", "sums"])
+        branch = TaskContext.get().partitionId() // TREE
+        yield pa.RecordBatch.from_arrays([pa.array(range(width)), pa.array([branch] * width), pa.array([r.tobytes() for r in total])],
+                                         names=["i", "branch", "sums"])
 
     def summed(key, group):
         return pd.DataFrame({"i": [key[0]], "sums": [np.sum([np.frombuffer(s) for s in group["sums"]], axis=0).tobytes()]})
 
-    parts = rows.select("x", "y").mapInArrow(partition, "i long, sums binary")
-    sums = {r.i: np.frombuffer(r.sums) for r in parts.groupBy("i").applyInPandas(summed, "i long, sums binary").collect()}
+    parts = rows.select("x", "y").mapInArrow(partition, "i long, branch long, sums binary")
+    for keys in (["i", "branch"], ["i"]):
+        parts = parts.groupBy(*keys).applyInPandas(summed, "i long, sums binary")
+    sums = {r.i: np.frombuffer(r.sums) for r in parts.collect()}  # a row per feature
     both = np.stack([sums.get(i, np.zeros(width + 1)) for i in range(width)])
     return both[:, :-1], both[:, -1]
 
@@ -145,7 +153,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", tex
     """
     stats = staged(document_statistics(docs, id=id, text=text), "statistics")
     known = labels.where(F.col(label).isNotNull()).select(F.col(id).cast("long").alias("id"), F.col(label).cast("double").alias("y"))
-    learn = stats.join(known.where(fold(F.col("id")) != HELD_OUT), "id")
+    learn = staged(stats.join(known.where(fold(F.col("id")) != HELD_OUT), "id"), "learning")
     fit, calibrate = learn.where(fold(F.col("id")) != CALIBRATE), learn.where(fold(F.col("id")) == CALIBRATE)
     moments = fit.select(*(F.get("x", F.lit(i)).alias(f"x{i}") for i in range(N_STATS))).agg(
         F.count("*"), *(F.avg(f"x{i}") for i in range(N_STATS)), *(F.stddev_pop(f"x{i}") for i in range(N_STATS))).first()
@@ -155,16 +163,16 @@ def score_quality(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", tex
     squares, products = _normal_equations(fit, fourier)
     weights = np.linalg.solve(squares + RIDGE * max(1, moments[0]) * np.eye(len(products)) / features, products)
 
-    def scored(knots):
+    def scored(knots, beside="id"):
         def score(batches):
             for batch in batches:
                 raw = fourier(_matrix(batch.column(1))) @ weights
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(np.interp(raw, *knots) if knots else raw, 0, 1) if knots else raw)],
-                                                 names=["id", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.clip(np.interp(raw, *knots), 0, 1) if knots else raw)],
+                                                 names=[beside, "score"])
 
         return score
 
-    raw = calibrate.select("id", "x").mapInArrow(scored(None), "id long, score double").join(known, "id")
+    raw = calibrate.select("y", "x").mapInArrow(scored(None, "y"), "y double, score double")
     bins = raw.groupBy((F.floor(F.least(F.greatest(F.col("score"), F.lit(-0.5)), F.lit(1.5)) * BINS / 2) * 2 / BINS).alias("bin")).agg(
         F.avg("y").alias("y"), F.count("*").cast("double").alias("weight"))
     bins = staged(bins, "bins")

@@ -6,7 +6,7 @@ import pyarrow as pa
 
 from strata.llm import langid
 from strata.llm.common import chunks
-from strata.llm.quality_classifier import N_STATS, score_quality, statistics
+from strata.llm.quality_classifier import BINS, N_STATS, RIDGE, FourierMap, score_quality, statistics
 from strata.llm.queries import op6_quality_classifier, op7_language_id
 
 D = "/root/testdata/sf0.1"
@@ -43,6 +43,45 @@ def test_statistics_do_not_depend_on_neighbours(prose):
     assert np.allclose(whole, np.concatenate([statistics(pa.array([t], pa.string())) for t in texts]))
 
 
+def pooled(x, y, weight):
+    """Adjacent violators pooled: knots of the non-decreasing step function, ends of each block."""
+    blocks = []
+    for a, b, w in sorted(zip(x, y, weight)):
+        blocks.append([a, a, b, w])
+        while len(blocks) > 1 and blocks[-2][2] >= blocks[-1][2]:
+            _, hi, v, w = blocks.pop()
+            last = blocks[-1]
+            blocks[-1] = [last[0], hi, (last[2] * last[3] + v * w) / (last[3] + w), last[3] + w]
+    return [k for lo, hi, _, _ in blocks for k in (lo, hi)], [v for _, _, v, _ in blocks for _ in (0, 1)]
+
+
+def test_quality_against_plain_ridge_and_pooling(spark):
+    rnd = np.random.default_rng(4)
+    docs, labels = [], []
+    for i in range(400):
+        good = int(rnd.random() < 0.5)
+        words = rnd.choice(["alpha", "beta", "gamma", "delta.", "Epsilon", "#x", "12"] if rnd.random() < 0.8 == good else ["zz", "$$", "%", "alpha", "1 2"], 30 + i % 50)
+        docs.append((i, " ".join(words)))
+        labels += [(i, good)] * (2 if i % 7 == 0 else 1)  # repeated labels count each
+    got = {r.doc_id: r.score for r in score_quality(spark.createDataFrame(docs, "doc_id long, text string").repartition(5),
+                                                   spark.createDataFrame(labels, "doc_id long, quality int")).collect()}
+    x = dict(zip((i for i, _ in docs), statistics(pa.array([t for _, t in docs]))))
+    part = lambda i: zlib.crc32(str(i).encode()) % 5
+    fit = [(x[i], y) for i, y in labels if part(i) in (1, 2, 3)]
+    rows, y = np.array([a for a, _ in fit]), np.array([b for _, b in fit], float)
+    fourier = FourierMap(rows.mean(0), rows.std(0), 256)
+    z = np.stack([np.append(np.sqrt(2 / 256) * np.cos(np.clip((r - fourier.mean) / fourier.spread, -5, 5) @ fourier.w + fourier.b), 1) for r in rows])
+    w = np.linalg.solve(z.T @ z + RIDGE * len(y) / 256 * np.eye(257), z.T @ y)
+    raw = {i: float(fourier(v[None])[0] @ w) for i, v in x.items()}
+    bins = {}
+    for i, label in labels:
+        if part(i) == 4:
+            bins.setdefault(math.floor(min(max(raw[i], -0.5), 1.5) * BINS / 2) * 2 / BINS, []).append(label)
+    knots = pooled(bins, (np.mean(v) for v in bins.values()), map(len, bins.values()))
+    want = {i: float(np.clip(np.interp(v, *knots), 0, 1)) for i, v in raw.items()}
+    assert len(set(want.values())) > 3 and max(abs(got[i] - want[i]) for i in want) < 1e-5
+
+
 def test_quality_edge_tables(spark):
     docs = spark.createDataFrame([(None, None, "x"), (1, "", "x"), (1, "", "x"), (2, "a b", "x")], "doc_id long, text string, quality string")
     none = spark.createDataFrame([], "doc_id long, quality int")
