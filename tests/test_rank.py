@@ -132,3 +132,21 @@ def test_many_groups_with_hot_ones(spark, monkeypatch, max_groups):
     q = R.exact_quantiles(df, ["v"], [0.5], group_cols=["g"]) if max_groups > 40 else None
     if q is not None:
         assert np.isclose(q[(0, "v")][0], np.median(pdf[pdf.g == 0].v))
+
+
+def test_rows_outside_all_brackets_make_no_array(spark, monkeypatch):
+    """Brackets are comparisons; only the rows at the wanted ranks are looked at by an array function (once a call)."""
+    import numpy as np
+
+    from strata.operators import rank
+    monkeypatch.setattr(rank, "BRACKET_ROWS", 50)
+    df = spark.range(3000).selectExpr("CASE WHEN id % 7 = 0 THEN NULL ELSE id % 3 END AS g", "CASE WHEN id % 4 = 0 THEN 5.0D ELSE id * 37 % 1009 / 8 END AS v")
+    calls, plain = [], rank.F.filter
+    monkeypatch.setattr(rank.F, "filter", lambda *a: calls.append(1) or plain(*a))
+    wanted = {g: [0, 1, 100, 101, 300] for g in (None, 0, 1, 2)}
+    found = rank.select_ranks(df, "g", ["v"], wanted)
+    rows = df.collect()
+    for g, ranks in wanted.items():
+        own = np.sort([r.v for r in rows if r.g == g])
+        assert {r: found[g][r][0] for r in ranks} == {r: own[r] for r in ranks}
+    assert len(calls) == 1
