@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 
 from strata.functions.exprs import clip, col
 from strata.functions.hashing import bernoulli, beta_2_5
+from strata.operators.models_common import staged_table
 from strata.operators.rank import exact_quantiles
 
 SCORE_DIGITS = 9
 
 
 def _threshold(df: DataFrame, score_col: str, q: float) -> float:
-    return exact_quantiles(df.select(score_col), [score_col], [q])[(score_col,)][0]
+    scores = staged_table(df.select(score_col), "scores")  # computed once, not in every pass of the quantile
+    return exact_quantiles(scores, [score_col], [q])[(score_col,)][0]
 
 
 def quantile_label(df: DataFrame, score: Column, q: float, strict: bool,

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.hashing import md5_int, md5_uniform
+from strata.operators.models_common import staged_table
 from strata.operators.rank import select_ranks
 
 
@@ -73,7 +74,7 @@ def assign_split(df: DataFrame, key: str, label: str | None = None, test: float
     for g, n in counts.items():
         n_test, n_val = split_sizes(n, test, val)
         wanted[g] = [r for r in (n_test - 1, n_test + n_val - 1) if 0 <= r < n]
-    cuts = select_ranks(h.select(label, "_h", key), label, ["_h", key], wanted)
+    cuts = select_ranks(staged_table(h.select(label, "_h", key), "hashes"), label, ["_h", key], wanted)
     expr = F.lit("train")
     for g, n in counts.items():
         n_test, n_val = split_sizes(n, test, val)
@@ -94,7 +95,7 @@ def assign_folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42
     h = df.withColumn("_h", md5_int(key, seed, "fold"))
     counts = _label_counts(h, label)
     wanted = {g: sorted({-(-j * n // k) for j in range(1, k) if -(-j * n // k) < n}) for g, n in counts.items()}
-    cuts = select_ranks(h.select(label, "_h", key), label, ["_h", key], wanted)
+    cuts = select_ranks(staged_table(h.select(label, "_h", key), "hashes"), label, ["_h", key], wanted)
     expr = F.lit(0)
     for g in counts:
         e = F.lit(0)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.exprs import numeric_columns
 from strata.operators import clean, derive, evaluate, labels, rank, search, select, split
+from strata.operators.models_common import staged_table
 from strata.operators.trees import Matrix
 from strata.plans import fixture as fx
 from strata.session import scratch_path
@@ -48,16 +49,19 @@ def preprocess_stage(fixed: DataFrame, fit_on: str = "train",
     swaps the exact distributed quantiles for the one-pass sketch (very large inputs).
     """
     df, _ = clean.drop_columns(fixed, fx.LEAKY)
-    df = split.assign_split(df, fx.KEY, "label", exact=True, seed=fx.SEED)
+    # the fits below pass over the rows several times each, so what they read is a table
+    df = staged_table(split.assign_split(df, fx.KEY, "label", exact=True, seed=fx.SEED), "split_rows")
     fit_rows = df.where(F.col("split") == "train") if fit_on == "train" else df
     counters = [c for c in PROFILE_COUNTERS if c in df.columns]
     df = clean.apply_iqr_cap(df, clean.fit_iqr_fences(fit_rows, counters, method=quantile_method))
     df = clean.consistency_fix(df, floor_col="n_returned", floor=1, parts=QTY_PARTS, total_col="qty",
                                cap_col="n_urgent", cap_by="n_orders").drop("fix_floor", "fix_parts", "fix_cap", "n_fixes")
+    df = staged_table(df, "consistent")
     fit_rows = df.where(F.col("split") == "train") if fit_on == "train" else df
     df = clean.apply_impute(df, clean.fit_medians(fit_rows, counters, method=quantile_method))
     df = derive.derived_ratios(df, fx.RATIOS, fx.SUMS)
     df = derive.diversity(df, [c for c in df.columns if c.startswith("qty_") and len(c) == 6])
+    df = staged_table(df, "derived")
     feats = numeric_columns(df, exclude=[fx.KEY, "label"])
     fit_rows = df.where(F.col("split") == "train") if fit_on == "train" else df
     df = split.apply_standard(df, split.fit_standard(fit_rows, feats))
@@ -93,7 +97,7 @@ def model_matrix(spark: SparkSession, sf_dir: str, folds: int = 5) -> tuple[Data
     """The processed matrix with CV folds on the train split, materialised once per session."""
     key = (*input_state(spark, sf_dir), folds)
     if key not in _MATRIX or not io._exists(spark, _MATRIX[key][0]):
-        df, feats = preprocess_stage(collect_stage(spark, sf_dir))
+        df, feats = preprocess_stage(staged_table(collect_stage(spark, sf_dir), "fixed"))
         train = split.assign_folds(df.where(F.col("split") == "train"), fx.KEY, "label", k=folds, seed=fx.SEED)
         rest = df.where(F.col("split") != "train").withColumn("fold", F.lit(-1))
         path = io.write_dataset(train.unionByName(rest), "model_matrix")

@@ -43,3 +43,23 @@ def test_independent_target_drops_forbidden(spark):
     df = spark.range(100).selectExpr("id AS k", "CAST(id AS DOUBLE) AS t", "id % 7 AS leak")
     out, dropped = labels.independent_target(df, [Factor("t", 100.0, 1.0)], "k", ["leak", "absent"])
     assert dropped == ["leak"] and "leak" not in out.columns and "label" in out.columns
+
+
+def test_scores_and_hashes_are_computed_once(spark):
+    """The passes of an exact quantile or cut read a table, they don't make the rows again."""
+    from strata.operators import labels, split
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x)
+
+    df = spark.range(200).withColumn("score", counted("id"))
+    assert labels._threshold(df, "score", 0.5) == 99.5
+    assert seen.value == 200
+    rows = spark.range(200).select("id", (counted("id") % 2).cast("int").alias("label"))
+    for made in (lambda: split.assign_split(rows, "id", "label", exact=True), lambda: split.assign_folds(rows, "id", "label")):
+        before = seen.value
+        made()
+        assert seen.value - before == 400  # the labels' counts, and the table
