@@ -51,3 +51,17 @@ def test_stage_outputs_have_no_leaky_columns(spark):
     from strata.plans import fixture as fx
     assert not set(fx.FORBIDDEN) & set(df.columns)
     assert df.where(F.col("split") == "train").count() > 0
+
+
+def test_many_lines_are_grouped_in_more_partitions(spark, tmp_path, monkeypatch):
+    from strata.sources import tables
+    days = "date_add(DATE'2020-01-01', cast(id % 90 AS int))"
+    spark.range(60).selectExpr("id AS c_custkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(400).selectExpr("id AS o_orderkey", "id % 50 AS o_custkey", "'F' AS o_orderstatus", "'1-URGENT' AS o_orderpriority", f"{days} AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(2000).selectExpr("CASE WHEN id % 5 = 0 THEN 7 ELSE id % 400 END AS l_orderkey", "cast(id % 50 AS double) AS l_quantity", "id / 4.0D AS l_extendedprice", "0.05D AS l_discount",
+                                 "0.04D AS l_tax", "'A' AS l_returnflag", "'F' AS l_linestatus").write.parquet(f"{tmp_path}/lineitem.parquet")
+    want = sorted(map(tuple, tables.entity_profile(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(tables, "ORDER_ROWS", 200)
+    dealt = tables.entity_profile(spark, str(tmp_path))
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().toString()
+    assert sorted(map(tuple, dealt.collect())) == want
