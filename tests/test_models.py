@@ -70,3 +70,10 @@ def test_no_query_makes_the_session_unserializable():
     from pathlib import Path
     root = Path(models.__file__).resolve().parents[1]
     assert not [p for p in root.rglob("*.py") if "llm" not in p.parts and ".observe(" in p.read_text()]
+
+
+def test_training_rows_are_shared_out_to_the_cores(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert models.right_size(spark.range(0, 50_000, 1, 1), 29).rdd.getNumPartitions() == cores
+    assert models.right_size(spark.range(0, 2_000, 1, 6), 29).rdd.getNumPartitions() == 1
+    assert models.right_size(spark.range(0, 50_000, 1, 40), 29).rdd.getNumPartitions() == cores
