@@ -268,3 +268,11 @@ def test_bad_points_are_skipped_and_lost_executors_are_not(one, monkeypatch):
     monkeypatch.setattr(search, "fit_points", lambda *a: (_ for _ in ()).throw(RuntimeError("executor lost")))
     with pytest.raises(RuntimeError):
         search.cross_validated(one, [("svm", {})], 3, on_error="skip")
+
+
+def test_blocks_of_more_than_one_partition_are_shared_out_to_all_cores(rows, one, monkeypatch):
+    monkeypatch.setattr(trees, "PART_BYTES", 20_000)
+    shared = Matrix.build(rows, FEATURES, "k", parallelism=4)
+    assert shared.parts == 4 and shared.groups == 1
+    growths = [Growth("second_order", 3, 3, 0)]
+    assert same(grow_boosted(one, growths)[0], grow_boosted(shared, growths)[0])
