@@ -276,3 +276,64 @@ def test_blocks_of_more_than_one_partition_are_shared_out_to_all_cores(rows, one
     assert shared.parts == 4 and shared.groups == 1
     growths = [Growth("second_order", 3, 3, 0)]
     assert same(grow_boosted(one, growths)[0], grow_boosted(shared, growths)[0])
+
+
+def test_the_baseline_fits_no_fold_twice(one, rows, monkeypatch):
+    asked, fit_points = [], search.fit_points
+    monkeypatch.setattr(search, "fit_points", lambda matrix, points, state=None: (asked.append([(n, f) for n, _, f in points]), fit_points(matrix, points, state))[1])
+    _, models = search.baseline(one, rows, ["svm", "naive_bayes"], folds=3)
+    assert set(models) == {"svm", "naive_bayes"} and models["svm"].sigmoid is not None
+    fits = [fit for points in asked for fit in points]
+    assert len(fits) == len(set(fits)) == 8
+    alone = search.fitted(one, {"svm": search.MODELS["svm"]}, 3)["svm"]
+    assert np.allclose(alone.weights, models["svm"].weights) and np.allclose(alone.sigmoid, models["svm"].sigmoid)
+
+
+def test_boosted_families_share_their_passes_and_fail_alone(one, monkeypatch):
+    asked, fit_points = [], search.fit_points
+    points = [("gradient_boosting", {"n_estimators": 2, "max_depth": 2}), ("xgboost", {"n_estimators": 2, "max_depth": 2})]
+    monkeypatch.setattr(search, "fit_points", lambda matrix, wanted, state=None: (asked.append({n for n, *_ in wanted}), fit_points(matrix, wanted, state))[1])
+    together = search.cross_validated(one, points, 3)
+    assert asked == [{"gradient_boosting", "xgboost"}]
+
+    def bad(matrix, wanted, state=None):
+        if any(n == "xgboost" for n, *_ in wanted):
+            raise ValueError("bad")
+        return fit_points(matrix, wanted, state)
+
+    monkeypatch.setattr(search, "fit_points", bad)
+    left = search.cross_validated(one, points, 3, on_error="skip")
+    assert {name for name, _ in left} == {"gradient_boosting"} and all(together[k] == pytest.approx(v) for k, v in left.items())
+
+
+def test_a_round_starts_from_stored_margins(several, monkeypatch):
+    seen, distributed = [], trees._distributed
+    monkeypatch.setattr(trees, "_distributed", lambda rows, groups: (seen.append(rows.map(lambda part: part[1]).collect()), distributed(rows, groups))[1])
+    fit = grow_boosted(several, [Growth("boosting", 3, 2, 1)])[0]
+    for turn, blocks in enumerate(seen):
+        for b in blocks:
+            assert np.allclose(b.margins[0], fit.start + sum((t["value"][trees.walked(t, b.x)] for t in fit.trees[:turn]), np.zeros(len(b.y))))
+
+
+def test_rows_of_one_group_are_handed_on_once(several):
+    assert several.groups == 1 and type(several.copies).__name__ == "PipelinedRDD"
+
+
+def test_few_sums_and_shuffled_sums_give_the_same(several, monkeypatch):
+    def fits():
+        return (*grow_forests(several, [Growth("forest", 3, 4, 0), Growth("extra", 2, 3)]), *grow_boosted(several, [Growth("second_order", 2, 2)])), \
+            fit_perceptrons(several, [Net((4,), epochs=2), Net((3, 2), epochs=2, fold=1)])
+
+    few = fits()
+    monkeypatch.setattr(trees, "FEW_BYTES", 0)
+    for a, b in zip(few[0], (shuffled := fits())[0]):
+        assert same(a, b)
+    for a, b in zip(few[1], shuffled[1]):
+        assert all(np.allclose(x, y) for x, y in zip(a.weights, b.weights))
+
+
+def test_some_rows_end_where_they_end_among_all(one, block):
+    tree = grow_forests(one, [Growth("forest", 1, None, 0)])[0].trees[0]
+    some = np.arange(0, len(block.y), 3)
+    for depth, least in ((None, 0), (2, 0), (None, 20)):
+        assert np.array_equal(trees.walked(tree, block.x, depth, least, some), trees.walked(tree, np.asfortranarray(block.x), depth, least)[some])
