@@ -18,7 +18,8 @@ AUC / ROC / PR curves.
 A few ranks (quantiles, split and fold cuts) need no order of all values:
 :func:`select_ranks` brackets each wanted rank by ``percentile_approx``, counts
 the rows below the bracket and looks at the values inside it only -- a small
-share of the rows, narrowed again while they are many.
+share of the rows, narrowed again while they are many.  Quantiles of several
+columns are bracketed side by side, without a long table of all values.
 
 NULL and NaN have no rank.
 """
@@ -418,18 +419,69 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
 def _column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict:
     x = {c: F.col(c).cast("double") for c in cols}
     n = df.agg(*[F.count(F.when(~F.isnan(x[c]), x[c])).alias(f"n{i}") for i, c in enumerate(cols)]).first() if cols else []
-    pos = {c: [float(p) * float(n[i] - 1) for p in probs] for i, c in enumerate(cols) if n[i]}
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), x[c].alias("_v")) for c in pos]))) if pos else None
-    ranks = {c: [r for p in at for r in (math.floor(p), math.ceil(p))] for c, at in pos.items()}
-    values = select_ranks(long, "_col", ["_v"], ranks) if pos else {}
+    size = {c: n[i] for i, c in enumerate(cols) if n[i]}
+    pos = {c: [float(p) * float(size[c] - 1) for p in probs] for c in size}
+    ranks = {c: sorted({r for p in at for r in (math.floor(p), math.ceil(p))}) for c, at in pos.items()}
+    values = _bracketed_values(df, x, {c: m for c, m in size.items() if m > BRACKET_ROWS}, ranks)
+    left = {c: own for c in ranks if (own := [r for r in ranks[c] if r not in values.get(c, {})])}
+    if left:
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("_col"), x[c].alias("_v")) for c in left])))
+        for c, own in select_ranks(long, "_col", ["_v"], left).items():
+            values.setdefault(c, {}).update({r: v for r, (v,) in own.items()})
 
     def at(c, p):
-        lo, hi = values[c][math.floor(p)][0], values[c][math.ceil(p)][0]
+        lo, hi = values[c][math.floor(p)], values[c][math.ceil(p)]
         return lo if lo == hi else lo + (p - math.floor(p)) * (hi - lo)
 
     return {(c,): [at(c, p) for p in pos[c]] if c in pos else [None] * len(probs) for c in cols}
 
 
+def _bracketed_values(df: DataFrame, x: Mapping[str, Column], size: Mapping[str, int], ranks: Mapping[str, Sequence[int]],
+                      accuracy: int = 10000) -> dict:
+    """``{column: {rank: value}}`` of the columns in ``size`` (their rows with a value), side by side: one pass takes all brackets,
+    one counts the rows below and inside them, one counts the values inside. The rows are never made longer but by those
+    inside. A rank that its bracket misses, or whose bracket has more than ``BRACKET_ROWS`` rows between its ends, is left out."""
+    if not size:
+        return {}
+    known = {c: F.when(~F.isnan(x[c]), x[c]) for c in size}
+    share = {c: [(r + 0.5) / size[c] for r in ranks[c]] for c in size}
+    ends = {c: [e for s in share[c] for e in (max(0.0, s - 2.0 / accuracy), min(1.0, s + 2.0 / accuracy))] for c in size}
+    found = df.agg(*[F.percentile_approx(known[c], ends[c], accuracy) for c in size]).first()
+    brackets: list[dict] = []
+    for c, q in zip(size, found):
+        for k, r in enumerate(ranks[c]):
+            lo, hi, last = q[2 * k] + 0.0, q[2 * k + 1] + 0.0, brackets[-1] if brackets else None
+            if last and last["c"] == c and lo <= last["hi"]:  # neighbours share a bracket
+                last.update(hi=max(hi, last["hi"]), ranks=[*last["ranks"], r])
+            else:
+                brackets.append({"c": c, "lo": lo, "hi": hi, "ranks": [r]})
+
+    def inside(b, ends_too=True):
+        v, lo, hi = known[b["c"]], F.lit(b["lo"]), F.lit(b["hi"])
+        return (v >= lo) & (v <= hi) if ends_too else (v > lo) & (v < hi)
+
+    counts = df.agg(*[e for b in brackets for e in (F.count_if(known[b["c"]] < F.lit(b["lo"])), F.count_if(inside(b, b["lo"] == b["hi"])))]).first()
+    out: dict = {c: {} for c in size}
+    many = {}
+    for i, b in enumerate(brackets):
+        b["below"], n = counts[2 * i], counts[2 * i + 1]
+        if b["lo"] == b["hi"]:
+            out[b["c"]].update({r: b["lo"] for r in b["ranks"] if b["below"] <= r < b["below"] + n})
+        elif n <= BRACKET_ROWS:
+            many[i] = b
+    if many:
+        own = F.array(*[F.when(inside(b), F.struct(F.lit(i).alias("i"), known[b["c"]].alias("_v"))) for i, b in many.items()])
+        rows = df.select(F.inline(F.filter(own, lambda e: e.isNotNull()))).groupBy("i", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy("i").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        wanted = F.element_at(F.create_map(*[e for i, b in many.items() for e in (
+            F.lit(i), F.array(*[F.lit(r - b["below"]).cast("long") for r in b["ranks"]]))]), F.col("i"))
+        at = rows.withColumn("_cum", F.sum("_n").over(upto)).select(
+            "i", "_v", F.explode(F.filter(wanted, lambda r: r.between(F.col("_cum") - F.col("_n"), F.col("_cum") - 1))).alias("_at"))
+        for r in at.collect():
+            out[many[r["i"]]["c"]][r["_at"] + many[r["i"]]["below"]] = r["_v"]
+    return out
+
+
 def approx_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      accuracy: int = 10000) -> dict:
     """One-pass approximate quantiles (Greenwald-Khanna via ``percentile_approx``)."""

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strata.session import default_parallelism
 
@@ -40,16 +45,16 @@ def entity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     aggregated per customer (again partial + final).  ``count(DISTINCT order)``
     becomes ``count(*)`` because the join output has one row per order.
     Customer existence is a left-semi join (no customer columns are carried).
-    Money is summed as DECIMAL so results are exact on every engine.
+    Money is summed exactly, so results are the same on every engine: as DECIMAL, or within an order as whole
+    cents where the lines' prices and discounts are such (:func:`_money_sums`).
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
         "l_returnflag", "l_linestatus")
-    parts = -(-li.count() // ORDER_ROWS)
+    n, amount, revenue = _money_sums(li)
+    parts = -(-n // ORDER_ROWS)
     if parts > default_parallelism(spark):
         li = li.repartition(parts, "l_orderkey")
-    price = F.col("l_extendedprice").cast("decimal(15,2)")
-    disc = F.col("l_discount").cast("decimal(5,2)")
     rf, ls, q = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
 
     def qpart(flag, status):
@@ -59,8 +64,8 @@ def entity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("o_lines"),
         F.sum(q).alias("o_qty"),
         F.count_if(rf == "R").alias("o_returned"),
-        F.sum(price).alias("o_amount"),
-        F.sum(price * (F.lit(1).cast("decimal(5,2)") - disc)).alias("o_revenue"),
+        amount.alias("o_amount"),
+        revenue.alias("o_revenue"),
         F.count_if(ls == "O").alias("o_open"),
         F.count_if(F.col("l_discount") >= 0.05).alias("o_disc"),
         F.count_if(F.col("l_tax") >= 0.04).alias("o_taxed"),
@@ -92,6 +97,28 @@ def entity_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.join(cust, "c_custkey", "left_semi")
 
 
+def _money_sums(li: DataFrame) -> tuple[int, Column, Column]:
+    """Rows, and the exact sums of an order's prices and discounted prices.
+
+    A DOUBLE is cast to DECIMAL by way of its text, a DECIMAL sum of this width makes an object a row.  So one
+    pass looks whether every price and discount is the DOUBLE nearest to whole hundredths, as the cast would find it,
+    and so small that no sum of all rows leaves a BIGINT: then hundredths are summed, else DECIMALs.
+    """
+    price, disc = F.col("l_extendedprice"), F.col("l_discount")
+    decimals = price.cast("decimal(15,2)"), disc.cast("decimal(5,2)")
+    sums = F.sum(decimals[0]), F.sum(decimals[0] * (F.lit(1).cast("decimal(5,2)") - decimals[1]))
+    if any(li.schema[c].dataType != T.DoubleType() for c in ("l_extendedprice", "l_discount")):
+        return li.count(), *sums
+    cents, off = F.rint(price * 100), F.rint(disc * 100)
+    whole = (cents / 100 == price) & (F.abs(cents) < 1e13), (off / 100 == disc) & (F.abs(off) < 1e5)
+    n, fits, most = li.agg(F.count(F.lit(1)), F.every(reduce(and_, (F.coalesce(w, F.lit(True)) for w in whole))),
+                           F.max(F.abs(cents) * F.greatest(F.lit(1.0), F.abs(100 - off)))).first()
+    if not fits or n * (most or 0.0) >= 2.0 ** 62:
+        return n, *sums
+    cents, off = cents.cast("bigint"), off.cast("bigint")
+    return n, *(F.sum(c).cast("decimal(20,0)") * F.lit(unit) for c, unit in ((cents, Decimal("0.01")), (cents * (100 - off), Decimal("0.0001"))))
+
+
 _MATERIALIZED: dict = {}
 
 

@@ -65,3 +65,18 @@ def test_many_lines_are_grouped_in_more_partitions(spark, tmp_path, monkeypatch)
     dealt = tables.entity_profile(spark, str(tmp_path))
     assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().toString()
     assert sorted(map(tuple, dealt.collect())) == want
+
+
+def test_money_of_whole_cents_is_summed_as_cents(spark):
+    """The same sums as by DECIMAL, whichever way they are taken; what isn't whole hundredths is left to DECIMAL."""
+    from strata.sources import tables
+    rows = [(1, 84197.04, 0.01), (1, 0.1, 0.1), (1, 0.2, None), (2, None, 0.05), (2, -0.0, 0.0), (3, 99330.95, 0.07), (3, -12.29, 0.1), (4, None, None)]
+    odd = {"cents": [], "price": [(5, 1.005, 0.01)], "discount": [(5, 1.0, 0.015)], "large": [(5, 2e12, 0.01)], "sum": [(5, 9e10, 900.0)]}
+    for name, own in odd.items():
+        li = spark.createDataFrame(rows + own, "l_orderkey long, l_extendedprice double, l_discount double")
+        n, amount, revenue = tables._money_sums(li)
+        got = {r[0]: tuple(r)[1:] for r in li.groupBy("l_orderkey").agg(amount.alias("a"), revenue.alias("r")).collect()}
+        want = {r[0]: tuple(r)[1:] for r in li.selectExpr("l_orderkey AS k", "cast(l_extendedprice AS decimal(15,2)) AS p", "cast(l_discount AS decimal(5,2)) AS d")
+                .groupBy("k").agg(F.expr("sum(p)"), F.expr("sum(p * (cast(1 AS decimal(5,2)) - d))")).collect()}
+        assert n == len(rows + own) and got == want, name
+        assert ("rint" in str(amount).lower()) == (name == "cents"), name

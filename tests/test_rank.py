@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from strata.operators.rank import exact_quantiles, ordered_counts, percent_rank_avg, quantiles
 
@@ -150,3 +151,28 @@ def test_rows_outside_all_brackets_make_no_array(spark, monkeypatch):
         own = np.sort([r.v for r in rows if r.g == g])
         assert {r: found[g][r][0] for r in ranks} == {r: own[r] for r in ranks}
     assert len(calls) == 1
+
+
+def test_quantiles_of_many_rows_make_no_long_table(spark, monkeypatch):
+    """Columns of more rows than a bracket may hold are bracketed side by side; a bracket that misses is left to the ranks."""
+    import strata.operators.rank as R
+    rng = np.random.default_rng(3)
+    n = 6000
+    pdf = pd.DataFrame({"a": rng.normal(size=n), "b": rng.integers(0, 3, n).astype(float), "c": np.where(rng.random(n) < 0.3, np.nan, rng.exponential(5, n).round(1)),
+                        "d": np.zeros(n), "e": np.where(rng.random(n) < 0.5, 0.0, rng.random(n)), "f": np.arange(n) * 1.0})
+    pdf.loc[:99, "e"] = -np.inf
+    df = spark.createDataFrame(pdf).withColumn("z", F.lit(None).cast("double")).repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.9999]
+    want = exact_quantiles(df, df.columns, probs)
+    assert np.allclose(want[("a",)], np.quantile(pdf.a, probs), rtol=0, atol=1e-12) and want[("z",)] == [None] * len(probs)
+    left, ranks = [], R.select_ranks
+
+    def spied(long, group, order_cols, wanted):
+        left.append(wanted)
+        return ranks(long, group, order_cols, wanted)
+
+    monkeypatch.setattr(R, "select_ranks", spied)
+    monkeypatch.setattr(R, "BRACKET_ROWS", 1000)
+    assert exact_quantiles(df, df.columns, probs) == want and not left
+    monkeypatch.setattr(R, "BRACKET_ROWS", 1)
+    assert exact_quantiles(df, df.columns, probs) == want and left
