@@ -5,7 +5,7 @@ pairs of their children, the bits in which they differ are added up, and pairs b
 Pairs that differ by at most k bits differ by at most k // 2 in the first half of the bits, or by fewer than
 k - k // 2 in the second; so two tries, one with the halves swapped, need half the budget in their upper levels,
 where a trie over many fingerprints prunes little otherwise. Node pairs are rows of a DataFrame, each level two
-equi-joins.
+equi-joins and a table in the shared folder: the driver plans and follows one level at a time.
 """
 
 from __future__ import annotations
@@ -20,8 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import LOWER, SPACED_WORDS, chunks, executors_import_this, staged, text_buffer, word_spans
+from strata.llm.common import LOWER, SPACED_WORDS, chunks, executors_import_this, released, staged, text_buffer, word_spans
 from strata.llm.components import components
+from strata.session import scratch_path
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -87,27 +88,43 @@ def _masks(bits: int, most: int) -> Column:
     return F.array(*(F.struct(F.lit(m).cast("long").alias("mask"), F.lit(n).alias("cost")) for m, n in masks))
 
 
+def _trie(leaves: DataFrame) -> DataFrame:
+    """``t, node, leaves, level``: all nodes of the tries with the number of leaves below them, counted in one aggregate and
+    stored by level, so each of a level's joins reads a small table and counts nothing again."""
+    levels = F.array(*(F.struct(F.lit(n).alias("level"), F.shiftrightunsigned("leaf", 64 - n).alias("node")) for n in (*UPPER, *LOWER_LEVELS)))
+    nodes = leaves.select("t", F.inline(levels)).groupBy("t", "node", "level").agg(F.count("*").alias("leaves"))
+    path = scratch_path(nodes.sparkSession, "trie")
+    nodes = nodes.select("t", "node", "leaves", "level")
+    nodes.write.partitionBy("level").parquet(path)
+    return nodes.sparkSession.read.schema(nodes.schema).parquet(path)
+
+
 def trie_links(prints: DataFrame, max_bits: int = MAX_BITS, fp: str = "fp") -> DataFrame:
     """``a, b`` for all pairs of distinct fingerprints that differ in at most ``max_bits`` bits, each pair once."""
     budget = {1: max_bits // 2, 2: max_bits - max_bits // 2 - 1}
     v = F.col(fp)
     swapped = F.shiftleft(v, 32).bitwiseOR(F.shiftrightunsigned(v, 32))
     tries = F.array(F.struct(F.lit(1).alias("t"), v.alias("leaf")), F.struct(F.lit(2).alias("t"), swapped.alias("leaf")))
-    leaves = staged(prints.select(fp).distinct().select(F.inline(tries)).where(F.col("t") == 1 if budget[2] < 0 else F.lit(True)), "trie")
+    leaves = prints.select(fp).distinct().select(F.inline(tries)).where(F.col("t") == 1 if budget[2] < 0 else F.lit(True))
     allowed = F.when(F.col("t") == 1, budget[1]).otherwise(budget[2])
+    trie = _trie(leaves)
 
     def nodes(level: int, side: str) -> DataFrame:
         """Nodes at a level with the number of leaves below them."""
-        if level == 64:
-            return leaves.select("t", F.col("leaf").alias(side), F.lit(1).alias("leaves"))
-        prefix = F.shiftrightunsigned("leaf", 64 - level)
-        return leaves.groupBy("t", prefix.alias(side)).agg(F.count("*").alias("leaves"))
+        return trie.where(F.col("level") == level).select("t", F.col("node").alias(side), "leaves")
 
     def children(above: int, level: int, side: str) -> DataFrame:
         down = level - above
         return nodes(level, side + "_").select(
             "t", F.shiftrightunsigned(side + "_", down).alias(side), side + "_", F.col("leaves").alias(f"{side}_leaves"))
 
+    def cut(pairs: DataFrame, last: DataFrame | None) -> DataFrame:
+        """A level's pairs as a table, so that no plan holds more than one level; the level above goes."""
+        now = staged(pairs, "trie_pairs")
+        if last is not None:
+            released(last)
+        return now
+
     above, pairs = 0, None
     for level in UPPER:
         if pairs is None:
@@ -119,8 +136,8 @@ def trie_links(prints: DataFrame, max_bits: int = MAX_BITS, fp: str = "fp") -> D
                 .withColumn("b_", F.shiftleft("b", width).bitwiseOR(F.col("a_").bitwiseAND((1 << width) - 1).bitwiseXOR(F.col("mask"))))
                 .where((F.col("a_") < F.col("b_")) | ((F.col("a_") == F.col("b_")) & (F.col("a_leaves") > 1))))
         there = nodes(level, "b_").select("t", "b_")
-        pairs = down.join(there, ["t", "b_"], "left_semi").select(
-            "t", F.col("a_").alias("a"), F.col("b_").alias("b"), (F.col("e") + F.col("cost")).alias("e"))
+        pairs = cut(down.join(there, ["t", "b_"], "left_semi").select(
+            "t", F.col("a_").alias("a"), F.col("b_").alias("b"), (F.col("e") + F.col("cost")).alias("e")), pairs)
         above = level
     for level in LOWER_LEVELS:
         down = pairs.join(children(above, level, "a"), ["t", "a"]).join(children(above, level, "b"), ["t", "b"])
@@ -128,8 +145,9 @@ def trie_links(prints: DataFrame, max_bits: int = MAX_BITS, fp: str = "fp") -> D
         differ = F.bit_count(F.col("a_").bitwiseXOR(F.col("b_")).bitwiseAND(low))
         pair = ((F.col("a") != F.col("b")) | (F.col("a_") < F.col("b_"))  # any order of a node's children will do
                 | ((F.col("a_") == F.col("b_")) & (F.col("a_leaves") > 1)))
-        pairs = (down.withColumn("e", F.col("e") + differ).where((F.col("e") <= max_bits) & pair)
+        found = (down.withColumn("e", F.col("e") + differ).where((F.col("e") <= max_bits) & pair)
                  .select("t", F.col("a_").alias("a"), F.col("b_").alias("b"), "e"))
+        pairs = found if level == LOWER_LEVELS[-1] else cut(found, pairs)
         above = level
     first_half = F.bit_count(F.col("a").bitwiseXOR(F.col("b")).bitwiseAND((1 << 32) - 1))  # in the second trie it is below
     own = lambda c: F.when(F.col("t") == 1, F.col(c)).otherwise(F.shiftleft(c, 32).bitwiseOR(F.shiftrightunsigned(c, 32)))

@@ -66,6 +66,16 @@ def test_trie_loses_no_link(spark):
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_no_plan_holds_more_than_one_level_of_the_tries(spark):
+    rnd = random.Random(3)
+    prints = [rnd.getrandbits(63) for _ in range(100)]
+    df = spark.createDataFrame([(p ^ flip,) for p in prints for flip in (0, 1, 1 << 40)], "fp long")
+    links = trie_links(df)
+    assert links.count() == 300
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 2 and plan.count("Exchange") <= 4 and "HashAggregate" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(10, 60)] + [(100, i) for i in range(101, 160)] + [(300, 301), (301, 300), (5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
