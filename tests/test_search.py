@@ -337,3 +337,25 @@ def test_some_rows_end_where_they_end_among_all(one, block):
     some = np.arange(0, len(block.y), 3)
     for depth, least in ((None, 0), (2, 0), (None, 20)):
         assert np.array_equal(trees.walked(tree, block.x, depth, least, some), trees.walked(tree, np.asfortranarray(block.x), depth, least)[some])
+
+
+def test_the_smaller_of_two_nodes_is_added_up(one, several, monkeypatch):
+    growths = [Growth("second_order", 3, 4, 0, rows=0.9), Growth("boosting", 2, 4, 1, columns=0.8)]
+    want, seen, distributed = grow_boosted(one, growths), [], trees._distributed
+
+    def counted(rows, groups):
+        passed = distributed(rows, groups)
+        return lambda jobs, *rest: (seen.append({j.id: (len(j.open), int((j.tree["feature"] >= 0).sum())) for j in jobs}), passed(jobs, *rest))[1]
+
+    monkeypatch.setattr(trees, "_distributed", counted)
+    assert all(same(a, b) for a, b in zip(want, grow_boosted(several, growths)))
+    deep = [sizes for of_pass in seen for sizes in of_pass.values() if sizes[1]]
+    assert deep and all(n <= (inner + 1) // 2 for n, inner in deep)  # of a full level's 2 * k nodes k
+    monkeypatch.setattr(trees, "KEPT_BYTES", 0)
+    assert all(same(a, b) for a, b in zip(want, grow_boosted(several, growths)))
+
+
+def test_sums_of_boosted_nodes_are_exact(rows, several):
+    other = Matrix.build(rows, FEATURES, "k", partitions=5)
+    a, b = (grow_boosted(m, [Growth("second_order", 4, 3, 0)])[0] for m in (several, other))
+    assert all(np.array_equal(s[n], t[n]) for s, t in zip(a.trees, b.trees) for n in ("feature", "threshold", "value"))
