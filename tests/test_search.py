@@ -359,3 +359,30 @@ def test_sums_of_boosted_nodes_are_exact(rows, several):
     other = Matrix.build(rows, FEATURES, "k", partitions=5)
     a, b = (grow_boosted(m, [Growth("second_order", 4, 3, 0)])[0] for m in (several, other))
     assert all(np.array_equal(s[n], t[n]) for s, t in zip(a.trees, b.trees) for n in ("feature", "threshold", "value"))
+
+
+@pytest.mark.parametrize("idle", [math.inf, -1.0])
+def test_an_epoch_is_a_few_jobs_or_steps_on_their_rows(spark, block, several, monkeypatch, idle):
+    monkeypatch.setattr(perceptron, "BATCH", 15)
+    monkeypatch.setattr(perceptron, "IDLE_WORK", idle)
+    monkeypatch.setattr(perceptron, "TASK_ROWS", 3)
+    nets = [Net((4,), epochs=3, fold=0), Net((3, 2), rate=0.01, epochs=3), Net((4,), epochs=2, fold=1, seed=7)]
+    want = perceptron._trained(dict(enumerate(nets)), len(FEATURES), lambda own: {i: f(*arguments, block) for i, (f, arguments) in own.items()})
+    spark.sparkContext.setJobGroup(f"epochs {idle}", "")
+    try:
+        found = fit_perceptrons(several, nets)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"epochs {idle}"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    for i, b in enumerate(found):
+        assert want[i].epoch == b.epochs and all(np.allclose(u, v, atol=1e-9) for u, v in zip(want[i].kept, b.weights))
+    assert (jobs < 20) == (idle > 0)  # 42 steps an epoch
+
+
+def test_an_epoch_of_few_sums_a_job(several, monkeypatch):
+    nets = [Net((4,), epochs=2), Net((3, 2), epochs=2, fold=1)]
+    want = fit_perceptrons(several, nets)
+    monkeypatch.setattr(perceptron, "IDLE_WORK", -1.0)
+    monkeypatch.setattr(trees, "FEW_BYTES", 1)
+    for a, b in zip(want, fit_perceptrons(several, nets)):
+        assert all(np.allclose(u, v, atol=1e-9) for u, v in zip(a.weights, b.weights))
